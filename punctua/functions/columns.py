@@ -61,8 +61,7 @@ def parse_timestamp(c: ColumnOrName, fmt: str = FLIGHT_TS_FORMAT) -> Column:
 
 def parse_date(c: ColumnOrName, fmt: str = SERIES_DATE_FORMAT) -> Column:
     """Text -> DATE; impossible dates such as 31/02 -> NULL."""
-    return F.try_to_date(_col(c), F.lit(fmt)) if hasattr(F, "try_to_date") else \
-        F.to_date(F.try_to_timestamp(_col(c), F.lit(fmt)))
+    return F.try_to_date(_col(c), fmt)
 
 
 def minutes_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:

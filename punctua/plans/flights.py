@@ -52,7 +52,8 @@ def deduped_lineitem(t: Tables) -> DataFrame:
 def flights(t: Tables, dedup: bool = True) -> DataFrame:
     """Standardised flight rows (before quality rules)."""
     li = deduped_lineitem(t) if dedup else t.lineitem
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
+                        "o_totalprice")
     s = t.supplier.select("s_suppkey", "s_nationkey")
     c = t.customer.select("c_custkey", "c_nationkey")
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
@@ -69,6 +70,7 @@ def flights(t: Tables, dedup: bool = True) -> DataFrame:
         minutes_between("l_shipdate", "o_orderdate").alias("delay_min"),
         (F.col("o_orderstatus") == F.lit(CANCELLED_STATUS)).alias("cancelled"),
         F.col("l_quantity").alias("quantity"),
+        F.col("o_totalprice").alias("fare"),
     )
 
 
@@ -98,7 +100,7 @@ f AS (
          o.o_orderpriority AS carrier, s.s_nationkey AS origin, c.c_nationkey AS destination,
          o.o_orderdate AS planned_ts, li.l_shipdate AS real_ts,
          (floor(epoch(li.l_shipdate)) - floor(epoch(o.o_orderdate))) / 60.0 AS delay_min,
-         o.o_orderstatus = 'P' AS cancelled, li.l_quantity AS quantity
+         o.o_orderstatus = 'P' AS cancelled, li.l_quantity AS quantity, o.o_totalprice AS fare
   FROM li JOIN orders o ON li.l_orderkey = o.o_orderkey
   JOIN supplier s ON li.l_suppkey = s.s_suppkey
   JOIN customer c ON o.o_custkey = c.c_custkey

@@ -44,3 +44,211 @@ SELECT * FROM (
 def top_routes_delay(spark: SparkSession, sf_dir: str):
     """Flagship: top-10 routes by mean departure delay on rain days, per carrier."""
     return top_routes(valid_flights(Tables(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------- facts
+from punctua.operators.calendar import (  # noqa: E402
+    DAY_PERIODS, calendar_columns, date_key, dim_date as build_dim_date, is_high_season, is_holiday, iso_weekday,
+)
+from punctua.functions.columns import local_to_utc  # noqa: E402
+from punctua.operators.joins import bounded_broadcast  # noqa: E402
+from punctua.plans.flights import flights  # noqa: E402
+
+_HOLIDAY_SQL = "(month(d) * 100 + day(d)) IN (101, 421, 501, 907, 1012, 1102, 1115, 1225)"
+
+
+@query("fact_flight", sql=f"""
+WITH {FLIGHTS_SQL}
+SELECT order_key, line_number, carrier, origin, destination, CAST(planned_ts AS DATE) AS planned_date,
+       CAST(year(planned_ts) * 10000 + month(planned_ts) * 100 + day(planned_ts) AS INTEGER) AS date_key,
+       planned_ts, real_ts, round(delay_min, 6) AS delay_min, cancelled
+FROM f WHERE carrier IS NOT NULL AND origin IS NOT NULL AND planned_ts IS NOT NULL
+""")
+def q_fact_flight(spark: SparkSession, sf_dir: str):
+    """Flight fact: one row per flight (deduplicated), conformed keys and measures."""
+    f = valid_flights(Tables(spark, sf_dir))
+    return f.select("order_key", "line_number", "carrier", "origin", "destination",
+                    F.to_date("planned_ts").alias("planned_date"), date_key(F.col("planned_ts")).alias("date_key"),
+                    "planned_ts", "real_ts", F.round("delay_min", 6).alias("delay_min"), "cancelled")
+
+
+@query("route_month_punctuality", sql=f"""
+WITH {FLIGHTS_SQL}
+SELECT origin, destination, CAST(date_trunc('month', planned_ts) AS DATE) AS month,
+       count(*) AS flights, CAST(count_if(cancelled) AS BIGINT) AS cancelled,
+       round(avg(CASE WHEN NOT cancelled THEN delay_min END), 6) AS avg_delay_min,
+       round(avg(CASE WHEN NOT cancelled THEN CASE WHEN delay_min <= 15 THEN 1.0 ELSE 0.0 END END), 6) AS on_time_share
+FROM f GROUP BY 1, 2, 3
+""")
+def q_route_month_punctuality(spark: SparkSession, sf_dir: str):
+    f = valid_flights(Tables(spark, sf_dir))
+    ok = ~F.col("cancelled")
+    return (f.groupBy("origin", "destination", F.trunc("planned_ts", "month").alias("month"))
+            .agg(F.count(F.lit(1)).alias("flights"),
+                 F.count_if("cancelled").cast("bigint").alias("cancelled"),
+                 F.round(F.avg(F.when(ok, F.col("delay_min"))), 6).alias("avg_delay_min"),
+                 F.round(F.avg(F.when(ok, F.when(F.col("delay_min") <= 15, 1.0).otherwise(0.0))), 6)
+                 .alias("on_time_share")))
+
+
+@query("price_cancel_corr", sql=f"""
+WITH {FLIGHTS_SQL},
+m AS (SELECT carrier, date_trunc('month', planned_ts) AS month, avg(fare) AS avg_fare,
+             avg(CASE WHEN cancelled THEN 1.0 ELSE 0.0 END) AS cancel_rate
+      FROM f GROUP BY 1, 2)
+SELECT carrier, count(*) AS n_months, round(corr(avg_fare, cancel_rate), 6) AS corr_fare_cancel
+FROM m GROUP BY 1
+""")
+def q_price_cancel_corr(spark: SparkSession, sf_dir: str):
+    """Per carrier: correlation of monthly mean fare with the monthly cancellation rate."""
+    f = valid_flights(Tables(spark, sf_dir))
+    m = (f.groupBy("carrier", F.date_trunc("month", "planned_ts").alias("month"))
+         .agg(F.avg("fare").alias("avg_fare"),
+              F.avg(F.when(F.col("cancelled"), 1.0).otherwise(0.0)).alias("cancel_rate")))
+    return m.groupBy("carrier").agg(F.count(F.lit(1)).alias("n_months"),
+                                    F.round(F.corr("avg_fare", "cancel_rate"), 6).alias("corr_fare_cancel"))
+
+
+# Price table published per (nation, year) through this date only.
+PRICE_PUBLISHED_BEFORE = "2000-01-01"
+
+
+def annual_prices(t: Tables):
+    o = t.orders.filter(F.col("o_orderdate") < F.lit(PRICE_PUBLISHED_BEFORE).cast("timestamp"))
+    c = t.customer.select("c_custkey", "c_nationkey")
+    return (o.join(c, o.o_custkey == c.c_custkey)
+            .groupBy(F.col("c_nationkey").alias("nation"), F.year("o_orderdate").alias("year"))
+            .agg(F.avg("o_totalprice").alias("price")))
+
+
+@query("grain_align", sql=f"""
+WITH {FLIGHTS_SQL},
+p AS (SELECT c_nationkey AS nation, year(o_orderdate) AS year, avg(o_totalprice) AS price
+      FROM orders JOIN customer ON o_custkey = c_custkey
+      WHERE o_orderdate < TIMESTAMP '{PRICE_PUBLISHED_BEFORE}' GROUP BY 1, 2)
+SELECT order_key, line_number, destination, CAST(year(planned_ts) AS INTEGER) AS planned_year,
+       round(p.price, 6) AS annual_price, CASE WHEN p.price IS NOT NULL THEN 'year' END AS source_grain
+FROM f LEFT JOIN p ON f.destination = p.nation AND year(f.planned_ts) = p.year
+WHERE carrier IS NOT NULL AND origin IS NOT NULL AND planned_ts IS NOT NULL
+""")
+def q_grain_align(spark: SparkSession, sf_dir: str):
+    """Annual price per destination nation attached to daily flights of that year only."""
+    t = Tables(spark, sf_dir)
+    f = valid_flights(t).select("order_key", "line_number", "destination",
+                                F.year("planned_ts").alias("planned_year"))
+    p = annual_prices(t)
+    j = f.join(p, (f.destination == p.nation) & (f.planned_year == p.year), "left")
+    return j.select("order_key", "line_number", "destination", "planned_year",
+                    F.round("price", 6).alias("annual_price"),
+                    F.when(F.col("price").isNotNull(), F.lit("year")).alias("source_grain"))
+
+
+PIVOT_YEARS = list(range(1995, 2002))
+
+
+@query("unpivot_wide", sql="""
+SELECT c_nationkey AS nation, CAST(year(o_orderdate) AS INTEGER) AS year,
+       round(avg(o_totalprice), 2) AS price
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2
+""")
+def q_unpivot_wide(spark: SparkSession, sf_dir: str):
+    """A spreadsheet-like wide table (one text column per year, decimal comma) back to long form."""
+    t = Tables(spark, sf_dir)
+    o, c = t.orders, t.customer.select("c_custkey", "c_nationkey")
+    long_src = (o.join(c, o.o_custkey == c.c_custkey)
+                .withColumn("y", F.year("o_orderdate")))
+    wide = (long_src.groupBy(F.col("c_nationkey").alias("nation")).pivot("y", PIVOT_YEARS)
+            .agg(F.regexp_replace(F.round(F.avg("o_totalprice"), 2).cast("string"), r"\.", ",")))
+    wide = wide.toDF("nation", *[f"y{y}" for y in PIVOT_YEARS])
+    return unpivot_years(wide, "nation", [f"y{y}" for y in PIVOT_YEARS])
+
+
+def unpivot_years(wide, id_col: str, year_cols):
+    """Wide year columns -> (id, year, value); text numbers with decimal comma are cleaned."""
+    long = wide.unpivot([id_col], list(year_cols), "year_col", "price_text")
+    return (long.filter(F.col("price_text").isNotNull())
+            .select(id_col, F.regexp_extract("year_col", r"(\d{4})", 1).cast("int").alias("year"),
+                    F.regexp_replace(F.regexp_replace("price_text", r"\s", ""), ",", ".").try_cast("double")
+                    .alias("price")))
+
+
+# --------------------------------------------------------------------------- dimensions
+@query("dim_date", sql=f"""
+SELECT d AS date, CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key,
+       CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+       CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS iso_weekday, isodow(d) >= 6 AS is_weekend,
+       {_HOLIDAY_SQL} AS is_holiday, month(d) IN (1, 7, 12) AS is_high_season
+FROM (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS d
+      FROM orders)
+""")
+def q_dim_date(spark: SparkSession, sf_dir: str):
+    o = Tables(spark, sf_dir).orders
+    bounds = o.agg(F.to_date(F.min("o_orderdate")).alias("lo"), F.to_date(F.max("o_orderdate")).alias("hi"))
+    return build_dim_date(bounds, "lo", "hi")
+
+
+@query("dim_hour", sql="""
+SELECT CAST(hour(ts) AS INTEGER) AS hour,
+       CASE WHEN hour(ts) >= 18 THEN 'evening' WHEN hour(ts) >= 12 THEN 'afternoon'
+            WHEN hour(ts) >= 6 THEN 'morning' ELSE 'night' END AS day_period,
+       count(*) AS events
+FROM events GROUP BY 1, 2
+""")
+def q_dim_hour(spark: SparkSession, sf_dir: str):
+    """Hour-of-day dimension (period labels) with the event count seen in each hour."""
+    from punctua.operators.calendar import day_period
+    e = Tables(spark, sf_dir).events
+    return (e.groupBy(F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("events"))
+            .withColumn("day_period", day_period(F.col("hour"))))
+
+
+@query("calendar_features", sql=f"""
+SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) AS INTEGER) AS iso_weekday,
+       CAST(month(ts) AS INTEGER) AS month, isodow(ts) >= 6 AS is_weekend,
+       (month(ts) * 100 + day(ts)) IN (101, 421, 501, 907, 1012, 1102, 1115, 1225) AS is_holiday,
+       month(ts) IN (1, 7, 12) AS is_high_season
+FROM events
+""")
+def q_calendar_features(spark: SparkSession, sf_dir: str):
+    e = Tables(spark, sf_dir).events
+    d = F.col("ts")
+    return e.select("event_id", F.hour(d).alias("hour"), iso_weekday(d).alias("iso_weekday"),
+                    F.month(d).alias("month"), (iso_weekday(d) >= 6).alias("is_weekend"),
+                    is_holiday(d).alias("is_holiday"), is_high_season(d).alias("is_high_season"))
+
+
+# IANA zone of each nation key 0..24 (the zone table of the airports).
+NATION_ZONES = [
+    "America/Sao_Paulo", "America/Manaus", "America/Recife", "America/Noronha", "America/Cuiaba",
+    "America/Rio_Branco", "America/Belem", "America/Fortaleza", "America/Bahia", "America/Campo_Grande",
+    "America/Porto_Velho", "America/Boa_Vista", "America/Araguaina", "America/Maceio", "America/Santarem",
+    "America/Eirunepe", "America/New_York", "America/Chicago", "America/Los_Angeles", "Europe/Lisbon",
+    "Europe/London", "Europe/Madrid", "America/Argentina/Buenos_Aires", "America/Santiago", "Atlantic/Azores",
+]
+
+_ZONES_SQL = "(VALUES " + ", ".join(f"({i}, '{z}')" for i, z in enumerate(NATION_ZONES)) + ") AS z(nk, zone)"
+
+
+@query("local_to_utc", sql=f"""
+SELECT order_key, zone, local_ts,
+       CASE WHEN timezone(zone, timezone('UTC', u_alt)) = local_ts THEN least(u, u_alt) ELSE u END AS utc_ts
+FROM (SELECT o_orderkey AS order_key, zone, local_ts, timezone('UTC', timezone(zone, local_ts)) AS u,
+             timezone('UTC', timezone(zone, local_ts - INTERVAL 1 HOUR)) + INTERVAL 1 HOUR AS u_alt
+      FROM (SELECT o_orderkey, z.zone, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS local_ts
+            FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN {_ZONES_SQL} ON c_nationkey = z.nk))
+""")
+def q_local_to_utc(spark: SparkSession, sf_dir: str):
+    """Planned local times (customer nation's zone, DST history included) converted to UTC.
+
+    A wall-clock time that occurs twice (DST fall-back) resolves to the earlier
+    instant; one inside a spring-forward gap is shifted forward by the gap.
+    """
+    t = Tables(spark, sf_dir)
+    zones = bounded_broadcast(spark.createDataFrame(list(enumerate(NATION_ZONES)), "nk int, zone string"))
+    o = t.orders.select("o_orderkey", "o_custkey",
+                        (F.col("o_orderdate") + F.make_interval(hours=(F.col("o_orderkey") % 24).cast("int")))
+                        .alias("local_ts"))
+    c = t.customer.select("c_custkey", "c_nationkey")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(zones, F.col("c_nationkey") == zones.nk, "left")
+    return j.select(F.col("o_orderkey").alias("order_key"), "zone", "local_ts",
+                    local_to_utc("local_ts", "zone").alias("utc_ts"))

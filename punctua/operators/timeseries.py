@@ -81,7 +81,7 @@ def payload_type(df: DataFrame, cols: Sequence[str]) -> str:
     return "struct<" + ",".join(f"`{c}`:{types[c]}" for c in cols) + ">"
 
 
-def trailing_window(df: DataFrame, key: str, ts: str, aggs: dict[str, Column], days: float,
+def trailing_window(df: DataFrame, key: str | Sequence[str], ts: str, aggs: dict[str, Column], days: float,
                     include_current: bool = False, bucket_days: float | None = None) -> DataFrame:
     """Add ``aggs`` evaluated over the key's rows in ``[ts - days, ts)``.
 
@@ -95,7 +95,8 @@ def trailing_window(df: DataFrame, key: str, ts: str, aggs: dict[str, Column], d
     base = df.withColumn("_us", F.unix_micros(F.col(ts))).withColumn("_b", _bucket(F.col(ts), bw))
     ctx = base.withColumn("_target", F.lit(False)).withColumn("_b", F.col("_b") + 1)
     u = base.withColumn("_target", F.lit(True)).unionByName(ctx)
-    w = Window.partitionBy(key, "_b").orderBy("_us").rangeBetween(-width, upper)
+    keys = [key] if isinstance(key, str) else list(key)
+    w = Window.partitionBy(*keys, "_b").orderBy("_us").rangeBetween(-width, upper)
     out = u.withColumns({name: agg.over(w) for name, agg in aggs.items()})
     return out.filter("_target").drop("_us", "_b", "_target")
 

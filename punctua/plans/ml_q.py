@@ -1 +1,175 @@
-"""Catalogue queries."""
+"""Delay-prediction datasets: label, leak-free features, temporal split,
+PR curve and drift."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from punctua.operators.calendar import is_high_season, is_holiday, iso_weekday
+from punctua.operators.stats import pr_curve, psi
+from punctua.operators.timeseries import asof_join, trailing_window
+from punctua.plans.flights import FLIGHTS_SQL, valid_flights
+from punctua.plans.registry import query
+from punctua.tables import Tables
+
+# Parameters.
+LABEL_MINUTES = 15
+HISTORY_DAYS = 30
+SPLIT_VALIDATION_FROM = "1999-01-01"
+SPLIT_TEST_FROM = "2000-06-01"
+
+
+def labelled(t: Tables):
+    f = valid_flights(t).filter(~F.col("cancelled"))
+    return f.withColumn("label", (F.col("delay_min") > LABEL_MINUTES).cast("int"))
+
+
+_LAB_SQL = f"""
+lab AS (SELECT order_key, line_number, carrier, origin, destination, planned_ts, real_ts, delay_min, quantity,
+               CAST(CASE WHEN delay_min > {LABEL_MINUTES} THEN 1 ELSE 0 END AS INTEGER) AS label
+        FROM f WHERE NOT cancelled AND carrier IS NOT NULL AND origin IS NOT NULL AND planned_ts IS NOT NULL)"""
+
+
+@query("label_delay15", sql=f"""
+WITH {FLIGHTS_SQL}, {_LAB_SQL}
+SELECT order_key, line_number, round(delay_min, 6) AS delay_min, label FROM lab
+""")
+def q_label_delay15(spark: SparkSession, sf_dir: str):
+    return labelled(Tables(spark, sf_dir)).select("order_key", "line_number",
+                                                  F.round("delay_min", 6).alias("delay_min"), "label")
+
+
+def features(t: Tables):
+    """Leak-free features per flight, all known strictly before its planned departure.
+
+    * route delay rate over the previous 30 days, counting only flights whose
+      outcome (actual time) was known before this flight's planned time;
+    * last complete day of "rain" at the destination (a day becomes known when
+      it ends), by strict as-of join;
+    * calendar parts of the planned date.
+    """
+    lab = labelled(t)
+    q = lab.select("order_key", "line_number", "origin", "destination", F.col("planned_ts").alias("t"),
+                   F.lit(None).cast("int").alias("outcome"), F.lit(True).alias("is_query"))
+    o = lab.select(F.lit(None).cast("bigint").alias("order_key"), F.lit(None).cast("int").alias("line_number"),
+                   "origin", "destination", F.col("real_ts").alias("t"), F.col("label").alias("outcome"),
+                   F.lit(False).alias("is_query"))
+    tr = trailing_window(q.unionByName(o), ["origin", "destination"], "t",
+                         {"route_n_30d": F.count("outcome"), "route_rate_30d": F.avg("outcome")}, HISTORY_DAYS)
+    tr = tr.filter("is_query").select("order_key", "line_number", "route_n_30d", "route_rate_30d")
+    allf = valid_flights(t)
+    rain = (allf.groupBy("destination", F.to_date("real_ts").alias("day"))
+            .agg(F.sum("quantity").alias("rain_mm"))
+            .select(F.col("destination").alias("r_dest"), "rain_mm",
+                    F.date_add("day", 1).cast("timestamp").alias("rain_known_ts")))
+    base = lab.select("order_key", "line_number", "origin", "destination", "planned_ts", "label")
+    withrain = asof_join(base, rain.withColumnRenamed("r_dest", "destination"), "destination", "planned_ts",
+                         "rain_known_ts", ["rain_mm"], strict=True, bucket_days=30.0, prefix="prev_")
+    d = F.col("planned_ts")
+    return (withrain.join(tr, ["order_key", "line_number"], "left")
+            .select("order_key", "line_number", "origin", "destination", "planned_ts", "label",
+                    F.col("route_n_30d").cast("bigint").alias("route_n_30d"),
+                    F.round("route_rate_30d", 6).alias("route_rate_30d"),
+                    F.round("prev_rain_mm", 6).alias("prev_rain_mm"),
+                    iso_weekday(d).alias("iso_weekday"), F.month(d).alias("month"),
+                    is_holiday(d).alias("is_holiday"), is_high_season(d).alias("is_high_season")))
+
+
+@query("feature_table", sql=f"""
+WITH {FLIGHTS_SQL}, {_LAB_SQL},
+u AS (SELECT order_key, line_number, origin, destination, planned_ts AS t, CAST(NULL AS INTEGER) AS outcome, true AS q
+      FROM lab
+      UNION ALL SELECT NULL, NULL, origin, destination, real_ts, label, false FROM lab),
+tr AS (SELECT order_key, line_number, count(outcome) OVER w AS route_n_30d, avg(outcome) OVER w AS route_rate_30d
+       FROM u WINDOW w AS (PARTITION BY origin, destination ORDER BY t
+                           RANGE BETWEEN INTERVAL {HISTORY_DAYS} DAYS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)),
+rain AS (SELECT destination AS r_dest, CAST(CAST(real_ts AS DATE) + 1 AS TIMESTAMP) AS known_ts, sum(quantity) AS rain_mm
+         FROM f WHERE carrier IS NOT NULL AND origin IS NOT NULL AND planned_ts IS NOT NULL GROUP BY 1, 2),
+wr AS (SELECT lab.*, rain.rain_mm AS prev_rain_mm FROM lab ASOF LEFT JOIN rain
+       ON lab.destination = rain.r_dest AND lab.planned_ts > rain.known_ts)
+SELECT wr.order_key, wr.line_number, origin, destination, planned_ts, label, route_n_30d,
+       round(route_rate_30d, 6) AS route_rate_30d, round(prev_rain_mm, 6) AS prev_rain_mm,
+       CAST(isodow(planned_ts) AS INTEGER) AS iso_weekday, CAST(month(planned_ts) AS INTEGER) AS month,
+       (month(planned_ts) * 100 + day(planned_ts)) IN (101, 421, 501, 907, 1012, 1102, 1115, 1225) AS is_holiday,
+       month(planned_ts) IN (1, 7, 12) AS is_high_season
+FROM wr JOIN (SELECT * FROM tr WHERE order_key IS NOT NULL) tr
+  ON wr.order_key = tr.order_key AND wr.line_number = tr.line_number
+""")
+def q_feature_table(spark: SparkSession, sf_dir: str):
+    return features(Tables(spark, sf_dir))
+
+
+def split_of(d):
+    return (F.when(d < F.lit(SPLIT_VALIDATION_FROM).cast("timestamp"), F.lit("train"))
+            .when(d < F.lit(SPLIT_TEST_FROM).cast("timestamp"), F.lit("validation"))
+            .otherwise(F.lit("test")))
+
+
+@query("temporal_split", sql=f"""
+WITH {FLIGHTS_SQL}, {_LAB_SQL}
+SELECT order_key, line_number, CAST(planned_ts AS DATE) AS planned_date,
+       CASE WHEN planned_ts < TIMESTAMP '{SPLIT_VALIDATION_FROM}' THEN 'train'
+            WHEN planned_ts < TIMESTAMP '{SPLIT_TEST_FROM}' THEN 'validation' ELSE 'test' END AS split
+FROM lab
+""")
+def q_temporal_split(spark: SparkSession, sf_dir: str):
+    lab = labelled(Tables(spark, sf_dir))
+    return lab.select("order_key", "line_number", F.to_date("planned_ts").alias("planned_date"),
+                      split_of(F.col("planned_ts")).alias("split"))
+
+
+@query("pr_curve", sql=f"""
+WITH {FLIGHTS_SQL}, {_LAB_SQL},
+u AS (SELECT order_key, line_number, origin, destination, planned_ts AS t, CAST(NULL AS INTEGER) AS outcome, true AS q
+      FROM lab
+      UNION ALL SELECT NULL, NULL, origin, destination, real_ts, label, false FROM lab),
+tr AS (SELECT order_key, line_number, avg(outcome) OVER w AS score FROM u
+       WINDOW w AS (PARTITION BY origin, destination ORDER BY t
+                    RANGE BETWEEN INTERVAL {HISTORY_DAYS} DAYS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)),
+s AS (SELECT round(tr.score, 6) AS threshold, lab.label FROM lab JOIN tr
+        ON lab.order_key = tr.order_key AND lab.line_number = tr.line_number WHERE tr.score IS NOT NULL),
+p AS (SELECT threshold, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg FROM s GROUP BY 1),
+c AS (SELECT threshold, pos, sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS tp,
+             sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS fp, sum(pos) OVER () AS all_pos FROM p),
+c2 AS (SELECT *, tp / (tp + fp) AS prec FROM c)
+SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(prec, 6) AS precision,
+       round(CASE WHEN all_pos > 0 THEN tp / all_pos END, 6) AS recall,
+       round(sum(CASE WHEN all_pos > 0 THEN pos / all_pos * prec END) OVER (), 6) AS average_precision
+FROM c2
+""")
+def q_pr_curve(spark: SparkSession, sf_dir: str):
+    """PR curve of the 30-day route delay rate used as a score for the delay label."""
+    f = features(Tables(spark, sf_dir))
+    return pr_curve(f.select(F.col("route_rate_30d").alias("score"), "label"), "score", "label")
+
+
+@query("drift_psi", sql=f"""
+WITH {FLIGHTS_SQL}, {_LAB_SQL},
+long AS (SELECT planned_ts < TIMESTAMP '{SPLIT_VALIDATION_FROM}' AS r, planned_ts >= TIMESTAMP '{SPLIT_TEST_FROM}' AS c,
+                'delay_min' AS feature, CAST(delay_min AS DOUBLE) AS x FROM lab
+         UNION ALL SELECT planned_ts < TIMESTAMP '{SPLIT_VALIDATION_FROM}', planned_ts >= TIMESTAMP '{SPLIT_TEST_FROM}',
+                'quantity', CAST(quantity AS DOUBLE) FROM lab),
+l2 AS (SELECT * FROM long WHERE x IS NOT NULL AND (r OR c)),
+b AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM l2 WHERE r GROUP BY 1),
+binned AS (SELECT l2.feature, r, c,
+                  CAST(least(greatest(CASE WHEN (hi - lo) / 10 > 0 THEN floor((x - lo) / ((hi - lo) / 10)) ELSE 0 END, 0), 9)
+                       AS INTEGER) AS bin
+           FROM l2 JOIN b ON l2.feature = b.feature),
+cnt AS (SELECT feature, bin, count_if(r) AS n_ref, count_if(c) AS n_cur FROM binned GROUP BY 1, 2),
+grid AS (SELECT feature, CAST(unnest(range(0, 10)) AS INTEGER) AS bin FROM b),
+per AS (SELECT g.feature, g.bin, coalesce(n_ref, 0) AS n_ref, coalesce(n_cur, 0) AS n_cur FROM grid g
+        LEFT JOIN cnt ON g.feature = cnt.feature AND g.bin = cnt.bin),
+sh AS (SELECT *, greatest(n_ref / sum(n_ref) OVER (PARTITION BY feature), 1e-6) AS rs,
+              greatest(n_cur / sum(n_cur) OVER (PARTITION BY feature), 1e-6) AS cs FROM per),
+pp AS (SELECT *, (cs - rs) * ln(cs / rs) AS part FROM sh)
+SELECT feature, bin, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur, round(rs, 6) AS ref_share,
+       round(cs, 6) AS cur_share, round(part, 6) AS psi_part, round(sum(part) OVER (PARTITION BY feature), 6) AS psi
+FROM pp
+""")
+def q_drift_psi(spark: SparkSession, sf_dir: str):
+    """PSI of delay and quantity between the training period and the test period."""
+    lab = labelled(Tables(spark, sf_dir))
+    d = F.col("planned_ts")
+    return psi(lab, ["delay_min", "quantity"], d < F.lit(SPLIT_VALIDATION_FROM).cast("timestamp"),
+               d >= F.lit(SPLIT_TEST_FROM).cast("timestamp"))

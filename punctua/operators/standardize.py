@@ -10,7 +10,7 @@ sending the row to quarantine.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -29,7 +29,17 @@ class StandardizeSpec:
     casts: Mapping[str, str] = field(default_factory=dict)        # column -> type name
     labels: Mapping[str, tuple[str, Mapping[int, str]]] = field(default_factory=dict)  # new -> (code col, map)
     flags: Mapping[str, tuple[str, object]] = field(default_factory=dict)  # new -> (col, value)
-    derived: Mapping[str, Column] = field(default_factory=dict)   # new -> expression over standardised cols
+    # new -> expression over standardised columns: a Column, a SQL string, or a
+    # zero-argument callable returning a Column (lets specs live at module level)
+    derived: Mapping[str, Column | str | Callable[[], Column]] = field(default_factory=dict)
+
+
+def as_column(x) -> Column:
+    if isinstance(x, str):
+        return F.expr(x)
+    if callable(x) and not isinstance(x, Column):
+        return x()
+    return x
 
 
 def rename_present(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
@@ -77,5 +87,5 @@ def standardize(df: DataFrame, spec: StandardizeSpec) -> DataFrame:
         extra[new] = code_label(c, mapping)
     for new, (c, value) in spec.flags.items():
         extra[new] = flag_equals(c, value)
-    extra.update(spec.derived)
+    extra.update({k: as_column(v) for k, v in spec.derived.items()})
     return out.withColumns(extra) if extra else out

@@ -92,9 +92,12 @@ def trailing_window(df: DataFrame, key: str | Sequence[str], ts: str, aggs: dict
     width = int(days * MICROS_PER_DAY)
     upper = 0 if include_current else -1
     bw = max(width, int((bucket_days or days) * MICROS_PER_DAY))
-    base = df.withColumn("_us", F.unix_micros(F.col(ts))).withColumn("_b", _bucket(F.col(ts), bw))
-    ctx = base.withColumn("_target", F.lit(False)).withColumn("_b", F.col("_b") + 1)
-    u = base.withColumn("_target", F.lit(True)).unionByName(ctx)
+    b = _bucket(F.col(ts), bw)
+    # one pass: each row yields itself (target, bucket b) and a context copy (bucket b + 1)
+    copies = F.explode(F.array(F.struct(b.alias("b"), F.lit(True).alias("t")),
+                               F.struct((b + 1).alias("b"), F.lit(False).alias("t"))))
+    u = (df.withColumn("_us", F.unix_micros(F.col(ts))).withColumn("_c", copies)
+         .withColumn("_b", F.col("_c.b")).withColumn("_target", F.col("_c.t")).drop("_c"))
     keys = [key] if isinstance(key, str) else list(key)
     w = Window.partitionBy(*keys, "_b").orderBy("_us").rangeBetween(-width, upper)
     out = u.withColumns({name: agg.over(w) for name, agg in aggs.items()})

@@ -5,22 +5,32 @@ from __future__ import annotations
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
-from punctua.plans.flights import FLIGHTS_SQL, rain_days, valid_flights
+from punctua.plans.flights import FLIGHTS_SQL, RAIN_THRESHOLD, valid_flights
 from punctua.plans.registry import query
 from punctua.tables import Tables
 
 TOP_K = 10
 
 
-def top_routes(f, k: int = TOP_K):
-    """Top-k routes by mean delay per carrier on rain days (cancelled excluded)."""
-    rain = rain_days(f).select("destination", "day")
-    on_rain = (f.filter(~F.col("cancelled"))
-               .withColumn("day", F.to_date("real_ts"))
-               .join(rain, ["destination", "day"], "left_semi"))
+def top_routes(f, k: int = TOP_K, threshold: float = RAIN_THRESHOLD):
+    """Top-k routes by mean delay per carrier on rain days (cancelled excluded).
+
+    One pass over the flights: they are pre-aggregated (map-side partial
+    sums) to the (destination, day, carrier, origin) grain; the day's rain is
+    a window over that small grain (at most carriers x origins rows per
+    destination-day), so the fact is scanned once and no group can hold more
+    than a bounded number of rows.
+    """
+    ok = ~F.col("cancelled")
+    grain = (f.groupBy("destination", F.to_date("real_ts").alias("day"), "carrier", "origin")
+             .agg(F.sum("quantity").alias("q"),
+                  F.sum(F.when(ok, F.col("delay_min"))).alias("delay_sum"),
+                  F.count(F.when(ok, F.lit(1))).alias("n")))
+    rain = F.sum("q").over(Window.partitionBy("destination", "day"))
+    on_rain = grain.withColumn("rain_mm", rain).filter((F.col("rain_mm") > F.lit(threshold)) & (F.col("n") > 0))
     agg = (on_rain.groupBy("carrier", "origin", "destination")
-           .agg(F.round(F.avg("delay_min"), 6).alias("avg_delay_min"),
-                F.count(F.lit(1)).alias("flights")))
+           .agg(F.round(F.sum("delay_sum") / F.sum("n"), 6).alias("avg_delay_min"),
+                F.sum("n").alias("flights")))
     w = Window.partitionBy("carrier").orderBy(F.col("avg_delay_min").desc(), "origin", "destination")
     return (agg.withColumn("rank", F.row_number().over(w).cast("bigint"))
             .filter(F.col("rank") <= k))

@@ -11,6 +11,7 @@ from punctua.operators.stats import pr_curve, psi
 from punctua.operators.timeseries import asof_join, trailing_window
 from punctua.plans.flights import FLIGHTS_SQL, valid_flights
 from punctua.plans.registry import query
+from punctua.session import materialize
 from punctua.tables import Tables
 
 # Parameters.
@@ -20,11 +21,17 @@ SPLIT_VALIDATION_FROM = "1999-01-01"
 SPLIT_TEST_FROM = "2000-06-01"
 
 
-def labelled(t: Tables):
-    f = valid_flights(t).filter(~F.col("cancelled"))
+def labelled(t: Tables, flights=None):
+    f = (flights if flights is not None else valid_flights(t)).filter(~F.col("cancelled"))
     return f.withColumn("label", (F.col("delay_min") > LABEL_MINUTES).cast("int"))
 
 
+def flight_base(t: Tables):
+    """The validated flights, computed once and materialised: the feature
+    plans read them in several branches (labels, outcomes, rain)."""
+    return materialize(valid_flights(t), "flights")
+
+
 _LAB_SQL = f"""
 lab AS (SELECT order_key, line_number, carrier, origin, destination, planned_ts, real_ts, delay_min, quantity,
                CAST(CASE WHEN delay_min > {LABEL_MINUTES} THEN 1 ELSE 0 END AS INTEGER) AS label
@@ -49,7 +56,8 @@ def features(t: Tables):
       it ends), by strict as-of join;
     * calendar parts of the planned date.
     """
-    lab = labelled(t)
+    allf = flight_base(t)
+    lab = labelled(t, allf)
     q = lab.select("order_key", "line_number", "origin", "destination", F.col("planned_ts").alias("t"),
                    F.lit(None).cast("int").alias("outcome"), F.lit(True).alias("is_query"))
     o = lab.select(F.lit(None).cast("bigint").alias("order_key"), F.lit(None).cast("int").alias("line_number"),
@@ -58,7 +66,6 @@ def features(t: Tables):
     tr = trailing_window(q.unionByName(o), ["origin", "destination"], "t",
                          {"route_n_30d": F.count("outcome"), "route_rate_30d": F.avg("outcome")}, HISTORY_DAYS)
     tr = tr.filter("is_query").select("order_key", "line_number", "route_n_30d", "route_rate_30d")
-    allf = valid_flights(t)
     rain = (allf.groupBy("destination", F.to_date("real_ts").alias("day"))
             .agg(F.sum("quantity").alias("rain_mm"))
             .select(F.col("destination").alias("r_dest"), "rain_mm",
@@ -169,7 +176,8 @@ FROM pp
 """)
 def q_drift_psi(spark: SparkSession, sf_dir: str):
     """PSI of delay and quantity between the training period and the test period."""
-    lab = labelled(Tables(spark, sf_dir))
+    t = Tables(spark, sf_dir)
+    lab = labelled(t, flight_base(t))
     d = F.col("planned_ts")
     return psi(lab, ["delay_min", "quantity"], d < F.lit(SPLIT_VALIDATION_FROM).cast("timestamp"),
                d >= F.lit(SPLIT_TEST_FROM).cast("timestamp"))

@@ -15,6 +15,8 @@ DEFAULT_START = "1996-01-01"
 TODAY = "2001-06-01"
 LAG_DAYS = 7
 HWM_CUT = "1999-01-01"
+# Fixed value: date format of the series API request parameters.
+REQUEST_DATE_FORMAT = "dd/MM/yyyy"
 
 
 def control_table(t: Tables):
@@ -70,11 +72,15 @@ w AS (
          least(CAST(start_date + INTERVAL 120 MONTH + INTERVAL (120 * k) MONTH AS DATE) - 1, end_date) AS window_end
   FROM spans, LATERAL (SELECT unnest(range(0, 60)) AS k)
 )
-SELECT * FROM w WHERE window_start <= end_date
+SELECT *, strftime(window_start, '%d/%m/%Y') AS request_from, strftime(window_end, '%d/%m/%Y') AS request_to
+FROM w WHERE window_start <= end_date
 """)
 def q_request_windows(spark: SparkSession, sf_dir: str):
-    """Each customer's span (start made from the key, end = last order) in <=10-year pieces."""
-    return split_windows(spans(Tables(spark, sf_dir)))
+    """Each customer's span (start made from the key, end = last order) in <=10-year pieces,
+    with the request parameters formatted as the API expects (dd/MM/yyyy)."""
+    w = split_windows(spans(Tables(spark, sf_dir)))
+    return w.withColumns({"request_from": F.date_format("window_start", REQUEST_DATE_FORMAT),
+                          "request_to": F.date_format("window_end", REQUEST_DATE_FORMAT)})
 
 
 @query("year_range", sql="""

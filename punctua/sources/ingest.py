@@ -150,6 +150,20 @@ def discover(spark: SparkSession, cfg: SourceConfig) -> Registry:
 
 
 # --------------------------------------------------------------------------- scan
+# Options consumed by the scan itself rather than by the record parser.
+SCAN_OPTIONS = {"header", "skiprows", "encoding", "charset", "pathglobfilter", "recursivefilelookup",
+                "multiline", "inferschema", "primitivesasstring"}
+
+
+def parser_options(cfg: SourceConfig) -> dict[str, str]:
+    """Free-form reader options passed through to ``from_csv``/``from_json``."""
+    opts = {k: str(v) for k, v in cfg.reader_options.items() if k.lower() not in SCAN_OPTIONS}
+    if cfg.file_format == "csv":
+        opts.setdefault("sep", ",")
+        opts.setdefault("quote", '"')
+    return opts
+
+
 def _lines(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
     enc = cfg.opt("encoding", "UTF-8")
     if enc.replace("-", "").lower() == "utf8":
@@ -179,7 +193,7 @@ def _csv_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFra
     lines = _lines(spark, cfg)
     j = lines.join(headers, F.col("_metadata.file_path") == F.col("hf"))
     j = j.filter(~F.array_contains(F.col("drop_lines"), F.col("value")) & (F.length("value") > 0))
-    parsed = j.withColumn("_v", F.from_csv(F.col("value"), pos_schema, {"sep": sep, "quote": quote}))
+    parsed = j.withColumn("_v", F.from_csv(F.col("value"), pos_schema, parser_options(cfg)))
     vals = F.array(*[F.col("_v")[f"c{i}"] for i in range(width)])
     parsed = parsed.withColumn("_vals", vals)
     cols = {}
@@ -200,7 +214,8 @@ def _csv_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFra
 
 def _json_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFrame:
     lines = _lines(spark, cfg).filter(F.length(F.trim("value")) > 0)
-    as_map = F.transform_keys(F.from_json(F.col("value"), "map<string,string>"), lambda k, v: sanitize_expr(k))
+    as_map = F.transform_keys(F.from_json(F.col("value"), "map<string,string>", parser_options(cfg)),
+                              lambda k, v: sanitize_expr(k))
     m = lines.withColumn("_m", as_map)
     known = set(reg.columns) | set(reg.partitions)
     cols = {name: F.col("_m")[name] for name in reg.columns}

@@ -4,9 +4,9 @@ Skew: a key (airport, user, route) may hold a third of all rows.  A window
 partitioned by the key alone would sort that third in one task, so both the
 as-of join and the trailing window split each key by time bucket:
 
-* as-of: last value inside ``(key, bucket)``; buckets without a match take
-  the carry from earlier buckets, computed on the per-bucket summary (size
-  keys x buckets, independent of rows per bucket).
+* as-of: last value inside ``(key, bucket)``; rows without a match in their
+  bucket take the carry from earlier buckets, computed on the per-bucket
+  summary (size keys x buckets, independent of rows per bucket).
 * trailing window of N: every row is also copied, as context only, into the
   next bucket (bucket width >= N), so each ``(key, bucket)`` partition holds
   every row its frames can reach.  Exact, 2x rows through one shuffle.
@@ -58,20 +58,19 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
     else:
         width = int(bucket_days * MICROS_PER_DAY)
         u = u.withColumn("_b", _bucket(F.col("_t"), width))
-        w = Window.partitionBy("_k", "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        inner = u.withColumn("_m", F.last("_p", ignorenulls=True).over(w)).filter(F.col("_side") == fact_side)
-        # per-bucket summary: the last right row of each (key, bucket) ...
-        summ = (r.withColumn("_b", _bucket(F.col("_t"), width))
-                .groupBy("_k", "_b")
-                .agg(F.max_by("_p", F.struct("_t", "_tie")).alias("_last")))
-        # ... carried forward to every later bucket that holds left rows
-        fact_b = l.select("_k", _bucket(F.col("_t"), width).alias("_b")).distinct()
-        grid = fact_b.withColumn("_last", F.lit(None).cast(summ.schema["_last"].dataType)).unionByName(summ)
+        part = Window.partitionBy("_k", "_b").orderBy(*order)
+        # one window pass: running last match, and the bucket's last right row
+        uw = (u.withColumn("_m", F.last("_p", ignorenulls=True).over(
+                  part.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("_blast", F.last("_p", ignorenulls=True).over(
+                  part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+        # per-bucket summary (keys x buckets rows), carried forward to later buckets; both
+        # branches read the same shuffle of ``u``, which Spark reuses instead of rescanning
         wb = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        carry = (grid.groupBy("_k", "_b").agg(F.first("_last", ignorenulls=True).alias("_last"))
-                 .withColumn("_carry", F.last("_last", ignorenulls=True).over(wb))
+        carry = (uw.groupBy("_k", "_b").agg(F.first("_blast", ignorenulls=True).alias("_blast"))
+                 .withColumn("_carry", F.last("_blast", ignorenulls=True).over(wb))
                  .select("_k", "_b", "_carry"))
-        out = (inner.join(carry, ["_k", "_b"], "left")
+        out = (uw.filter(F.col("_side") == fact_side).join(carry, ["_k", "_b"], "left")
                .withColumn("_m", F.coalesce(F.col("_m"), F.col("_carry"))))
     return out.select(*lcols, *[F.col("_m")[c].alias(prefix + c) for c in rc])
 

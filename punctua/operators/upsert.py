@@ -40,6 +40,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], check_uniq
     return kept.unionByName(src)
 
 
+def upsert_sql(spark: SparkSession, target_view: str, source_view: str, keys: Sequence[str]) -> DataFrame:
+    """The same upsert in SQL over registered temp views (MERGE without a row-level catalog)."""
+    cond = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
+    cols = ", ".join(f"`{c}`" for c in spark.table(target_view).columns)
+    return spark.sql(f"""
+        SELECT {cols} FROM {target_view} t WHERE NOT EXISTS (SELECT 1 FROM {source_view} s WHERE {cond})
+        UNION ALL
+        SELECT {cols} FROM {source_view}""")
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """``CREATE TABLE IF NOT EXISTS`` stand-in: an empty frame with the declared schema."""
     return spark.createDataFrame([], schema)

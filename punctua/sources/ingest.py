@@ -73,26 +73,41 @@ class SourceConfig:
 
 
 # --------------------------------------------------------------------------- registry
+MANIFEST_SCHEMA = "hf string, header array<string>, drop_lines array<string>"
+
+
 @dataclass
 class Registry:
+    """Column names (registry JSON, small) plus the per-file manifest (parquet).
+
+    The manifest holds one row per file ever discovered — path, its sanitised
+    header and the raw lines to drop (preamble and header) — and is appended
+    once per run, so it grows by files, never by rows, and is read by Spark.
+    """
     columns: list[str]
     partitions: list[str]
-    files: dict[str, dict]       # path -> {"header": [...raw names], "skip": [...raw lines], "line": raw header}
+    manifest_path: str
 
     def to_json(self) -> str:
-        return json.dumps({"columns": self.columns, "partitions": self.partitions, "files": self.files})
+        return json.dumps({"columns": self.columns, "partitions": self.partitions})
 
     @classmethod
     def load(cls, spark: SparkSession, cfg: SourceConfig) -> Registry:
         text = hfs.read_text(spark, cfg.schema_dir + "/schema.json")
+        manifest = cfg.schema_dir + "/files"
         if not text:
-            return cls([], [], {})
+            return cls([], [], manifest)
         d = json.loads(text)
-        return cls(d["columns"], d["partitions"], d["files"])
+        return cls(d["columns"], d["partitions"], manifest)
 
     def save(self, spark: SparkSession, cfg: SourceConfig) -> None:
         hfs.write_text(spark, cfg.schema_dir + "/schema.json", self.to_json())
 
+    def manifest(self, spark: SparkSession) -> DataFrame:
+        if hfs.exists(spark, self.manifest_path):
+            return spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+
 
 def _split_csv_line(line: str, sep: str, quote: str) -> list[str]:
     import csv
@@ -105,46 +120,56 @@ def _add(names: list[str], new: list[str]) -> None:
             names.append(n)
 
 
+def new_files(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> list[str]:
+    """Listed files not yet in the manifest (``left_anti`` in Spark; only the new paths come back)."""
+    listing = hfs.list_files(spark, cfg.source_path, cfg.path_glob_filter)
+    if not listing:
+        return []
+    lf = spark.createDataFrame([(f.path,) for f in listing], "hf string")
+    return sorted(r["hf"] for r in lf.join(reg.manifest(spark).select("hf"), "hf", "left_anti").collect())
+
+
 def discover(spark: SparkSession, cfg: SourceConfig) -> Registry:
     """Update the registry with the files that are new since the last run."""
     reg = Registry.load(spark, cfg)
-    listing = hfs.list_files(spark, cfg.source_path, cfg.path_glob_filter)
-    new = [f for f in listing if f.path not in reg.files]
+    new = new_files(spark, cfg, reg)
     base = hfs.qualify(spark, cfg.source_path).rstrip("/")
-    for f in new:
-        for k, _ in PARTITION_SEGMENT.findall(f.path[len(base):].rsplit("/", 1)[0] + "/"):
+    for path in new:
+        for k, _ in PARTITION_SEGMENT.findall(path[len(base):].rsplit("/", 1)[0] + "/"):
             if k not in reg.partitions:
                 reg.partitions.append(k)
     evolve = cfg.schema_evolution_mode == "addNewColumns" or not reg.columns
+    entries = []
     if cfg.file_format == "csv":
         sep, quote = cfg.opt("sep", ","), cfg.opt("quote", '"')
         enc = cfg.opt("encoding", "UTF-8")
-        for f in new:
-            lines = hfs.head_lines(spark, f.path, cfg.skip_rows + 1, enc)
+        for path in new:
+            lines = hfs.head_lines(spark, path, cfg.skip_rows + 1, enc)
             if len(lines) <= cfg.skip_rows:
-                reg.files[f.path] = {"header": [], "skip": lines, "line": None}
+                entries.append((path, [], lines))
                 continue
             raw = _split_csv_line(lines[cfg.skip_rows], sep, quote)
             names = [sanitize_name(n) for n in raw]
             if len(set(names)) != len(names):
-                raise ValueError(f"column names collide after sanitising in {f.path}: {raw}")
-            reg.files[f.path] = {"header": names, "skip": lines[:cfg.skip_rows], "line": lines[cfg.skip_rows]}
+                raise ValueError(f"column names collide after sanitising in {path}: {raw}")
+            entries.append((path, names, lines[:cfg.skip_rows + 1]))
             if evolve:
                 _add(reg.columns, names)
     elif cfg.file_format == "json":
         if new:
             inferred = (spark.read.options(**{k: v for k, v in cfg.reader_options.items()})
-                        .option("primitivesAsString", "true").json([f.path for f in new]))
+                        .option("primitivesAsString", "true").json(new))
             names = [sanitize_name(n) for n in inferred.columns if n != "_corrupt_record"]
             if evolve:
                 _add(reg.columns, names)
-            for f in new:
-                reg.files[f.path] = {"header": [], "skip": [], "line": None}
+            entries = [(path, [], []) for path in new]
     else:
         raise ValueError(f"unsupported format {cfg.file_format}")
     for p in reg.partitions:
         if p in reg.columns:
             reg.columns.remove(p)
+    if entries:
+        spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(reg.manifest_path)
     reg.save(spark, cfg)
     return reg
 
@@ -183,13 +208,11 @@ def _partition_cols(reg: Registry) -> dict[str, Column]:
 
 
 def _csv_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFrame:
-    sep, quote = cfg.opt("sep", ","), cfg.opt("quote", '"')
-    width = max([len(v["header"]) for v in reg.files.values()] + [1]) + 64
+    """Lines -> registry columns by each file's own header; up to 64 surplus
+    fields per row beyond the widest header are kept in ``_rescued_data``."""
+    headers = reg.manifest(spark)
+    width = (headers.agg(F.max(F.size("header"))).first()[0] or 1) + 64
     pos_schema = ", ".join(f"c{i} string" for i in range(width))
-    headers = spark.createDataFrame(
-        [(hfs.qualify(spark, p), v["header"], [x for x in v["skip"] + [v["line"]] if x is not None])
-         for p, v in reg.files.items()],
-        "hf string, header array<string>, drop_lines array<string>")
     lines = _lines(spark, cfg)
     j = lines.join(headers, F.col("_metadata.file_path") == F.col("hf"))
     j = j.filter(~F.array_contains(F.col("drop_lines"), F.col("value")) & (F.length("value") > 0))

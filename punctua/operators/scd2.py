@@ -33,13 +33,17 @@ def scd2_from_cdc(cdc: DataFrame, key: str, seq: str, ts: str, state_cols: Seque
     state = F.when(~F.coalesce(is_delete, F.lit(False)), F.struct(*[F.col(c) for c in sc]))
     ev = cdc.select(F.col(key).alias("_k"), F.col(seq).alias("_seq"), F.col(ts).alias("_ts"),
                     state.alias("_s"))
-    # (1) one event per (key, seq): the smallest (state, ts) wins, order independent
-    ev = (ev.groupBy("_k", "_seq").agg(F.min(F.struct("_s", "_ts")).alias("_r"))
-          .select("_k", "_seq", F.col("_r._s").alias("_s"), F.col("_r._ts").alias("_ts")))
     part = ["_k"]
     if seq_bucket:
         ev = ev.withColumn("_b", F.floor(F.col("_seq") / F.lit(seq_bucket)).cast("bigint"))
         part = ["_k", "_b"]
+    # one shuffle on (key, bucket): the dedup aggregate, both windows and the
+    # per-bucket summaries all reuse this partitioning.  With buckets, a group
+    # holds at most ``seq_bucket`` events, so a hot key cannot overload a task.
+    ev = ev.repartition(*part)
+    # (1) one event per (key, seq): the smallest (state, ts) wins, order independent
+    ev = (ev.groupBy(*part, "_seq").agg(F.min(F.struct("_s", "_ts")).alias("_r"))
+          .select(*part, "_seq", F.col("_r._s").alias("_s"), F.col("_r._ts").alias("_ts")))
     w = Window.partitionBy(*part).orderBy("_seq")
     # wrap the state so "no previous event" (NULL) differs from "previous was a delete" (struct(NULL))
     prev = F.lag(F.struct(F.col("_s").alias("s")), 1).over(w)

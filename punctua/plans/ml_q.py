@@ -47,6 +47,19 @@ def q_label_delay15(spark: SparkSession, sf_dir: str):
                                                   F.round("delay_min", 6).alias("delay_min"), "label")
 
 
+def route_history(lab):
+    """Per flight: count and delay rate of the route's flights whose outcome was
+    known (actual time) in the 30 days before this flight's planned time."""
+    q = lab.select("order_key", "line_number", "origin", "destination", F.col("planned_ts").alias("t"),
+                   F.lit(None).cast("int").alias("outcome"), F.lit(True).alias("is_query"))
+    o = lab.select(F.lit(None).cast("bigint").alias("order_key"), F.lit(None).cast("int").alias("line_number"),
+                   "origin", "destination", F.col("real_ts").alias("t"), F.col("label").alias("outcome"),
+                   F.lit(False).alias("is_query"))
+    tr = trailing_window(q.unionByName(o), ["origin", "destination"], "t",
+                         {"route_n_30d": F.count("outcome"), "route_rate_30d": F.avg("outcome")}, HISTORY_DAYS)
+    return tr.filter("is_query").select("order_key", "line_number", "route_n_30d", "route_rate_30d")
+
+
 def features(t: Tables):
     """Leak-free features per flight, all known strictly before its planned departure.
 
@@ -58,14 +71,7 @@ def features(t: Tables):
     """
     allf = flight_base(t)
     lab = labelled(t, allf)
-    q = lab.select("order_key", "line_number", "origin", "destination", F.col("planned_ts").alias("t"),
-                   F.lit(None).cast("int").alias("outcome"), F.lit(True).alias("is_query"))
-    o = lab.select(F.lit(None).cast("bigint").alias("order_key"), F.lit(None).cast("int").alias("line_number"),
-                   "origin", "destination", F.col("real_ts").alias("t"), F.col("label").alias("outcome"),
-                   F.lit(False).alias("is_query"))
-    tr = trailing_window(q.unionByName(o), ["origin", "destination"], "t",
-                         {"route_n_30d": F.count("outcome"), "route_rate_30d": F.avg("outcome")}, HISTORY_DAYS)
-    tr = tr.filter("is_query").select("order_key", "line_number", "route_n_30d", "route_rate_30d")
+    tr = route_history(lab)
     rain = (allf.groupBy("destination", F.to_date("real_ts").alias("day"))
             .agg(F.sum("quantity").alias("rain_mm"))
             .select(F.col("destination").alias("r_dest"), "rain_mm",
@@ -147,8 +153,10 @@ FROM c2
 """)
 def q_pr_curve(spark: SparkSession, sf_dir: str):
     """PR curve of the 30-day route delay rate used as a score for the delay label."""
-    f = features(Tables(spark, sf_dir))
-    return pr_curve(f.select(F.col("route_rate_30d").alias("score"), "label"), "score", "label")
+    t = Tables(spark, sf_dir)
+    lab = labelled(t, flight_base(t))
+    scored = route_history(lab).join(lab.select("order_key", "line_number", "label"), ["order_key", "line_number"])
+    return pr_curve(scored.select(F.col("route_rate_30d").alias("score"), "label"), "score", "label")
 
 
 @query("drift_psi", sql=f"""

@@ -56,9 +56,13 @@ def silver_frame(df: DataFrame, table: SilverTable) -> DataFrame:
         if table.dedup_first:
             return dedup_stream(std, keys, table.event_time, table.watermark).withColumn(VALID_FLAG, ok)
         return dedup_stream(std.withColumn(VALID_FLAG, ok), keys + [VALID_FLAG], table.event_time, table.watermark)
+    # batch order: the table's own "latest" order (e.g. snapshot date), else first
+    # arrival like the stream (ingest time, then file path)
     order = [as_column(o) for o in table.latest_order]
-    if "_source_file" in std.columns:
+    if order and "_source_file" in std.columns:
         order.append(F.col("_source_file").desc())
+    if not order:
+        order = [F.col(c).asc() for c in ("_ingested_at", "_source_file") if c in std.columns]
     order = order or [F.lit(1)]
     if table.dedup_first:
         return latest_by(std, keys, order).withColumn(VALID_FLAG, ok)
@@ -114,6 +118,39 @@ def run_silver_batch(spark: SparkSession, bronze_path: str, table: SilverTable,
     quarantine.write.mode("overwrite").parquet(f"{out}/{table.quarantine_name}")
 
 
+def backfill_silver(spark: SparkSession, bronze_path: str, table: SilverTable, out_root: str,
+                    bronze_filter: Column | str, label: str) -> tuple[int, int]:
+    """Re-process an older period that the stream's watermark would drop as late.
+
+    Batch path over the selected bronze rows: standardise, validate, dedup
+    (first file wins), then insert only keys the silver table does not hold
+    yet (``left_anti`` on the business key), so stream and backfill never
+    duplicate a key.  Writes ``batch=<label>`` folders; re-running with the
+    same label replaces them (idempotent).  Returns (valid, quarantined) rows.
+    """
+    src = read_bronze(spark, bronze_path)
+    src = src.filter(F.expr(bronze_filter) if isinstance(bronze_filter, str) else bronze_filter)
+    frame = silver_frame(src, table)
+    valid, quarantine = split_outputs(frame, table)
+    out = out_root.rstrip("/")
+    keys = list(table.keys)
+    existing_path = f"{out}/{table.name}"
+    from punctua.sources import hadoopfs as hfs
+    if hfs.exists(spark, existing_path):
+        existing = (spark.read.option("mergeSchema", "true").parquet(existing_path)
+                    .filter(F.col("batch").cast("string") != F.lit(label)).select(*keys))
+        valid = valid.join(existing, keys, "left_anti")
+    valid = valid.persist()
+    try:
+        n_valid = valid.count()
+        valid.write.mode("overwrite").parquet(f"{out}/{table.name}/batch={label}")
+    finally:
+        valid.unpersist()
+    quarantine.write.mode("overwrite").parquet(f"{out}/{table.quarantine_name}/batch={label}")
+    n_q = spark.read.parquet(f"{out}/{table.quarantine_name}/batch={label}").count()
+    return n_valid, n_q
+
+
 def read_silver(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(f"{out_root.rstrip('/')}/{name}")
 

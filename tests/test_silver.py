@@ -157,3 +157,29 @@ def test_airports_latest_snapshot(spark, tmp):
     q = read_silver(spark, silver, "aeroporto_quarantine").collect()
     assert len(q) == 1 and q[0]["servico_regular"] is None and q[0]["elevation_ft"] is None
     assert "home_link" not in read_silver(spark, silver, "aeroporto").columns
+
+
+def test_backfill_recovers_rows_the_watermark_dropped(spark, tmp):
+    from punctua.streaming.silver import backfill_silver
+    landing = f"{tmp}/landing"
+    _vra_file(landing, "2023/03/VRA_2023_03.csv", [
+        vra_row("AZU", "1", "SBKP", "2023-03-10 10:00:00", "2023-03-10 10:05:00", "2023-03-10 11:00:00",
+                "2023-03-10 11:00:00")])
+    _run(spark, tmp)
+    _vra_file(landing, "2023/02/VRA_2023_02.csv", [
+        vra_row("AZU", "1", "SBKP", "2023-02-10 10:00:00", "2023-02-10 10:05:00", "2023-02-10 11:00:00",
+                "2023-02-10 11:00:00"),
+        vra_row("AZU", "1", "SBKP", "2023-03-10 10:00:00", "2023-03-10 10:09:00", "2023-03-10 11:00:00",
+                "2023-03-10 11:00:00"),                     # key already in silver: not inserted twice
+        vra_row("AZU", "2", "", "2023-02-11 10:00:00", "2023-02-11 10:05:00", "2023-02-11 11:00:00",
+                "2023-02-11 11:00:00")])
+    q, silver = _run(spark, tmp)
+    assert read_silver(spark, silver, "vra").count() == 1            # February is late for the stream
+    bronze = f"{tmp}/bronze/vra"
+    got = backfill_silver(spark, bronze, VRA, silver, "_source_file LIKE '%/2023/02/%'", "backfill_2023_02")
+    assert got == (1, 1)
+    again = backfill_silver(spark, bronze, VRA, silver, "_source_file LIKE '%/2023/02/%'", "backfill_2023_02")
+    assert again == (1, 1)                                            # idempotent per label
+    v = read_silver(spark, silver, "vra")
+    assert sorted((str(r["partida_prevista"]), r["atraso_partida_min"]) for r in v.collect()) == [
+        ("2023-02-10 10:00:00", 5.0), ("2023-03-10 10:00:00", 5.0)]

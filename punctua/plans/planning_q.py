@@ -117,6 +117,8 @@ def q_upsert_merge(spark: SparkSession, sf_dir: str):
 def q_reprocess_idempotent(spark: SparkSession, sf_dir: str):
     """Re-landing one month twice through the keyed upsert leaves the table unchanged."""
     o = Tables(spark, sf_dir).orders
-    month = o.filter(F.date_trunc("month", "o_orderdate") == F.lit("1996-03-01").cast("timestamp"))
+    # the month as a range on the raw column, so the filter reaches the parquet scan
+    month = o.filter((F.col("o_orderdate") >= F.lit("1996-03-01").cast("timestamp"))
+                     & (F.col("o_orderdate") < F.lit("1996-04-01").cast("timestamp")))
     once = upsert(o, month, ["o_orderkey"])
     return upsert(once, month, ["o_orderkey"])

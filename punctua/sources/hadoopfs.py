@@ -54,7 +54,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> list[FileInfo
 
 
 def head_lines(spark: SparkSession, path: str, n: int, encoding: str = "UTF-8") -> list[str]:
-    """First ``n`` lines of a file (without line terminators)."""
+    """First ``n`` lines of a file as stored (without line terminators; a BOM stays)."""
     fs, p, jvm = _fs(spark, path)
     stream = fs.open(p)
     try:
@@ -64,7 +64,7 @@ def head_lines(spark: SparkSession, path: str, n: int, encoding: str = "UTF-8")
             line = reader.readLine()
             if line is None:
                 break
-            lines.append(line.lstrip("﻿") if not lines else line)
+            lines.append(line)
         return lines
     finally:
         stream.close()

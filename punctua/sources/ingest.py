@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import json
 import re
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -43,6 +44,8 @@ from punctua.sources import hadoopfs as hfs
 from punctua.sources.naming import sanitize_expr, sanitize_name
 
 RESCUED = "_rescued_data"
+HEADER_READERS = 16
+BOM = "\ufeff"
 PARTITION_SEGMENT = re.compile(r"/([^/=]+)=([^/]*)/")
 
 
@@ -143,16 +146,20 @@ def discover(spark: SparkSession, cfg: SourceConfig) -> Registry:
     if cfg.file_format == "csv":
         sep, quote = cfg.opt("sep", ","), cfg.opt("quote", '"')
         enc = cfg.opt("encoding", "UTF-8")
-        for path in new:
-            lines = hfs.head_lines(spark, path, cfg.skip_rows + 1, enc)
+        # only the first skip_rows + 1 lines of each *new* file are read, several files at a time
+        with ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
+            heads = list(pool.map(lambda p: hfs.head_lines(spark, p, cfg.skip_rows + 1, enc), new))
+        for path, lines in zip(new, heads):
             if len(lines) <= cfg.skip_rows:
                 entries.append((path, [], lines))
                 continue
-            raw = _split_csv_line(lines[cfg.skip_rows], sep, quote)
+            drop = lines[:cfg.skip_rows + 1]
+            drop += [x.lstrip(BOM) for x in drop if x.startswith(BOM)]   # the scan may or may not keep a BOM
+            raw = _split_csv_line(lines[cfg.skip_rows].lstrip(BOM), sep, quote)
             names = [sanitize_name(n) for n in raw]
             if len(set(names)) != len(names):
                 raise ValueError(f"column names collide after sanitising in {path}: {raw}")
-            entries.append((path, names, lines[:cfg.skip_rows + 1]))
+            entries.append((path, names, drop))
             if evolve:
                 _add(reg.columns, names)
     elif cfg.file_format == "json":

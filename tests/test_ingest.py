@@ -121,3 +121,17 @@ def test_weather_json_lines(spark, tmp):
     b = read_bronze(spark, bronze + "/open_meteo")
     assert b.count() == 3
     assert set(b.columns) >= {"icao", "time", "temperature_2m", "precipitation", "_source_file"}
+
+
+def test_csv_with_bom_and_latin1(spark, tmp):
+    landing, system, bronze = f"{tmp}/landing", f"{tmp}/system", f"{tmp}/bronze"
+    write(f"{landing}/a/f1.csv", "﻿preamble\nCódigo;Nome\n1;São Paulo\n")
+    cfg = SourceConfig(f"{landing}/a", f"{system}/a", f"{bronze}/a", "csv", reader_options={"sep": ";"},
+                       skip_rows=1)
+    run_bronze(spark, cfg)
+    assert [tuple(r) for r in read_bronze(spark, f"{bronze}/a").select("código", "nome").collect()] == [("1", "São Paulo")]
+    write(f"{landing}/b/f1.csv", "Código;Nome\n2;Maceió\n", encoding="latin-1")
+    cfg = SourceConfig(f"{landing}/b", f"{system}/b", f"{bronze}/b", "csv",
+                       reader_options={"sep": ";", "encoding": "ISO-8859-1"})
+    run_bronze(spark, cfg)
+    assert [tuple(r) for r in read_bronze(spark, f"{bronze}/b").select("código", "nome").collect()] == [("2", "Maceió")]

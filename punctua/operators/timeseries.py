@@ -8,8 +8,10 @@ as-of join and the trailing window split each key by time bucket:
   bucket take the carry from earlier buckets, computed on the per-bucket
   summary (size keys x buckets, independent of rows per bucket).
 * trailing window of N: every row is also copied, as context only, into the
-  next bucket (bucket width >= N), so each ``(key, bucket)`` partition holds
-  every row its frames can reach.  Exact, 2x rows through one shuffle.
+  next ceil(N / bucket width) buckets, so each ``(key, bucket)`` partition
+  holds every row its frames can reach.  Exact; with the default bucket width
+  N the rows cross one shuffle twice, narrower buckets split a hot key finer
+  at the cost of more copies.
 """
 
 from __future__ import annotations
@@ -90,11 +92,11 @@ def trailing_window(df: DataFrame, key: str | Sequence[str], ts: str, aggs: dict
     """
     width = int(days * MICROS_PER_DAY)
     upper = 0 if include_current else -1
-    bw = max(width, int((bucket_days or days) * MICROS_PER_DAY))
+    bw = int((bucket_days or days) * MICROS_PER_DAY)
+    halo = -(-width // bw)          # context copies needed so that halo * bucket width >= window width
     b = _bucket(F.col(ts), bw)
-    # one pass: each row yields itself (target, bucket b) and a context copy (bucket b + 1)
-    copies = F.explode(F.array(F.struct(b.alias("b"), F.lit(True).alias("t")),
-                               F.struct((b + 1).alias("b"), F.lit(False).alias("t"))))
+    # one pass: each row yields itself (target, bucket b) and context copies in buckets b+1 .. b+halo
+    copies = F.explode(F.array(*[F.struct((b + i).alias("b"), F.lit(i == 0).alias("t")) for i in range(halo + 1)]))
     u = (df.withColumn("_us", F.unix_micros(F.col(ts))).withColumn("_c", copies)
          .withColumn("_b", F.col("_c.b")).withColumn("_target", F.col("_c.t")).drop("_c"))
     keys = [key] if isinstance(key, str) else list(key)

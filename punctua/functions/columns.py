@@ -97,7 +97,3 @@ def filename_period(c: ColumnOrName) -> Column:
 def local_to_utc(ts: ColumnOrName, zone: ColumnOrName) -> Column:
     """Wall-clock time in an IANA zone (column) -> UTC, honouring DST history."""
     return F.to_utc_timestamp(_col(ts), _col(zone))
-
-
-def epoch_micros(ts: ColumnOrName) -> Column:
-    return F.unix_micros(_col(ts))

@@ -78,17 +78,6 @@ def valid_flights(t: Tables) -> DataFrame:
     return apply_expectations(flights(t), FLIGHT_RULES).valid
 
 
-def rain_days(f: DataFrame, threshold: float = RAIN_THRESHOLD) -> DataFrame:
-    """(destination, day) pairs whose daily precipitation stand-in exceeds the threshold.
-
-    A grouped aggregate with map-side partial sums; its size is bounded by
-    airports x calendar days, not by the number of flights.
-    """
-    return (f.groupBy("destination", F.to_date("real_ts").alias("day"))
-            .agg(F.sum("quantity").alias("rain_mm"))
-            .filter(F.col("rain_mm") > F.lit(threshold)))
-
-
 FLIGHTS_SQL = """
 li AS (
   SELECT * FROM (

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
+from punctua.functions.columns import local_to_utc
+from punctua.operators.calendar import day_period, date_key, dim_date as build_dim_date, is_high_season, \
+    is_holiday, iso_weekday
+from punctua.operators.joins import bounded_broadcast
 from punctua.plans.flights import FLIGHTS_SQL, RAIN_THRESHOLD, valid_flights
 from punctua.plans.registry import query
 from punctua.tables import Tables
@@ -57,13 +61,6 @@ def top_routes_delay(spark: SparkSession, sf_dir: str):
 
 
 # --------------------------------------------------------------------------- facts
-from punctua.operators.calendar import (  # noqa: E402
-    DAY_PERIODS, calendar_columns, date_key, dim_date as build_dim_date, is_high_season, is_holiday, iso_weekday,
-)
-from punctua.functions.columns import local_to_utc  # noqa: E402
-from punctua.operators.joins import bounded_broadcast  # noqa: E402
-from punctua.plans.flights import flights  # noqa: E402
-
 _HOLIDAY_SQL = "(month(d) * 100 + day(d)) IN (101, 421, 501, 907, 1012, 1102, 1115, 1225)"
 
 
@@ -206,7 +203,6 @@ FROM events GROUP BY 1, 2
 """)
 def q_dim_hour(spark: SparkSession, sf_dir: str):
     """Hour-of-day dimension (period labels) with the event count seen in each hour."""
-    from punctua.operators.calendar import day_period
     e = Tables(spark, sf_dir).events
     return (e.groupBy(F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("events"))
             .withColumn("day_period", day_period(F.col("hour"))))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from punctua.operators.dedup import dedup_stream, latest_by
-from punctua.operators.quality import Expectation, all_pass, apply_expectations, failed_rules
+from punctua.operators.quality import Expectation, all_pass, failed_rules
 from punctua.operators.standardize import StandardizeSpec, as_column, standardize
 from punctua.sources.ingest import bronze_schema, read_bronze
 
@@ -153,7 +153,3 @@ def backfill_silver(spark: SparkSession, bronze_path: str, table: SilverTable, o
 
 def read_silver(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(f"{out_root.rstrip('/')}/{name}")
-
-
-def validate_batch(df: DataFrame, rules: Sequence[Expectation]):
-    return apply_expectations(df, rules)

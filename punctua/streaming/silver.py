@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from punctua.operators.dedup import dedup_stream, latest_by
-from punctua.operators.quality import Expectation, all_pass, failed_rules
+from punctua.operators.quality import Expectation, all_pass, expectation_metrics, failed_rules
 from punctua.operators.standardize import StandardizeSpec, as_column, standardize
 from punctua.sources.ingest import bronze_schema, read_bronze
 
@@ -46,6 +46,10 @@ class SilverTable:
     def quarantine_name(self) -> str:
         return f"{self.name}_quarantine"
 
+    @property
+    def metrics_name(self) -> str:
+        return f"{self.name}_dq_metrics"
+
 
 def silver_frame(df: DataFrame, table: SilverTable) -> DataFrame:
     """Standardised, flagged (``_valid``) and deduplicated frame (stream or batch)."""
@@ -69,6 +73,11 @@ def silver_frame(df: DataFrame, table: SilverTable) -> DataFrame:
     return latest_by(std.withColumn(VALID_FLAG, ok), keys + [VALID_FLAG], order)
 
 
+def write_metrics(frame: DataFrame, table: SilverTable, path: str) -> None:
+    """Rows passing / failing each rule (warn rules included), one small aggregate per write."""
+    expectation_metrics(frame, table.rules).write.mode("overwrite").parquet(path)
+
+
 def split_outputs(frame: DataFrame, table: SilverTable) -> tuple[DataFrame, DataFrame]:
     valid = frame.filter(F.col(VALID_FLAG)).drop(VALID_FLAG)
     quarantine = (frame.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG)
@@ -85,9 +94,12 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, table: SilverTable,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
+            if batch.isEmpty():          # no-data batches only move the watermark
+                return
             valid, quarantine = split_outputs(batch, table)
             valid.write.mode("overwrite").parquet(f"{out}/{table.name}/batch={batch_id}")
             quarantine.write.mode("overwrite").parquet(f"{out}/{table.quarantine_name}/batch={batch_id}")
+            write_metrics(batch.drop(VALID_FLAG), table, f"{out}/{table.metrics_name}/batch={batch_id}")
         finally:
             batch.unpersist()
 
@@ -116,6 +128,7 @@ def run_silver_batch(spark: SparkSession, bronze_path: str, table: SilverTable,
     out = out_root.rstrip("/")
     valid.write.mode("overwrite").parquet(f"{out}/{table.name}")
     quarantine.write.mode("overwrite").parquet(f"{out}/{table.quarantine_name}")
+    write_metrics(frame.drop(VALID_FLAG), table, f"{out}/{table.metrics_name}")
 
 
 def backfill_silver(spark: SparkSession, bronze_path: str, table: SilverTable, out_root: str,

@@ -59,6 +59,11 @@ def test_vra_typing_rules_and_quarantine(spark, tmp):
     assert reasons == [("tem_aerodromo_origem",), ("tem_numero_voo",), ("tem_partida_prevista",)]
     # valid + quarantine partition the deduplicated input
     assert "_rescued_data" in v.columns and "_metadata" not in v.columns and "_row_hash" not in v.columns
+    mt = read_silver(spark, silver, "vra_dq_metrics").groupBy("rule").agg(F.sum("passed").alias("p"),
+                                                                          F.sum("failed").alias("f"))
+    m = {r["rule"]: (r["p"], r["f"]) for r in mt.collect()}
+    assert m["tem_numero_voo"] == (8, 1) and m["tem_aerodromo_origem"] == (8, 1)
+    assert m["atraso_partida_plausivel"] == (7, 2)          # -121 and 1441 only warn
 
 
 def test_duplicates_in_later_file_and_late_month(spark, tmp):

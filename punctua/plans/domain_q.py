@@ -12,7 +12,7 @@ codes) are derived from the keys so that every rule fires at every scale.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from punctua.plans.domain import AIRPORTS, BCB, VRA, WEATHER
@@ -242,6 +242,7 @@ def airports_bronze(t: Tables):
     k = F.col("c_custkey")
 
     def snap(df, dt, suffix):
+        dt = dt if isinstance(dt, Column) else F.lit(dt)
         return df.select(
             k.cast("string").alias("id"),
             F.when(F.col("c_mktsegment") == "BUILDING", F.lit("closed")).otherwise(F.lit("small_airport")).alias("type"),
@@ -257,19 +258,21 @@ def airports_bronze(t: Tables):
             F.lit(None).cast("string").alias("iata_code"), F.lit(None).cast("string").alias("gps_code"),
             F.lit(None).cast("string").alias("local_code"), F.lit("http://x").alias("home_link"),
             F.lit(None).cast("string").alias("wikipedia_link"), F.lit(None).cast("string").alias("keywords"),
-            F.lit(dt).alias("dt"),
-            F.lit(f"ourairports/dt={dt}/airports.csv").alias("_source_file"),
+            dt.alias("dt"),
+            F.concat(F.lit("ourairports/dt="), dt, F.lit("/airports.csv")).alias("_source_file"),
             F.lit(INGESTED_AT).cast("timestamp").alias("_ingested_at"),
         )
-    return snap(c, "2024-01-01", "").unionByName(snap(c.filter(k % 4 == 0), "2024-01-02", " v2"))
+    # second download: every airport again; a quarter of them newer than the first snapshot
+    second = F.when(k % 4 == 0, F.lit("2024-01-02")).otherwise(F.lit("2023-12-31"))
+    return snap(c, "2024-01-01", "").unionByName(snap(c, second, " v2"))
 
 
 @query("silver_airports", sql="""
 WITH b AS (
   SELECT c_custkey, c_name AS name, c_nationkey, c_acctbal, c_mktsegment, '2024-01-01' AS dt FROM customer
   UNION ALL
-  SELECT c_custkey, c_name || ' v2', c_nationkey, c_acctbal, c_mktsegment, '2024-01-02' FROM customer
-  WHERE c_custkey % 4 = 0),
+  SELECT c_custkey, c_name || ' v2', c_nationkey, c_acctbal, c_mktsegment,
+         CASE WHEN c_custkey % 4 = 0 THEN '2024-01-02' ELSE '2023-12-31' END FROM customer),
 l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY dt DESC) AS rn_ FROM b) WHERE rn_ = 1)
 SELECT CAST(c_custkey AS VARCHAR) AS id_aeroporto,
        CASE WHEN c_mktsegment = 'BUILDING' THEN 'closed' ELSE 'small_airport' END AS tipo_aerodromo,

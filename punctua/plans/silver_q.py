@@ -59,15 +59,19 @@ def q_standardize_orders(spark: SparkSession, sf_dir: str):
 SELECT o_orderkey AS order_key, o_orderpriority AS carrier, o_orderdate AS planned_ts FROM orders
 """)
 def q_unify_layouts(spark: SparkSession, sf_dir: str):
-    """Old layout (even keys) and new layout (odd keys) land with different names."""
+    """Old layout (even keys) and new layout (odd keys) land with different names.
+
+    The frame has the shape of ``old.unionByName(new, allowMissingColumns=True)``:
+    each row carries only the columns of its own layout.
+    """
     o = Tables(spark, sf_dir).orders
-    old = o.filter(F.col("o_orderkey") % 2 == 0).select(
-        F.col("o_orderkey").alias("order_key"), F.col("o_orderpriority").alias("prioridade"),
-        F.col("o_orderdate").alias("data_prevista"))
-    new = o.filter(F.col("o_orderkey") % 2 == 1).select(
-        F.col("o_orderkey").alias("order_key"), F.col("o_orderpriority").alias("carrier"),
-        F.col("o_orderdate").alias("planned_ts"))
-    both = old.unionByName(new, allowMissingColumns=True)
+    old = F.col("o_orderkey") % 2 == 0
+    both = o.select(
+        F.col("o_orderkey").alias("order_key"),
+        F.when(old, F.col("o_orderpriority")).alias("prioridade"),
+        F.when(old, F.col("o_orderdate")).alias("data_prevista"),
+        F.when(~old, F.col("o_orderpriority")).alias("carrier"),
+        F.when(~old, F.col("o_orderdate")).alias("planned_ts"))
     return unify_layouts(both, {"carrier": ["carrier", "prioridade"],
                                 "planned_ts": ["planned_ts", "data_prevista"]})
 

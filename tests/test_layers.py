@@ -60,3 +60,20 @@ def test_stream_null_event_time_is_never_late(spark, tmp):
     rows = sorted((r["k"], r["t"] is None) for r in spark.table("nulltime").collect())
     # NULL time: deduplicated inside a batch, but seen again in a later batch; k=3 is late
     assert rows == [(1, False), (2, True), (2, True)]
+
+
+def test_wide_sheet_multi_row_header(spark, tmp):
+    from punctua.sources.sheets import combine_header_rows, read_wide_sheet
+    from conftest import write
+    assert combine_header_rows([["Município", "Preço médio (R$/l)", ""], ["", "2022", "2023"]]) == \
+        ["município", "preço_médio_r$/l_2022", "preço_médio_r$/l_2023"]
+    write(f"{tmp}/anp/qav.csv", "\n".join([
+        "Município;Preço médio (R$/l);",
+        ";2022;2023",
+        "Guarulhos;R$ 5,10;6,25",
+        "Manaus;1.234,50;-",
+    ]) + "\n")
+    out = read_wide_sheet(spark, f"{tmp}/anp", header_rows=2, id_cols=1)
+    got = sorted((r["município"], r["column"][-4:], r["value"]) for r in out.collect())
+    assert got == [("Guarulhos", "2022", 5.1), ("Guarulhos", "2023", 6.25),
+                   ("Manaus", "2022", 1234.5), ("Manaus", "2023", None)]

@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from punctua.operators.timeseries import asof_join
+
 UNKNOWN_MEMBER_KEY = -1
 
 
@@ -87,13 +89,22 @@ def unmatched_report(left: DataFrame, right: DataFrame, key: str,
 
 
 def point_in_time(fact: DataFrame, dim: DataFrame, fact_key: str, fact_ts: str, dim_key: str,
-                  valid_from: str, valid_to: str) -> DataFrame:
+                  valid_from: str, valid_to: str, bucket_days: float | None = 1.0,
+                  bucket_size: float | None = None) -> DataFrame:
     """Left join to the dimension version valid at ``fact_ts``:
     ``valid_from <= ts AND (valid_to IS NULL OR ts < valid_to)``.
 
-    The equi key keeps this a hash/sort-merge join with a residual range
-    condition (never a nested-loop join).
+    Versions of one key do not overlap (type-2 history), so the valid version
+    is the latest one starting at or before ``ts`` — an as-of join — kept only
+    if ``ts`` is before its end.  This is linear in the rows: no fact row is
+    compared with every version of its key (a hot key with many versions
+    would make an equi-join with a range residual quadratic), and the as-of
+    join splits hot keys by ``ts`` bucket.  Unmatched rows get NULLs.
     """
-    cond = ((fact[fact_key] == dim[dim_key]) & (dim[valid_from] <= fact[fact_ts])
-            & (dim[valid_to].isNull() | (fact[fact_ts] < dim[valid_to])))
-    return fact.join(dim, cond, "left")
+    dim_cols = [c for c in dim.columns if c != dim_key]
+    renamed = dim.select(F.col(dim_key).alias("_pit_k"), *dim_cols)
+    j = asof_join(fact.withColumn("_pit_k", F.col(fact_key)), renamed, "_pit_k", fact_ts, valid_from, dim_cols,
+                  strict=False, bucket_days=bucket_days, bucket_size=bucket_size, prefix="_pit_")
+    inside = F.col("_pit_" + valid_from).isNotNull() & (
+        F.col("_pit_" + valid_to).isNull() | (F.col(fact_ts) < F.col("_pit_" + valid_to)))
+    return j.select(*fact.columns, *[F.when(inside, F.col("_pit_" + c)).alias(c) for c in dim_cols])

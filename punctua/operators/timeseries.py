@@ -28,17 +28,28 @@ def _bucket(ts: Column, width_micros: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(width_micros)).cast("bigint")
 
 
+def order_bucket(c: Column, dtype: str, bucket_days: float | None, bucket_size: float | None) -> Column | None:
+    """Bucket of an ordering value: days for TIMESTAMP/DATE, ``bucket_size`` units for numbers."""
+    if dtype.startswith("timestamp"):
+        return None if bucket_days is None else _bucket(c.cast("timestamp"), int(bucket_days * MICROS_PER_DAY))
+    if dtype == "date":
+        return None if bucket_days is None else F.floor(F.unix_date(c) / F.lit(bucket_days)).cast("bigint")
+    return None if bucket_size is None else F.floor(c / F.lit(bucket_size)).cast("bigint")
+
+
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
               right_cols: Sequence[str], tie: str | None = None, strict: bool = True,
-              bucket_days: float | None = 1.0, prefix: str = "") -> DataFrame:
+              bucket_days: float | None = 1.0, prefix: str = "", bucket_size: float | None = None) -> DataFrame:
     """For each ``left`` row, the latest ``right`` row of the same key before it.
 
     ``strict=True``: right.ts < left.ts (equal times never match); otherwise
     right.ts <= left.ts.  Among right rows with equal time the highest
     ``tie`` wins.  Every left row is kept (left as-of join); unmatched rows get
-    NULLs.  ``bucket_days=None`` uses one window per key (fine when no key is
-    hot); a width splits each key by time bucket as described in the module
-    docstring.
+    NULLs.  The ordering columns may be TIMESTAMP/DATE (buckets of
+    ``bucket_days``) or numeric, e.g. sequence numbers (buckets of
+    ``bucket_size``); without a bucket width one window per key is used (fine
+    when no key is hot), with one each key is split by bucket as described in
+    the module docstring.
     """
     rc = list(right_cols)
     tie_col = F.col(tie) if tie else F.lit(0)
@@ -53,13 +64,13 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
                      tie_col.cast("long").alias("_tie"), payload.alias("_p"))
     u = l.unionByName(r)
     order = [F.col("_t"), F.col("_side"), F.col("_tie")]
-    if bucket_days is None:
+    bucket = order_bucket(F.col("_t"), dict(left.dtypes)[left_ts], bucket_days, bucket_size)
+    if bucket is None:
         w = Window.partitionBy("_k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         out = (u.withColumn("_m", F.last("_p", ignorenulls=True).over(w))
                .filter(F.col("_side") == fact_side))
     else:
-        width = int(bucket_days * MICROS_PER_DAY)
-        u = u.withColumn("_b", _bucket(F.col("_t"), width))
+        u = u.withColumn("_b", bucket)
         part = Window.partitionBy("_k", "_b").orderBy(*order)
         # one window pass: running last match, and the bucket's last right row
         uw = (u.withColumn("_m", F.last("_p", ignorenulls=True).over(

@@ -61,6 +61,7 @@ def q_scd2_point_in_time(spark: SparkSession, sf_dir: str):
     v = versions(t).select(F.col("user_id").alias("v_user"), F.col("event_type").alias("version_event_type"),
                            "valid_from_seq", "valid_to_seq")
     e = t.events.select("event_id", "user_id")
-    j = point_in_time(e, v, "user_id", "event_id", "v_user", "valid_from_seq", "valid_to_seq")
+    j = point_in_time(e, v, "user_id", "event_id", "v_user", "valid_from_seq", "valid_to_seq",
+                      bucket_size=SEQ_BUCKET)
     return j.select("event_id", "user_id", "version_event_type",
                     F.coalesce("valid_from_seq", F.lit(-1).cast("bigint")).alias("version_sk"))

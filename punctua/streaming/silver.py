@@ -73,6 +73,17 @@ def silver_frame(df: DataFrame, table: SilverTable) -> DataFrame:
     return latest_by(std.withColumn(VALID_FLAG, ok), keys + [VALID_FLAG], order)
 
 
+def check_fail_rules(frame: DataFrame, table: SilverTable) -> None:
+    """Stop before anything is written when a ``fail`` rule is violated (one aggregate)."""
+    fail = [r for r in table.rules if r.action == "fail"]
+    if not fail:
+        return
+    row = frame.agg(*[F.count_if(~r.passed).alias(r.name) for r in fail]).first()
+    broken = {r.name: row[r.name] for r in fail if row[r.name]}
+    if broken:
+        raise ValueError(f"{table.name}: fail expectations violated {broken}")
+
+
 def write_metrics(frame: DataFrame, table: SilverTable, path: str) -> None:
     """Rows passing / failing each rule (warn rules included), one small aggregate per write."""
     expectation_metrics(frame, table.rules).write.mode("overwrite").parquet(path)
@@ -96,6 +107,7 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, table: SilverTable,
         try:
             if batch.isEmpty():          # no-data batches only move the watermark
                 return
+            check_fail_rules(batch, table)
             valid, quarantine = split_outputs(batch, table)
             valid.write.mode("overwrite").parquet(f"{out}/{table.name}/batch={batch_id}")
             quarantine.write.mode("overwrite").parquet(f"{out}/{table.quarantine_name}/batch={batch_id}")
@@ -124,6 +136,7 @@ def dropped_late_rows(q: StreamingQuery) -> int:
 def run_silver_batch(spark: SparkSession, bronze_path: str, table: SilverTable, out_root: str) -> None:
     """Full-refresh silver table (e.g. a daily snapshot dimension)."""
     frame = silver_frame(read_bronze(spark, bronze_path), table)
+    check_fail_rules(frame, table)
     valid, quarantine = split_outputs(frame, table)
     out = out_root.rstrip("/")
     valid.write.mode("overwrite").parquet(f"{out}/{table.name}")
@@ -144,6 +157,7 @@ def backfill_silver(spark: SparkSession, bronze_path: str, table: SilverTable, o
     src = read_bronze(spark, bronze_path)
     src = src.filter(F.expr(bronze_filter) if isinstance(bronze_filter, str) else bronze_filter)
     frame = silver_frame(src, table)
+    check_fail_rules(frame, table)
     valid, quarantine = split_outputs(frame, table)
     out = out_root.rstrip("/")
     keys = list(table.keys)

@@ -188,3 +188,20 @@ def test_backfill_recovers_rows_the_watermark_dropped(spark, tmp):
     v = read_silver(spark, silver, "vra")
     assert sorted((str(r["partida_prevista"]), r["atraso_partida_min"]) for r in v.collect()) == [
         ("2023-02-10 10:00:00", 5.0), ("2023-03-10 10:00:00", 5.0)]
+
+
+def test_fail_rule_stops_the_run_before_writing(spark, tmp):
+    import os
+    from punctua.operators.quality import Expectation
+    landing = f"{tmp}/landing"
+    t = "2023-06-10 10:00:00"
+    _vra_file(landing, "2023/06/a.csv", [vra_row("AZU", "1", "SBKP", t, t, t, t),
+                                         vra_row("AZU", "2", "SBKP", t, t, t, t, sit="DESCONHECIDO")])
+    strict = dataclasses.replace(VRA, rules=list(VRA.rules) + [
+        Expectation("situacao_conhecida", "situacao_voo IN ('REALIZADO', 'CANCELADO')", "fail")])
+    try:
+        _run(spark, tmp, strict)
+        raise AssertionError("expected the run to fail")
+    except Exception as e:  # noqa: BLE001
+        assert "situacao_conhecida" in str(e)
+    assert not os.path.exists(f"{tmp}/silver/vra")

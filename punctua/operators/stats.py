@@ -1,6 +1,6 @@
 """Model-evaluation and drift statistics as distributed aggregates.
 
-* :func:`pr_curve` — precision/recall per threshold and average precision.
+* :func:`pr_curve` — precision/recall/F1 per threshold and average precision.
   Scores are probabilities rounded to 1e-6, so the curve has at most
   1,000,001 points whatever the data size: the per-threshold counts are a
   grouped aggregate (partial, map-side) and only the bounded curve goes
@@ -37,8 +37,10 @@ def pr_curve(scored: DataFrame, score: str, label: str) -> DataFrame:
     c = c.withColumn("average_precision",
                      F.sum(F.when(F.col("all_pos") > 0, F.col("pos") / F.col("all_pos") * F.col("precision")))
                      .over(total))
+    f1 = F.when(F.col("precision") + F.col("recall") > 0,
+                2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
     return c.select("threshold", "tp", "fp", F.round("precision", 6).alias("precision"),
-                    F.round("recall", 6).alias("recall"),
+                    F.round("recall", 6).alias("recall"), F.round(f1, 6).alias("f1"),
                     F.round("average_precision", 6).alias("average_precision"))
 
 

@@ -147,9 +147,10 @@ c AS (SELECT threshold, pos, sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUND
              sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS fp, sum(pos) OVER () AS all_pos FROM p),
 c2 AS (SELECT *, tp / (tp + fp) AS prec FROM c)
 SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(prec, 6) AS precision,
-       round(CASE WHEN all_pos > 0 THEN tp / all_pos END, 6) AS recall,
+       round(rec, 6) AS recall,
+       round(CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) END, 6) AS f1,
        round(sum(CASE WHEN all_pos > 0 THEN pos / all_pos * prec END) OVER (), 6) AS average_precision
-FROM c2
+FROM (SELECT *, CASE WHEN all_pos > 0 THEN tp / all_pos END AS rec FROM c2)
 """)
 def q_pr_curve(spark: SparkSession, sf_dir: str):
     """PR curve of the 30-day route delay rate used as a score for the delay label."""

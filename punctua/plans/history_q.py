@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from punctua.operators.joins import point_in_time
 from punctua.operators.scd2 import current_view, scd2_from_cdc
 from punctua.plans.registry import query
+from punctua.session import materialize
 from punctua.tables import Tables
 
 # Sequence-range bucket used to split hot keys (events per bucket of ids).
@@ -58,7 +59,8 @@ FROM events e LEFT JOIN versions v
 def q_scd2_point_in_time(spark: SparkSession, sf_dir: str):
     """Each event joined to the user's version valid at its sequence number (-1: none)."""
     t = Tables(spark, sf_dir)
-    v = versions(t).select(F.col("user_id").alias("v_user"), F.col("event_type").alias("version_event_type"),
+    # the history is a dimension table: written once, then joined (the as-of join reads it in two branches)
+    v = materialize(versions(t), "user_history").select(F.col("user_id").alias("v_user"), F.col("event_type").alias("version_event_type"),
                            "valid_from_seq", "valid_to_seq")
     e = t.events.select("event_id", "user_id")
     j = point_in_time(e, v, "user_id", "event_id", "v_user", "valid_from_seq", "valid_to_seq",

@@ -73,3 +73,15 @@ def write_scores(scored: DataFrame, path: str, partition: str = "score_date") ->
     """Dynamic partition overwrite: re-scoring one day replaces only that day."""
     (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))
+
+
+def compare_models(models: dict, test: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
+    """One row per model: average precision and best F1 on ``test`` (PR curve as a distributed aggregate)."""
+    from punctua.operators.stats import pr_curve
+    out = None
+    for name, model in models.items():
+        curve = pr_curve(score(model, test, features), "score", label)
+        row = curve.agg(F.max("average_precision").alias("average_precision"), F.max("f1").alias("best_f1"))
+        row = row.select(F.lit(name).alias("model"), "average_precision", "best_f1")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -190,3 +190,19 @@ def q_drift_psi(spark: SparkSession, sf_dir: str):
     d = F.col("planned_ts")
     return psi(lab, ["delay_min", "quantity"], d < F.lit(SPLIT_VALIDATION_FROM).cast("timestamp"),
                d >= F.lit(SPLIT_TEST_FROM).cast("timestamp"))
+
+
+MODEL_FEATURES = ["route_n_30d", "route_rate_30d", "prev_rain_mm", "iso_weekday", "month"]
+
+
+@query("delay_model_comparison")
+def q_delay_model_comparison(spark: SparkSession, sf_dir: str):
+    """Baseline logistic regression vs gradient-boosted trees (class-weighted) trained on the
+    training period of the feature table and scored on the test period (iterative: no SQL oracle)."""
+    from punctua.operators.ml import compare_models, train_gbt, train_logistic, with_class_weights
+    f = materialize(features(Tables(spark, sf_dir)).withColumn("split", split_of(F.col("planned_ts"))), "features")
+    train = with_class_weights(f.filter(F.col("split") == "train"), "label")
+    test = f.filter(F.col("split") == "test")
+    models = {"logistic_regression": train_logistic(train, MODEL_FEATURES),
+              "gradient_boosting": train_gbt(train, MODEL_FEATURES, max_iter=10, max_depth=4)}
+    return compare_models(models, test, MODEL_FEATURES)

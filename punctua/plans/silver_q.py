@@ -227,7 +227,7 @@ FROM (SELECT doc_id, file_name, regexp_extract(file_name, '([^/]*)$', 1) AS base
 """)
 def q_filename_period(spark: SparkSession, sf_dir: str):
     d = Tables(spark, sf_dir).documents.select("doc_id", "source")
-    name = F.expr(_NAME_SQL.replace("CAST(", "CAST(").replace("VARCHAR", "STRING"))
+    name = F.expr(_NAME_SQL.replace("VARCHAR", "STRING"))
     return d.select("doc_id", name.alias("file_name")).withColumn("period", filename_period("file_name"))
 
 

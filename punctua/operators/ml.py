@@ -21,6 +21,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ml_session(spark: SparkSession) -> SparkSession:
+    """An isolated session of the same application for model training.
+
+    Training jobs serialise closures that reach the session; once the session
+    has served a ``DataFrame.observe(Observation, ...)`` those closures fail
+    with ``Task not serializable`` (its ObservationManager).  A new session
+    shares the cluster and the cached data source files but not that state.
+    """
+    s = spark.newSession()
+    s.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return s
+
+
 def with_class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     total = df.count()

@@ -98,7 +98,12 @@ def expectation_metrics(df: DataFrame, rules: Sequence[Expectation]) -> DataFram
 
 
 def observe_expectations(df: DataFrame, rules: Sequence[Expectation], name: str = "dq") -> tuple[DataFrame, Observation]:
-    """Attach rule counters to a frame that is written anyway (no extra pass)."""
+    """Attach rule counters to a frame that is written anyway (no extra pass).
+
+    Caveat (Spark 4.1): after an ``Observation`` has been used in a session,
+    ``pyspark.ml`` training in that same session fails with "Task not
+    serializable"; train models in :func:`punctua.operators.ml.ml_session`.
+    """
     obs = Observation(name)
     exprs = [F.count(F.lit(1)).alias("rows")] + [
         F.count_if(~r.passed).alias(r.name) for r in rules]

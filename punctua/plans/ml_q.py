@@ -199,8 +199,11 @@ MODEL_FEATURES = ["route_n_30d", "route_rate_30d", "prev_rain_mm", "iso_weekday"
 def q_delay_model_comparison(spark: SparkSession, sf_dir: str):
     """Baseline logistic regression vs gradient-boosted trees (class-weighted) trained on the
     training period of the feature table and scored on the test period (iterative: no SQL oracle)."""
-    from punctua.operators.ml import compare_models, train_gbt, train_logistic, with_class_weights
-    f = materialize(features(Tables(spark, sf_dir)).withColumn("split", split_of(F.col("planned_ts"))), "features")
+    from punctua.operators.ml import compare_models, ml_session, train_gbt, train_logistic, with_class_weights
+    # models train in their own session: a DataFrame.observe(Observation) earlier in the caller's
+    # session would otherwise break the training jobs (Task not serializable: ObservationManager)
+    f = materialize(features(Tables(spark, sf_dir)).withColumn("split", split_of(F.col("planned_ts"))), "features",
+                    session=ml_session(spark))
     train = with_class_weights(f.filter(F.col("split") == "train"), "label")
     test = f.filter(F.col("split") == "test")
     models = {"logistic_regression": train_logistic(train, MODEL_FEATURES),

@@ -66,16 +66,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or path
 
 
-def materialize(df, label: str):
+def materialize(df, label: str, session: SparkSession | None = None):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     Used when one derived frame feeds several branches of a plan: Spark would
     otherwise recompute it per branch.  The files live in the folder the
     cluster names in ``spark.checkpoint.dir`` (shared storage), so the result
-    survives executor loss and cuts the lineage.
+    survives executor loss and cuts the lineage.  ``session`` reads the copy
+    back in another session of the same application (e.g. an isolated one).
     """
     import uuid
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return (session or spark).read.parquet(path)

@@ -270,9 +270,14 @@ def with_lineage(df: DataFrame, data_cols: list[str]) -> DataFrame:
     })
 
 
-def run_bronze(spark: SparkSession, cfg: SourceConfig, wait: bool = True) -> StreamingQuery:
-    """Ingest every file not yet ingested, then stop (``availableNow``)."""
-    df = bronze_frame(spark, cfg)
+def run_bronze(spark: SparkSession, cfg: SourceConfig, wait: bool = True) -> StreamingQuery | None:
+    """Ingest every file not yet ingested, then stop (``availableNow``).
+
+    Returns None when nothing has landed yet (no file ever seen)."""
+    reg = discover(spark, cfg)
+    if not reg.columns and not hfs.exists(spark, reg.manifest_path):
+        return None
+    df = bronze_frame(spark, cfg, reg)
     q = (df.writeStream.format("parquet")
          .option("checkpointLocation", cfg.stream_checkpoint)
          .option("path", cfg.target_path)

@@ -135,3 +135,8 @@ def test_csv_with_bom_and_latin1(spark, tmp):
                        reader_options={"sep": ";", "encoding": "ISO-8859-1"})
     run_bronze(spark, cfg)
     assert [tuple(r) for r in read_bronze(spark, f"{bronze}/b").select("código", "nome").collect()] == [("2", "Maceió")]
+
+
+def test_empty_landing_is_a_no_op(spark, tmp):
+    cfg = SourceConfig(f"{tmp}/landing/none", f"{tmp}/system/none", f"{tmp}/bronze/none", "csv")
+    assert run_bronze(spark, cfg) is None

@@ -45,6 +45,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def recommended_shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 256 << 20) -> int:
+    """Partitions so that each shuffle partition holds about ``target_bytes`` of the
+    input (an upper bound for shuffles that do not grow the data), at least one per
+    core, rounded up to a multiple of the core count so waves are full."""
+    n = max(cores, -(-input_bytes // target_bytes))
+    return -(-n // cores) * cores
+
+
+def configure_for_inputs(spark: SparkSession, paths: list[str], target_bytes: int = 256 << 20) -> int:
+    """Size ``spark.sql.shuffle.partitions`` from the bytes of the input files (listing only)
+    and let AQE coalesce towards the same advisory size.  Never lowers a larger setting."""
+    from punctua.sources import hadoopfs as hfs
+    total = sum(f.size for p in paths for f in hfs.list_files(spark, p))
+    cores = spark.sparkContext.defaultParallelism
+    n = recommended_shuffle_partitions(total, cores, target_bytes)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if n > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return max(n, current)
+
+
 def ensure_utc(spark: SparkSession) -> None:
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -77,3 +77,15 @@ def test_wide_sheet_multi_row_header(spark, tmp):
     got = sorted((r["município"], r["column"][-4:], r["value"]) for r in out.collect())
     assert got == [("Guarulhos", "2022", 5.1), ("Guarulhos", "2023", 6.25),
                    ("Manaus", "2022", 1234.5), ("Manaus", "2023", None)]
+
+
+def test_shuffle_partition_sizing(spark):
+    from punctua.session import configure_for_inputs, recommended_shuffle_partitions
+    gib = 1 << 30
+    assert recommended_shuffle_partitions(0, 8) == 8
+    assert recommended_shuffle_partitions(100 * 1024 * gib, 8000) == 416000   # 409,600 rounded to full waves
+    assert recommended_shuffle_partitions(10 * gib, 16) == 48                  # 40 rounded up to full waves
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    n = configure_for_inputs(spark, [SF_SMALL])
+    assert n >= int(before)
+    spark.conf.set("spark.sql.shuffle.partitions", before)

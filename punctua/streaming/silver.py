@@ -178,5 +178,20 @@ def backfill_silver(spark: SparkSession, bronze_path: str, table: SilverTable, o
     return n_valid, n_q
 
 
+def late_rows(spark: SparkSession, bronze_path: str, table: SilverTable, out_root: str) -> DataFrame:
+    """Bronze rows the stream did not write to either output (dropped as late, or not
+    yet processed): standardised rows whose business key is in neither the valid nor
+    the quarantine table.  Two ``left_anti`` joins on the key; nothing is collected."""
+    keys = list(table.keys)
+    std = standardize(read_bronze(spark, bronze_path), table.spec)
+    out = out_root.rstrip("/")
+    from punctua.sources import hadoopfs as hfs
+    for name in (table.name, table.quarantine_name):
+        if hfs.exists(spark, f"{out}/{name}"):
+            seen = spark.read.option("mergeSchema", "true").parquet(f"{out}/{name}").select(*keys)
+            std = std.join(seen, [std[k].eqNullSafe(seen[k]) for k in keys], "left_anti")
+    return std
+
+
 def read_silver(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(f"{out_root.rstrip('/')}/{name}")

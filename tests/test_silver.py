@@ -87,6 +87,9 @@ def test_duplicates_in_later_file_and_late_month(spark, tmp):
     assert got == [(1, 5.0), (2, 5.0)]          # first arrival wins; the January row is late
     assert read_silver(spark, silver, "vra_quarantine").filter(F.col("numero_voo") == 7).count() == 0
     assert dropped_late_rows(q) == 1
+    from punctua.streaming.silver import late_rows
+    late = late_rows(spark, f"{tmp}/bronze/vra", VRA, silver).collect()
+    assert [(r["numero_voo"], str(r["partida_prevista"])) for r in late] == [(7, "2023-01-05 10:00:00")]
 
 
 def _h1(spark, tmp, table):

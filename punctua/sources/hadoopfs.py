@@ -89,14 +89,17 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file atomically: temp file then rename over the target."""
-    fs, p, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
+    """Write a small file in one go (create, write, close); the caller never overwrites."""
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    fs, p, _ = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p))

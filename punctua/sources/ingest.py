@@ -3,7 +3,7 @@ rescued data and row lineage, on the open-source file stream source.
 
 One :class:`SourceConfig` describes a feed.  :func:`run_bronze` does, per run:
 
-1. **Schema registry** (``<checkpoint>/_schema/schema.json``): before the
+1. **Schema registry** (``<checkpoint>/_schema/registry/<n>.json``, append-only): before the
    stream starts, the names of *new* files are learnt — CSV: the header line
    after ``skip_rows`` preamble lines, read from the first lines of each new
    file only; JSON Lines: keys, by Spark's distributed inference over the new
@@ -96,7 +96,8 @@ class Registry:
 
     @classmethod
     def load(cls, spark: SparkSession, cfg: SourceConfig) -> Registry:
-        text = hfs.read_text(spark, cfg.schema_dir + "/schema.json")
+        versions = [n for n in hfs.list_names(spark, cfg.schema_dir + "/registry") if n.endswith(".json")]
+        text = hfs.read_text(spark, f"{cfg.schema_dir}/registry/{versions[-1]}") if versions else None
         manifest = cfg.schema_dir + "/files"
         if not text:
             return cls([], [], manifest)
@@ -104,7 +105,13 @@ class Registry:
         return cls(d["columns"], d["partitions"], manifest)
 
     def save(self, spark: SparkSession, cfg: SourceConfig) -> None:
-        hfs.write_text(spark, cfg.schema_dir + "/schema.json", self.to_json())
+        # append-only: a new numbered file per change, readers take the highest;
+        # a crash never leaves the registry missing or half written
+        versions = [n for n in hfs.list_names(spark, cfg.schema_dir + "/registry") if n.endswith(".json")]
+        if versions and hfs.read_text(spark, f"{cfg.schema_dir}/registry/{versions[-1]}") == self.to_json():
+            return
+        nxt = int(versions[-1].split(".")[0]) + 1 if versions else 0
+        hfs.write_text(spark, f"{cfg.schema_dir}/registry/{nxt:010d}.json", self.to_json())
 
     def manifest(self, spark: SparkSession) -> DataFrame:
         if hfs.exists(spark, self.manifest_path):

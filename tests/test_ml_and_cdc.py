@@ -56,3 +56,23 @@ def test_cdc_stream_equals_batch(spark, tmp):
                           ["modelo"], F.col("modelo") == "DEL")
     cols = ["aircraft_id", "modelo", "valid_from_seq", "valid_to_seq"]
     assert sorted(tuple(r) for r in hist.select(*cols).collect()) == sorted(tuple(r) for r in batch.select(*cols).collect())
+
+
+def test_cdc_stream_with_processing_time_trigger(spark, tmp):
+    schema = "aircraft_id int, sequence_num int, event_ts timestamp, modelo string"
+    base = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(1, 1, base, "A"), (1, 2, base, "B"), (2, 3, base, "A")], schema) \
+        .write.parquet(f"{tmp}/in/f0")
+    stream = spark.readStream.schema(schema).parquet(f"{tmp}/in/f*")
+    q = run_cdc_stream(spark, stream, f"{tmp}/cdc", f"{tmp}/ck", "aircraft_id", "sequence_num", "event_ts",
+                       ["modelo"], lambda: F.col("modelo") == "DEL", trigger={"processingTime": "1 second"},
+                       wait=False)
+    try:
+        q.processAllAvailable()
+        spark.createDataFrame([(2, 4, base, "DEL")], schema).write.parquet(f"{tmp}/in/f1")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    hist = sorted((r["aircraft_id"], r["modelo"], r["valid_from_seq"], r["valid_to_seq"])
+                  for r in read_history(spark, f"{tmp}/cdc").collect())
+    assert hist == [(1, "A", 1, 2), (1, "B", 2, None), (2, "A", 3, 4)]

@@ -228,8 +228,15 @@ def _csv_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFra
     width = (headers.agg(F.max(F.size("header"))).first()[0] or 1) + 64
     pos_schema = ", ".join(f"c{i} string" for i in range(width))
     lines = _lines(spark, cfg)
-    j = lines.join(headers, F.col("_metadata.file_path") == F.col("hf"))
-    j = j.filter(~F.array_contains(F.col("drop_lines"), F.col("value")) & (F.length("value") > 0))
+    j = lines.join(headers, F.col("_metadata.file_path") == F.col("hf"), "left")
+    # a file that landed after discovery has no header yet: fail the micro-batch (nothing is
+    # committed, the next run discovers the file) instead of dropping its rows silently
+    unknown_file = F.raise_error(F.concat(F.lit("file landed during the run, re-run to ingest it: "),
+                                          F.col("_metadata.file_path")))
+    j = j.filter(F.when(F.col("hf").isNull(), unknown_file.cast("boolean")).otherwise(F.lit(True)))
+    # NULL-tolerant on the manifest side, so the optimizer keeps the outer join above
+    j = j.filter(~F.coalesce(F.array_contains(F.col("drop_lines"), F.col("value")), F.lit(False))
+                 & (F.length("value") > 0))
     parsed = j.withColumn("_v", F.from_csv(F.col("value"), pos_schema, parser_options(cfg)))
     vals = F.array(*[F.col("_v")[f"c{i}"] for i in range(width)])
     parsed = parsed.withColumn("_vals", vals)

@@ -140,3 +140,21 @@ def test_csv_with_bom_and_latin1(spark, tmp):
 def test_empty_landing_is_a_no_op(spark, tmp):
     cfg = SourceConfig(f"{tmp}/landing/none", f"{tmp}/system/none", f"{tmp}/bronze/none", "csv")
     assert run_bronze(spark, cfg) is None
+
+
+def test_file_landing_during_a_run_is_not_lost(spark, tmp):
+    from punctua.sources.ingest import bronze_frame, discover
+    landing, system, bronze = f"{tmp}/landing", f"{tmp}/system", f"{tmp}/bronze"
+    write(f"{landing}/a/f1.csv", "id;name\n1;x\n")
+    cfg = SourceConfig(f"{landing}/a", f"{system}/a", f"{bronze}/a", "csv", reader_options={"sep": ";"})
+    reg = discover(spark, cfg)
+    write(f"{landing}/a/f2.csv", "id;name\n2;y\n")            # lands after discovery
+    q = (bronze_frame(spark, cfg, reg).writeStream.format("parquet").option("path", cfg.target_path)
+         .option("checkpointLocation", cfg.stream_checkpoint).trigger(availableNow=True).start())
+    try:
+        q.awaitTermination()
+        raise AssertionError("expected the micro-batch to fail")
+    except Exception as e:  # noqa: BLE001
+        assert "landed during the run" in str(e)
+    run_bronze(spark, cfg)                                    # next run discovers f2 and ingests both
+    assert sorted(r["id"] for r in read_bronze(spark, f"{bronze}/a").collect()) == ["1", "2"]

@@ -103,3 +103,9 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     if not fs.exists(p):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)

@@ -77,6 +77,7 @@ class SourceConfig:
 
 # --------------------------------------------------------------------------- registry
 MANIFEST_SCHEMA = "hf string, header array<string>, drop_lines array<string>"
+MANIFEST_MAX_FILES = 64
 
 
 @dataclass
@@ -114,10 +115,26 @@ class Registry:
         hfs.write_text(spark, f"{cfg.schema_dir}/registry/{nxt:010d}.json", self.to_json())
 
     def manifest(self, spark: SparkSession) -> DataFrame:
+        # one row per file; duplicates (left by an interrupted compaction) are dropped on read
         if hfs.exists(spark, self.manifest_path):
-            return spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
+            return spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path).dropDuplicates(["hf"])
         return spark.createDataFrame([], MANIFEST_SCHEMA)
 
+    def compact(self, spark: SparkSession, max_files: int = MANIFEST_MAX_FILES) -> bool:
+        """Rewrite the manifest into one file once it holds more than ``max_files`` files.
+
+        The merged file is appended first and the old files are deleted after, so
+        an interruption only leaves duplicate rows, which readers drop."""
+        parts = [n for n in hfs.list_names(spark, self.manifest_path) if n.endswith(".parquet")]
+        if len(parts) <= max_files:
+            return False
+        old = [f"{self.manifest_path}/{n}" for n in parts]
+        merged = spark.read.schema(MANIFEST_SCHEMA).parquet(*old).dropDuplicates(["hf"])
+        merged.coalesce(1).write.mode("append").parquet(self.manifest_path)
+        for n in parts:
+            hfs.delete(spark, f"{self.manifest_path}/{n}")
+        return True
+
 
 def _split_csv_line(line: str, sep: str, quote: str) -> list[str]:
     import csv
@@ -184,6 +201,7 @@ def discover(spark: SparkSession, cfg: SourceConfig) -> Registry:
             reg.columns.remove(p)
     if entries:
         spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(reg.manifest_path)
+        reg.compact(spark)
     reg.save(spark, cfg)
     return reg
 

@@ -158,3 +158,19 @@ def test_file_landing_during_a_run_is_not_lost(spark, tmp):
         assert "landed during the run" in str(e)
     run_bronze(spark, cfg)                                    # next run discovers f2 and ingests both
     assert sorted(r["id"] for r in read_bronze(spark, f"{bronze}/a").collect()) == ["1", "2"]
+
+
+def test_manifest_compaction_keeps_every_file_once(spark, tmp):
+    from punctua.sources.ingest import Registry
+    landing, system, bronze = f"{tmp}/landing", f"{tmp}/system", f"{tmp}/bronze"
+    cfg = SourceConfig(f"{landing}/a", f"{system}/a", f"{bronze}/a", "csv", reader_options={"sep": ";"})
+    for i in range(4):                                   # one manifest file per run
+        write(f"{landing}/a/f{i}.csv", f"id;name\n{i};n{i}\n")
+        run_bronze(spark, cfg)
+    reg = Registry.load(spark, cfg)
+    assert reg.compact(spark, max_files=2)
+    m = reg.manifest(spark)
+    assert m.count() == 4 and m.select("hf").distinct().count() == 4
+    write(f"{landing}/a/f9.csv", "id;name\n9;n9\n")
+    run_bronze(spark, cfg)
+    assert sorted(r["id"] for r in read_bronze(spark, f"{bronze}/a").collect()) == ["0", "1", "2", "3", "9"]

@@ -11,9 +11,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 from oracle_check import compare, duck  # noqa: E402
+from punctua.plans import registry  # noqa: E402
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+E.queries()
+QUERIES, ORACLE = dict(registry.QUERIES), dict(registry.ORACLE)
 
 
 @pytest.fixture(scope="module")

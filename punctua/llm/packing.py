@@ -28,8 +28,8 @@ from punctua.llm.catalog import query
 from punctua.llm.common import read, slots
 from punctua.session import materialize
 
-#: Words whose ids a worker remembers; then the older half is forgotten.
-CACHE_WORDS = 400_000
+#: Words, and chunks, whose ids a worker remembers; beyond that the older half is forgotten.
+CACHE_WORDS = 800_000
 ROWS_PER_BUCKET = 100_000
 
 
@@ -98,13 +98,23 @@ class Encoder:
         return b"".join(out)
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker process keeps its encoder, and the words that it remembers, from task to task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int = 0) -> DataFrame:
     """One row per piece of a document: doc_id, piece, start, length, ids_crc32."""
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
               ("ids_crc32", pa.int64())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, width = Encoder(tokenizer), np.array([closing], "<u4").tobytes(), 4 * capacity
+        encode, end, width = encoder(tokenizer), np.array([closing], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             cols: list[list] = [[] for _ in fields]
             texts = batch.column("text").cast(pa.large_binary())

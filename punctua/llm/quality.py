@@ -197,7 +197,9 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the base rules and the learned list keep, with their columns."""
     rules = fit(docs, labels)
     inner = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"))
-    return verdicts(inner, rules).where("kept").select("row.*")
+    # a filter is not moved below a column that depends on the row's place, so the counts are worked out once
+    judged = verdicts(inner, rules).withColumn("q_place", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("q_place") >= 0)).select("row.*")
 
 
 @query("op6_quality_rules")

@@ -8,8 +8,9 @@ changes one part, so the number of parts that differ (the Hamming distance of th
 symmetric difference, and by the pigeonhole principle linked sets agree in a part. A bucket is (band, part, value).
 
 Buckets are not paired up: each member is compared with the bucket's smallest id, and after components are formed only
-members that are still in different components are. A second sketch of one parity bit per position rules out pairs
-whose Hamming distance is too large; the others are verified on their whole shingle sets (64-bit hashes).
+members that are still in different components are, in blocks of bounded size. A second sketch of one parity bit per
+position rules out pairs whose Hamming distance is too large before they become rows; the others are verified on their
+whole shingle sets (64-bit hashes).
 
 Parts without shingles say little: with m = D + 1 + slack parts, linked sets agree in slack + 1 parts, so a set
 with at most ``slack`` empty parts need not use them, and one with more uses them too.
@@ -31,13 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctua.llm.catalog import query
-from punctua.llm.common import LAST_ID, SPACES, Words, grams, keyed, mix, pair_hash, read, row_key, steps
+from punctua.llm.common import LAST_ID, SPACES, Words, grams, keyed, mix, pair_hash, partitions, read, row_key, steps
 from punctua.llm.components import components
 from punctua.session import materialize
 
 SHINGLE, PERCENT = 4, 85
 #: Positions of the second sketch, one parity bit each.
 BITS = 1024
+#: Most members of a bucket that are compared with each other at once.
+BLOCK = 2048
 #: Sets that a task remembers so that copies in it give their sketch once.
 SEEN = 1 << 19
 
@@ -184,6 +187,64 @@ def close_enough(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def bucket_pairs(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one bucket, in different components, whose sizes and parity sketches allow a link.
+
+    ``members``: key, id, comp, m (size of the bucket). A bucket of more than BLOCK members is cut into blocks by id, and
+    each pair of blocks is a group of its own; a group's sketches are compared as arrays, so pairs that cannot link
+    never become rows.
+    """
+    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    side = known.select(F.col("k_id").alias("s_id"), F.col("n").alias("n"), "bits").distinct()
+    rows = members.join(side, F.col("id") == F.col("s_id")).withColumns(
+        {"own": F.pmod(F.xxhash64("id"), blocks).cast("int"), "blocks": blocks})
+    rows = rows.select("key", "id", "comp", "n", "bits", "own", F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "comp",
+                       "n", "bits")
+    grouped = rows.repartition(partitions(members.sparkSession), "key", "p", "q").sortWithinPartitions("key", "p", "q")
+
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        ids, comp, n, own = (t.column(c).to_numpy() for c in ("id", "comp", "n", "own"))
+        bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
+        p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
+        left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
+        out_a, out_b = [], []
+        for at in range(0, len(left), 128):
+            x = left[at:at + 128]
+            far = np.bitwise_count(bits[x][:, None, :] ^ bits[right][None]).sum(2, dtype=np.int64)
+            nx, ny = n[x][:, None], n[right][None]
+            ok = (comp[x][:, None] != comp[right][None]) & (far * (100 + percent) <= (100 - percent) * (nx + ny))
+            ok &= np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * percent
+            if p == q:
+                ok &= ids[x][:, None] < ids[right][None]
+            i, j = np.nonzero(ok)
+            out_a.append(ids[x[i]])
+            out_b.append(ids[right[j]])
+        first, second = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (out_a, out_b))
+        return pa.RecordBatch.from_arrays([pa.array(first), pa.array(second)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            place = [batch.column(c).to_numpy() for c in ("key", "p", "q")]
+            new = np.flatnonzero(np.any([np.diff(x) != 0 for x in place], axis=0)) + 1
+            at = 0
+            for end in [*new.tolist(), batch.num_rows]:
+                if end == at:
+                    continue
+                part = batch.slice(at, end - at)
+                if held and any(held[-1].column(c)[0] != part.column(c)[0] for c in ("key", "p", "q")):
+                    yield compare(pa.Table.from_batches(held))
+                    held = []
+                held.append(part)
+                at = end
+        if held:
+            yield compare(pa.Table.from_batches(held))
+
+    return grouped.mapInArrow(run, "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Pairs (a, b) that link, by their whole texts."""
     ids = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))).distinct()
@@ -242,11 +303,8 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     member = met.join(comps, F.col("id") == F.col("v"), "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
     open_ = member.groupBy(F.col("key").alias("o_key")).agg(
         F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count(F.lit(1)).alias("m")).where("c1 != c2 and m > 2")
-    rest = materialize(member.join(open_, F.col("key") == F.col("o_key"), "left_semi"), "open-buckets")
-    other = rest.select(F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("comp").alias("comp2"))
-    crossed = rest.join(other, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2"))).select(
-        F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-    fresh = represented(crossed).join(stars, ["a", "b"], "left_anti")
+    rest = member.join(open_, F.col("key") == F.col("o_key")).select("key", "id", "comp", "m")
+    fresh = represented(bucket_pairs(rest, known, percent)).join(stars, ["a", "b"], "left_anti")
     near = materialize(close_enough(fresh, known, percent), "near")
     if near.limit(1).count():
         links = links.unionByName(verified(near, rows, shingle, percent))

@@ -59,7 +59,9 @@ def near_copies():
     return rows
 
 
-def test_against_brute_force(spark, tmp):
+@pytest.mark.parametrize("block", [J.BLOCK, 3])
+def test_against_brute_force(spark, tmp, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
     rows = EDGE + near_copies()
     want = brute(rows)
     assert got(J.op9_jaccard_join(spark, folder(spark, tmp, rows))) == want

@@ -54,6 +54,8 @@ BEFORE = {
 AGAINST = r"(?i)(?:version|isbn|order|invoice|serial|section|ref|id|no)\W*$"
 LABELERS = ("strict", "form", "gazetteer", "before", "edges")
 CONTEXT = 30
+#: Candidates that the labelers' assumed reliabilities weigh as much as.
+BELIEF = 20
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -141,20 +143,21 @@ def candidates(docs: DataFrame) -> DataFrame:
 def reliabilities(counts: dict[tuple[int, ...], float], rounds: int = 50) -> tuple[float, list[dict[int, tuple[float, float]]]]:
     """Expectation-maximisation over vote patterns: prior, and each labeler's chance of each vote if true, if not.
 
-    Labelers are taken as independent given the truth; counts are smoothed by one, and a labeler starts as right as not
-    voting against itself (a vote for: 0.8 if true, 0.2 if not).
+    Labelers are taken as independent given the truth. Each starts as better than chance, and that start weighs as much as
+    BELIEF candidates, so a kind with few candidates stays close to it.
     """
     n = len(next(iter(counts)))
     prior = 0.5
-    tables = [{1: (0.7, 0.2), 0: (0.2, 0.3), -1: (0.1, 0.5)} for _ in range(n)]
+    start = {1: (0.7, 0.2), 0: (0.2, 0.3), -1: (0.1, 0.5)}
+    tables = [dict(start) for _ in range(n)]
     total = sum(counts.values())
     for _ in range(rounds):
         post = {v: posterior(v, prior, tables) for v in counts}
         true = sum(c * post[v] for v, c in counts.items())
-        prior = min(max((true + 1) / (total + 2), 0.02), 0.98)
-        tables = [{vote: ((sum(c * post[v] for v, c in counts.items() if v[i] == vote) + 1) / (true + 3),
-                          (sum(c * (1 - post[v]) for v, c in counts.items() if v[i] == vote) + 1) / (total - true + 3))
-                   for vote in (1, 0, -1)} for i in range(n)]
+        prior = min(max((true + BELIEF / 2) / (total + BELIEF), 0.02), 0.98)
+        tables = [{vote: ((sum(c * post[v] for v, c in counts.items() if v[i] == vote) + BELIEF * yes) / (true + BELIEF),
+                          (sum(c * (1 - post[v]) for v, c in counts.items() if v[i] == vote) + BELIEF * no)
+                          / (total - true + BELIEF)) for vote, (yes, no) in start.items()} for i in range(n)]
     return prior, tables
 
 

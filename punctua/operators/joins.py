@@ -33,7 +33,7 @@ def lookup_keys(dim: DataFrame, wanted: DataFrame, dim_key: str, wanted_key: str
 
 
 def role_playing(fact: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, str],
-                 attrs: Sequence[str], bounded: bool = True) -> DataFrame:
+                 attrs: Sequence[str], bounded: bool = False) -> DataFrame:
     """Join one dimension once per role (e.g. origin and destination airport).
 
     ``roles`` maps a fact foreign-key column to the prefix given to the

@@ -1,10 +1,7 @@
 """Model-evaluation and drift statistics as distributed aggregates.
 
 * :func:`pr_curve` — precision/recall/F1 per threshold and average precision.
-  Scores are probabilities rounded to 1e-6, so the curve has at most
-  1,000,001 points whatever the data size: the per-threshold counts are a
-  grouped aggregate (partial, map-side) and only the bounded curve goes
-  through the ordered cumulative window.
+  Thresholds are the distinct scores; cumulative counts are worked out range by range.
 * :func:`psi` — population stability index of each feature between a
   reference and a current period: 10 equal-width bins on the reference
   min/max (outer bins open), shares floored at 1e-6, natural log.
@@ -17,31 +14,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from punctua.session import materialize
+
 # Fixed parameters of the drift measure.
 PSI_BINS = 10
 PSI_FLOOR = 1e-6
-SCORE_DECIMALS = 6
 
 
 def pr_curve(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """One row per distinct score. Thresholds are dealt by range; the sums of the (few) ranges give each range what
+    lies above it, and a window inside each range the rest, so no task sees the whole curve."""
     pts = (scored.filter(F.col(score).isNotNull())
-           .groupBy(F.round(F.col(score), SCORE_DECIMALS).alias("threshold"))
+           .groupBy(F.col(score).alias("threshold"))
            .agg(F.sum(F.col(label)).cast("bigint").alias("pos"),
                 F.sum(1 - F.col(label)).cast("bigint").alias("neg")))
-    w = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.partitionBy(F.lit(1))
-    c = (pts.withColumn("tp", F.sum("pos").over(w)).withColumn("fp", F.sum("neg").over(w))
-         .withColumn("all_pos", F.sum("pos").over(total)))
+    # written, since ranges are found by sampling and have to stay the same in both passes
+    pts = materialize(pts.repartitionByRange("threshold").withColumn("part", F.spark_partition_id()), "thresholds")
+    higher = Window.orderBy(F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    parts = pts.groupBy("part").agg(F.sum("pos").alias("part_pos"), F.sum("neg").alias("part_neg"))
+    parts = parts.select("part", F.coalesce(F.sum("part_pos").over(higher), F.lit(0)).alias("pos_above"),
+                         F.coalesce(F.sum("part_neg").over(higher), F.lit(0)).alias("neg_above"),
+                         F.sum("part_pos").over(Window.partitionBy()).alias("all_pos"))
+    w = Window.partitionBy("part").orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    # one row per shuffle partition: bounded by the partition count
+    c = (pts.join(F.broadcast(parts), "part")
+         .withColumn("tp", F.col("pos_above") + F.sum("pos").over(w))
+         .withColumn("fp", F.col("neg_above") + F.sum("neg").over(w)))
     c = (c.withColumn("precision", F.col("tp") / (F.col("tp") + F.col("fp")))
          .withColumn("recall", F.when(F.col("all_pos") > 0, F.col("tp") / F.col("all_pos"))))
-    c = c.withColumn("average_precision",
-                     F.sum(F.when(F.col("all_pos") > 0, F.col("pos") / F.col("all_pos") * F.col("precision")))
-                     .over(total))
+    average = c.agg(F.sum(F.when(F.col("all_pos") > 0, F.col("pos") / F.col("all_pos") * F.col("precision"))))
     f1 = F.when(F.col("precision") + F.col("recall") > 0,
                 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
     return c.select("threshold", "tp", "fp", F.round("precision", 6).alias("precision"),
                     F.round("recall", 6).alias("recall"), F.round(f1, 6).alias("f1"),
-                    F.round("average_precision", 6).alias("average_precision"))
+                    F.round(average.scalar(), 6).alias("average_precision"))
 
 
 def psi(df: DataFrame, features: Sequence[str], is_reference, is_current) -> DataFrame:

@@ -123,14 +123,19 @@ def day_spine(keys: DataFrame, key: str, start, end, day_col: str = "day") -> Da
     return keys.select(key).distinct().select(key, F.explode(F.sequence(s, e)).alias(day_col))
 
 
-def forward_fill(daily: DataFrame, key: str, day: str, value: str, start, end,
+def forward_fill(daily: DataFrame, key: str, day: str, value: str, start=None, end=None,
                  keys: DataFrame | None = None) -> DataFrame:
     """Daily series on a full calendar spine with last-observation-carried-forward.
 
     The input is already one row per (key, day) — e.g. a daily aggregate — so
     each key's window holds at most one row per calendar day (bounded).
-    A leading gap stays NULL; ``is_filled`` marks carried values.
+    The calendar runs from ``start`` to ``end``; where one is None, from the first or to the last day of the data
+    (a one-row aggregate, run when called). A leading gap stays NULL; ``is_filled`` marks carried values.
     """
+    if start is None or end is None:
+        lo, hi = daily.agg(F.min(day), F.max(day)).first()
+        # without any day there is nothing to fill
+        start, end = start or lo or end or "1970-01-01", end or hi or start or "1970-01-01"
     spine = day_spine(keys if keys is not None else daily, key, start, end, day)
     j = spine.join(daily.select(key, day, value), [key, day], "left")
     w = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)

@@ -150,9 +150,6 @@ def q_grain_align(spark: SparkSession, sf_dir: str):
                     F.when(F.col("price").isNotNull(), F.lit("year")).alias("source_grain"))
 
 
-PIVOT_YEARS = list(range(1995, 2002))
-
-
 @query("unpivot_wide", sql="""
 SELECT c_nationkey AS nation, CAST(year(o_orderdate) AS INTEGER) AS year,
        round(avg(o_totalprice), 2) AS price
@@ -164,17 +161,18 @@ def q_unpivot_wide(spark: SparkSession, sf_dir: str):
     o, c = t.orders, t.customer.select("c_custkey", "c_nationkey")
     long_src = (o.join(c, o.o_custkey == c.c_custkey)
                 .withColumn("y", F.year("o_orderdate")))
-    wide = (long_src.groupBy(F.col("c_nationkey").alias("nation")).pivot("y", PIVOT_YEARS)
+    wide = (long_src.groupBy(F.col("c_nationkey").alias("nation")).pivot("y")
             .agg(F.regexp_replace(F.round(F.avg("o_totalprice"), 2).cast("string"), r"\.", ",")))
-    wide = wide.toDF("nation", *[f"y{y}" for y in PIVOT_YEARS])
-    return unpivot_years(wide, "nation", [f"y{y}" for y in PIVOT_YEARS])
+    years = wide.columns[1:]  # those that the orders have
+    wide = wide.toDF("nation", *[f"y{y}" for y in years])
+    return unpivot_years(wide, "nation", [f"y{y}" for y in years])
 
 
 def unpivot_years(wide, id_col: str, year_cols):
     """Wide year columns -> (id, year, value); text numbers with decimal comma are cleaned."""
     long = wide.unpivot([id_col], list(year_cols), "year_col", "price_text")
     return (long.filter(F.col("price_text").isNotNull())
-            .select(id_col, F.regexp_extract("year_col", r"(\d{4})", 1).cast("int").alias("year"),
+            .select(id_col, F.regexp_extract("year_col", r"(\d{4})", 1).try_cast("int").alias("year"),
                     F.regexp_replace(F.regexp_replace("price_text", r"\s", ""), ",", ".").try_cast("double")
                     .alias("price")))
 

@@ -71,9 +71,10 @@ def q_stream_dedup_keys(spark: SparkSession, sf_dir: str):
     """lineitem read as a file stream, deduplicated on the business key within a
     3-day watermark on the ship time, written by a parquet sink and read back."""
     root = _scratch(spark, "stream-dedup")
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").schema
-    src = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
-           .parquet(sf_dir.rstrip("/"))
+    # as a pattern the table may be a file or a folder of part files; a stream takes a plain path for a folder
+    root_dir = sf_dir.rstrip("/")
+    src = (spark.readStream.schema(spark.read.parquet(f"{root_dir}/lineitem.parquet").schema)
+           .parquet(f"{root_dir}/lineitem.parque[t]")
            .select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp").alias("l_shipdate")))
     d = dedup_stream(src, ["l_orderkey", "l_linenumber"], "l_shipdate", "3 days")
     q = (d.writeStream.format("parquet").option("path", f"{root}/out")

@@ -140,7 +140,7 @@ u AS (SELECT order_key, line_number, origin, destination, planned_ts AS t, CAST(
 tr AS (SELECT order_key, line_number, avg(outcome) OVER w AS score FROM u
        WINDOW w AS (PARTITION BY origin, destination ORDER BY t
                     RANGE BETWEEN INTERVAL {HISTORY_DAYS} DAYS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)),
-s AS (SELECT round(tr.score, 6) AS threshold, lab.label FROM lab JOIN tr
+s AS (SELECT tr.score AS threshold, lab.label FROM lab JOIN tr
         ON lab.order_key = tr.order_key AND lab.line_number = tr.line_number WHERE tr.score IS NOT NULL),
 p AS (SELECT threshold, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg FROM s GROUP BY 1),
 c AS (SELECT threshold, pos, sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS tp,

@@ -11,16 +11,14 @@ from punctua.plans.registry import query
 from punctua.tables import Tables
 
 # Query parameters.
-SPINE_START = "2024-01-01"
-SPINE_END = "2024-01-31"
 TRAILING_DAYS = 7
 
 
-@query("forward_fill", sql=f"""
+@query("forward_fill", sql="""
 WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, sum(value) AS value FROM events
            WHERE event_type = 'purchase' GROUP BY 1, 2),
-s AS (SELECT user_id, CAST(unnest(generate_series(DATE '{SPINE_START}', DATE '{SPINE_END}', INTERVAL 1 DAY)) AS DATE) AS day
-      FROM (SELECT DISTINCT user_id FROM d)),
+s AS (SELECT user_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day
+      FROM (SELECT DISTINCT user_id FROM d), (SELECT min(day) AS lo, max(day) AS hi FROM d)),
 j AS (SELECT s.user_id, s.day, d.value,
              last_value(d.value IGNORE NULLS) OVER (PARTITION BY s.user_id ORDER BY s.day
                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f
@@ -30,12 +28,12 @@ SELECT user_id, day, round(value, 6) AS value, round(f, 6) AS value_filled,
 FROM j
 """)
 def q_forward_fill(spark: SparkSession, sf_dir: str):
-    """Daily purchase value per user on a January calendar, gaps carried forward."""
+    """Daily purchase value per user from the first to the last day of any purchase, gaps carried forward."""
     e = Tables(spark, sf_dir).events
     daily = (e.filter(F.col("event_type") == "purchase")
              .groupBy("user_id", F.to_date("ts").alias("day"))
              .agg(F.sum("value").alias("value")))
-    out = forward_fill(daily, "user_id", "day", "value", SPINE_START, SPINE_END)
+    out = forward_fill(daily, "user_id", "day", "value")
     return out.select("user_id", "day", F.round("value", 6).alias("value"),
                       F.round("value_filled", 6).alias("value_filled"), "is_filled")
 

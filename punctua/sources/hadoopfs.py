@@ -4,7 +4,6 @@ work happens here: listings, the first lines of new files, small JSON files."""
 
 from __future__ import annotations
 
-import fnmatch
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -36,9 +35,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> list[FileInfo]:
     """Recursive listing of data files under ``root`` whose *name* matches ``glob``
     (hidden ``_``/``.`` files and folders are skipped, as Spark's file sources do)."""
-    fs, p, _ = _fs(spark, root)
+    fs, p, jvm = _fs(spark, root)
     if not fs.exists(p):
         return []
+    matches = jvm.org.apache.hadoop.fs.GlobFilter(glob)  # the filter behind Spark's pathGlobFilter
     out = []
     it = fs.listFiles(p, True)
     base = fs.makeQualified(p).toString().rstrip("/")
@@ -48,7 +48,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> list[FileInfo
         rel = full[len(base):].lstrip("/")
         if any(seg.startswith(("_", ".")) for seg in rel.split("/")):
             continue
-        if fnmatch.fnmatch(st.getPath().getName(), glob):
+        if matches.accept(st.getPath()):
             out.append(FileInfo(full, int(st.getLen()), int(st.getModificationTime())))
     return sorted(out, key=lambda f: f.path)
 

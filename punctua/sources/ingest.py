@@ -13,8 +13,9 @@ One :class:`SourceConfig` describes a feed.  :func:`run_bronze` does, per run:
    files are keyed by path).  CSV lines are split with ``from_csv`` and mapped
    to registry names *by the header of their own file* (a stream-static join
    with the per-file header table), so files with reordered or extra columns
-   land correctly; preamble and header lines are dropped by value; surplus
-   fields and unknown JSON keys go to ``_rescued_data`` (JSON text).
+   land correctly; preamble and header lines are dropped by their place in the
+   file; surplus fields and unknown JSON keys go to ``_rescued_data`` (JSON
+   text), and so does the raw text of a line that does not parse.
 3. **Lineage**: ``_metadata`` (file struct), ``_source_file``, ``_ingested_at``
    and ``_row_hash`` = SHA-256 over all data columns (after renaming,
    including partition and rescued columns).
@@ -22,8 +23,8 @@ One :class:`SourceConfig` describes a feed.  :func:`run_bronze` does, per run:
    is there, then stop).  Read the bronze table with ``mergeSchema``.
 
 All data columns stay strings in bronze; typing happens in silver.
-Limitation: CSV values spanning several lines (quoted newlines) are not
-supported by the line-based scan.
+Limitation: values spanning several lines (``multiLine``) are not supported by
+the line-based scan; the option is refused.
 """
 
 from __future__ import annotations
@@ -46,6 +47,9 @@ from punctua.sources.naming import sanitize_expr, sanitize_name
 RESCUED = "_rescued_data"
 HEADER_READERS = 16
 BOM = "\ufeff"
+#: Fields beyond the widest header that are kept one by one; a line with more keeps its raw text.
+SURPLUS = 64
+END = "\u0003end"
 PARTITION_SEGMENT = re.compile(r"/([^/=]+)=([^/]*)/")
 
 
@@ -60,6 +64,26 @@ class SourceConfig:
     reader_options: Mapping[str, str] = field(default_factory=dict)
     skip_rows: int = 0                         # preamble lines before the CSV header
 
+    def __post_init__(self) -> None:
+        if self.schema_evolution_mode not in ("addNewColumns", "rescue"):
+            raise ValueError(f"unknown schema_evolution_mode {self.schema_evolution_mode!r}")
+        if self.opt("multiLine", "false").lower() == "true":
+            raise ValueError("multiLine is not supported: the scan reads lines")
+
+    @property
+    def preamble(self) -> int:
+        return self.skip_rows or int(self.opt("skipRows", "0"))
+
+    @property
+    def has_header(self) -> bool:
+        """CSV files name their columns unless the reader option ``header`` says otherwise."""
+        return self.opt("header", "true").lower() == "true"
+
+    @property
+    def first_row(self) -> int:
+        """Lines before a file's first data row."""
+        return self.preamble + self.has_header if self.file_format == "csv" else 0
+
     @property
     def schema_dir(self) -> str:
         return self.checkpoint_path.rstrip("/") + "/_schema"
@@ -76,7 +100,7 @@ class SourceConfig:
 
 
 # --------------------------------------------------------------------------- registry
-MANIFEST_SCHEMA = "hf string, header array<string>, drop_lines array<string>"
+MANIFEST_SCHEMA = "hf string, header array<string>"
 MANIFEST_MAX_FILES = 64
 
 
@@ -84,8 +108,8 @@ MANIFEST_MAX_FILES = 64
 class Registry:
     """Column names (registry JSON, small) plus the per-file manifest (parquet).
 
-    The manifest holds one row per file ever discovered — path, its sanitised
-    header and the raw lines to drop (preamble and header) — and is appended
+    The manifest holds one row per file ever discovered — path and its
+    sanitised header — and is appended
     once per run, so it grows by files, never by rows, and is read by Spark.
     """
     columns: list[str]
@@ -170,20 +194,18 @@ def discover(spark: SparkSession, cfg: SourceConfig) -> Registry:
     if cfg.file_format == "csv":
         sep, quote = cfg.opt("sep", ","), cfg.opt("quote", '"')
         enc = cfg.opt("encoding", "UTF-8")
-        # only the first skip_rows + 1 lines of each *new* file are read, several files at a time
+        # only the preamble and one more line of each *new* file are read, several files at a time
         with ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
-            heads = list(pool.map(lambda p: hfs.head_lines(spark, p, cfg.skip_rows + 1, enc), new))
+            heads = list(pool.map(lambda p: hfs.head_lines(spark, p, cfg.preamble + 1, enc), new))
         for path, lines in zip(new, heads):
-            if len(lines) <= cfg.skip_rows:
-                entries.append((path, [], lines))
+            if len(lines) <= cfg.preamble:
+                entries.append((path, []))
                 continue
-            drop = lines[:cfg.skip_rows + 1]
-            drop += [x.lstrip(BOM) for x in drop if x.startswith(BOM)]   # the scan may or may not keep a BOM
-            raw = _split_csv_line(lines[cfg.skip_rows].lstrip(BOM), sep, quote)
-            names = [sanitize_name(n) for n in raw]
+            raw = _split_csv_line(lines[cfg.preamble].lstrip(BOM), sep, quote)
+            names = [sanitize_name(n) for n in raw] if cfg.has_header else [f"_c{i}" for i in range(len(raw))]
             if len(set(names)) != len(names):
                 raise ValueError(f"column names collide after sanitising in {path}: {raw}")
-            entries.append((path, names, drop))
+            entries.append((path, names))
             if evolve:
                 _add(reg.columns, names)
     elif cfg.file_format == "json":
@@ -193,7 +215,7 @@ def discover(spark: SparkSession, cfg: SourceConfig) -> Registry:
             names = [sanitize_name(n) for n in inferred.columns if n != "_corrupt_record"]
             if evolve:
                 _add(reg.columns, names)
-            entries = [(path, [], []) for path in new]
+            entries = [(path, []) for path in new]
     else:
         raise ValueError(f"unsupported format {cfg.file_format}")
     for p in reg.partitions:
@@ -210,54 +232,102 @@ def discover(spark: SparkSession, cfg: SourceConfig) -> Registry:
 # Options consumed by the scan itself rather than by the record parser.
 SCAN_OPTIONS = {"header", "skiprows", "encoding", "charset", "pathglobfilter", "recursivefilelookup",
                 "multiline", "inferschema", "primitivesasstring"}
+# Rate control and file selection, passed to the stream.
+STREAM_OPTIONS = {"maxfilespertrigger", "maxbytespertrigger", "latestfirst", "maxfileage", "modifiedbefore",
+                  "modifiedafter"}
 
 
 def parser_options(cfg: SourceConfig) -> dict[str, str]:
     """Free-form reader options passed through to ``from_csv``/``from_json``."""
-    opts = {k: str(v) for k, v in cfg.reader_options.items() if k.lower() not in SCAN_OPTIONS}
+    opts = {k: str(v) for k, v in cfg.reader_options.items() if k.lower() not in SCAN_OPTIONS | STREAM_OPTIONS}
     if cfg.file_format == "csv":
         opts.setdefault("sep", ",")
         opts.setdefault("quote", '"')
     return opts
 
 
+def drop_first(lines: DataFrame, n: int, encoding: str = "UTF-8") -> DataFrame:
+    """``lines`` (value, _metadata) of a text scan without the first ``n`` lines of each file, decoded.
+
+    Spark has no line number for text, but a task reads a split in file order: lines of a file's first block are
+    counted as they pass. Only these counters are kept."""
+    utf8 = encoding.replace("-", "").lower() == "utf8"
+    if not n and utf8:
+        return lines
+    schema = lines.schema
+
+    def passed(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        seen: dict[str, int] = {}
+        for batch in batches:
+            meta = batch.column(1)
+            head = pc.equal(pc.struct_field(meta, "file_block_start"), 0)
+            keep = [True] * batch.num_rows
+            if n and pc.any(head).as_py():
+                paths = pc.struct_field(meta, "file_path").dictionary_encode()
+                for k, path in enumerate(paths.dictionary.to_pylist()):
+                    if seen.get(path, 0) < n:
+                        here = pc.indices_nonzero(pc.and_(head, pc.equal(paths.indices, k)))[:n - seen.get(path, 0)]
+                        seen[path] = seen.get(path, 0) + len(here)
+                        for i in here.to_pylist():
+                            keep[i] = False
+            text = batch.column(0)
+            if not utf8:
+                text = pa.array([x.decode(encoding) for x in text.cast(pa.binary()).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([text, meta], names=["value", "_metadata"]).filter(pa.array(keep))
+
+    raw = lines if utf8 else lines.withColumn("value", F.col("value").cast("binary"))
+    return raw.mapInArrow(passed, schema)
+
+
+def file_path() -> Column:
+    """Path of a line's file as a listing names it; ``_metadata`` holds it URL-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def _lines(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
-    enc = cfg.opt("encoding", "UTF-8")
-    if enc.replace("-", "").lower() == "utf8":
-        r = spark.readStream.format("text")
-    else:
-        # one field per line, decoded with the configured charset
-        r = (spark.readStream.format("csv").schema("value string").option("encoding", enc)
-             .option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000"))
-    return (r.option("pathGlobFilter", cfg.path_glob_filter).option("recursiveFileLookup", "true")
-            .load(cfg.source_path)
-            .select("value", "_metadata"))
+    r = spark.readStream.format("text").options(
+        **{k: str(v) for k, v in cfg.reader_options.items() if k.lower() in STREAM_OPTIONS})
+    lines = (r.option("pathGlobFilter", cfg.path_glob_filter).option("recursiveFileLookup", "true")
+             .load(cfg.source_path)
+             .select("value", "_metadata"))
+    return drop_first(lines, cfg.first_row, cfg.opt("encoding", cfg.opt("charset", "UTF-8")))
 
 
 def _partition_cols(reg: Registry) -> dict[str, Column]:
-    return {p: F.nullif(F.regexp_extract(F.col("_metadata.file_path"), f"/{re.escape(p)}=([^/]*)/", 1), F.lit(""))
-            for p in reg.partitions}
+    """Values of ``name=value`` folders, unescaped; the default partition is NULL."""
+    def value(p: str) -> Column:
+        stored = F.regexp_extract(file_path(), f"/{re.escape(p)}=([^/]*)/", 1)
+        plain = F.coalesce(F.try_url_decode(F.replace(stored, F.lit("+"), F.lit("%2B"))), stored)
+        return F.when(~plain.isin("", "__HIVE_DEFAULT_PARTITION__"), plain)
+
+    return {p: value(p) for p in reg.partitions}
 
 
 def _csv_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFrame:
-    """Lines -> registry columns by each file's own header; up to 64 surplus
-    fields per row beyond the widest header are kept in ``_rescued_data``."""
+    """Lines -> registry columns by each file's own header; surplus fields are kept in
+    ``_rescued_data``, and of a line with more than SURPLUS of them, or with an open quote, the raw text."""
     headers = reg.manifest(spark)
-    width = (headers.agg(F.max(F.size("header"))).first()[0] or 1) + 64
+    width = (headers.agg(F.max(F.size("header"))).first()[0] or 1) + SURPLUS + 1
     pos_schema = ", ".join(f"c{i} string" for i in range(width))
     lines = _lines(spark, cfg)
-    j = lines.join(headers, F.col("_metadata.file_path") == F.col("hf"), "left")
+    j = lines.join(headers, file_path() == F.col("hf"), "left")
     # a file that landed after discovery has no header yet: fail the micro-batch (nothing is
     # committed, the next run discovers the file) instead of dropping its rows silently
     unknown_file = F.raise_error(F.concat(F.lit("file landed during the run, re-run to ingest it: "),
                                           F.col("_metadata.file_path")))
     j = j.filter(F.when(F.col("hf").isNull(), unknown_file.cast("boolean")).otherwise(F.lit(True)))
-    # NULL-tolerant on the manifest side, so the optimizer keeps the outer join above
-    j = j.filter(~F.coalesce(F.array_contains(F.col("drop_lines"), F.col("value")), F.lit(False))
-                 & (F.length("value") > 0))
-    parsed = j.withColumn("_v", F.from_csv(F.col("value"), pos_schema, parser_options(cfg)))
+    j = j.filter(F.length("value") > 0)
+    # an end mark as a last field tells how many fields a line has
+    marked = F.concat(F.col("value"), F.lit(cfg.opt("sep", ",") + END))
+    parsed = j.withColumn("_v", F.from_csv(marked, pos_schema, parser_options(cfg)))
     vals = F.array(*[F.col("_v")[f"c{i}"] for i in range(width)])
-    parsed = parsed.withColumn("_vals", vals)
+    parsed = parsed.withColumn("_all", vals).withColumn("_n", F.coalesce(
+        F.array_position("_all", END), F.lit(0)).cast("int") - 1)
+    parsed = parsed.withColumn("_vals", F.when(F.col("_n") >= 0, F.slice(F.col("_all"), F.lit(1), F.greatest("_n", F.lit(0))))
+                               .otherwise(F.transform("_all", lambda x: F.replace(
+                                   x, F.lit(cfg.opt("sep", ",") + END), F.lit("")))))
     cols = {}
     for name in reg.columns:
         pos = F.array_position(F.col("header"), F.lit(name)).cast("int")
@@ -270,7 +340,8 @@ def _csv_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFra
         rescued_values = F.concat(
             F.transform(unknown, lambda h: F.get(F.col("_vals"), F.array_position(F.col("header"), h).cast("int") - 1)),
             surplus)
-    rescued = F.when(F.size(rescued_values) > 0, F.to_json(rescued_values))
+    rescued = (F.when(F.col("_n") < 0, F.to_json(F.array("value")))
+               .when(F.size(rescued_values) > 0, F.to_json(rescued_values)))
     return parsed.select(*[e.alias(n) for n, e in cols.items()], rescued.alias(RESCUED), "_metadata")
 
 
@@ -282,7 +353,7 @@ def _json_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFr
     known = set(reg.columns) | set(reg.partitions)
     cols = {name: F.col("_m")[name] for name in reg.columns}
     rest = F.map_filter(F.col("_m"), lambda k, v: ~k.isin(*known) if known else F.lit(True))
-    rescued = F.when(F.size(rest) > 0, F.to_json(rest))
+    rescued = F.when(F.col("_m").isNull(), F.col("value")).when(F.size(rest) > 0, F.to_json(rest))
     return m.select(*[e.alias(n) for n, e in cols.items()], rescued.alias(RESCUED), "_metadata")
 
 

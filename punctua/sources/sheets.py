@@ -11,11 +11,13 @@ value column — with the numbers cleaned.  No row is held on the driver.
 from __future__ import annotations
 
 import csv
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctua.sources import hadoopfs as hfs
+from punctua.sources.ingest import BOM, drop_first
 from punctua.sources.naming import sanitize_name
 
 
@@ -52,19 +54,26 @@ def clean_number(c):
 
 def read_wide_sheet(spark: SparkSession, path: str, header_rows: int, id_cols: int, sep: str = ";",
                     encoding: str = "UTF-8") -> DataFrame:
-    files = hfs.list_files(spark, path, "*")
-    if not files:
+    """Long table of all sheets under ``path``: id columns, ``column``, ``raw``, ``value``.
+
+    Files are grouped by their own header, so a file's values stand under its own names; an id column that a
+    layout lacks is NULL. Header lines are dropped by their place in the file."""
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for f in hfs.list_files(spark, path, "*"):
+        head = hfs.head_lines(spark, f.path, header_rows, encoding)
+        if len(head) == header_rows:  # a shorter file has no data
+            rows = [next(csv.reader([line.lstrip(BOM)], delimiter=sep), []) for line in head]
+            layouts.setdefault(tuple(combine_header_rows(rows)), []).append(f.path)
+    if not layouts:
         raise FileNotFoundError(path)
-    # names from the first file; header lines of every file are dropped from the data
-    heads = [hfs.head_lines(spark, f.path, header_rows, encoding) for f in files]
-    rows = [next(csv.reader([line], delimiter=sep)) for line in heads[0]]
-    names = combine_header_rows(rows)
-    header_lines = list(dict.fromkeys(line for h in heads for line in h))
-    schema = ", ".join(f"`{n}` string" for n in names)
-    lines = (spark.read.option("encoding", encoding).option("sep", "\u0001").option("quote", "\u0000")
-             .schema("value string").csv(path))
-    data = lines.filter(~F.col("value").isin(*header_lines) & (F.length(F.trim("value")) > 0))
-    parsed = data.select(F.from_csv("value", schema, {"sep": sep}).alias("r")).select("r.*")
-    ids, values = names[:id_cols], names[id_cols:]
-    long = parsed.unpivot(ids, values, "column", "raw")
-    return long.withColumn("value", clean_number(F.col("raw")))
+
+    def long(names: tuple[str, ...], paths: list[str]) -> DataFrame:
+        lines = drop_first(spark.read.text(paths).select("value", "_metadata"), header_rows, encoding)
+        schema = ", ".join(f"`{n}` string" for n in names)
+        parsed = (lines.filter(F.length(F.trim("value")) > 0)
+                  .select(F.from_csv("value", schema, {"sep": sep}).alias("r")).select("r.*"))
+        return parsed.unpivot(list(names[:id_cols]), list(names[id_cols:]), "column", "raw")
+
+    frames = [long(names, paths) for names, paths in layouts.items()]
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return out.withColumn("value", clean_number(F.col("raw")))

@@ -18,6 +18,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -151,8 +153,9 @@ def backfill_silver(spark: SparkSession, bronze_path: str, table: SilverTable, o
     Batch path over the selected bronze rows: standardise, validate, dedup
     (first file wins), then insert only keys the silver table does not hold
     yet (``left_anti`` on the business key), so stream and backfill never
-    duplicate a key.  Writes ``batch=<label>`` folders; re-running with the
-    same label replaces them (idempotent).  Returns (valid, quarantined) rows.
+    duplicate a key.  Writes ``batch=backfill-<label>`` folders, which no stream
+    batch id equals and Spark reads as text; re-running with the same label
+    replaces them (idempotent).  Returns (valid, quarantined) rows.
     """
     src = read_bronze(spark, bronze_path)
     src = src.filter(F.expr(bronze_filter) if isinstance(bronze_filter, str) else bronze_filter)
@@ -161,20 +164,22 @@ def backfill_silver(spark: SparkSession, bronze_path: str, table: SilverTable, o
     valid, quarantine = split_outputs(frame, table)
     out = out_root.rstrip("/")
     keys = list(table.keys)
+    batch = f"backfill-{label}"
+    folder = f"batch={quote(batch, safe='')}"
     existing_path = f"{out}/{table.name}"
     from punctua.sources import hadoopfs as hfs
     if hfs.exists(spark, existing_path):
         existing = (spark.read.option("mergeSchema", "true").parquet(existing_path)
-                    .filter(F.col("batch").cast("string") != F.lit(label)).select(*keys))
+                    .filter(F.col("batch").cast("string") != F.lit(batch)).select(*keys))
         valid = valid.join(existing, keys, "left_anti")
     valid = valid.persist()
     try:
         n_valid = valid.count()
-        valid.write.mode("overwrite").parquet(f"{out}/{table.name}/batch={label}")
+        valid.write.mode("overwrite").parquet(f"{out}/{table.name}/{folder}")
     finally:
         valid.unpersist()
-    quarantine.write.mode("overwrite").parquet(f"{out}/{table.quarantine_name}/batch={label}")
-    n_q = spark.read.parquet(f"{out}/{table.quarantine_name}/batch={label}").count()
+    quarantine.write.mode("overwrite").parquet(f"{out}/{table.quarantine_name}/{folder}")
+    n_q = spark.read.parquet(f"{out}/{table.quarantine_name}/{folder}").count()
     return n_valid, n_q
 
 

@@ -2,7 +2,9 @@
 data, partitions, lineage columns and exactly-once re-runs."""
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import write
@@ -174,3 +176,46 @@ def test_manifest_compaction_keeps_every_file_once(spark, tmp):
     write(f"{landing}/a/f9.csv", "id;name\n9;n9\n")
     run_bronze(spark, cfg)
     assert sorted(r["id"] for r in read_bronze(spark, f"{bronze}/a").collect()) == ["0", "1", "2", "3", "9"]
+
+
+def _bronze(spark, tmp, name, files, **cfg):
+    for path, text in files.items():
+        full = f"{tmp}/{name}/in/{path}"
+        os.makedirs(os.path.dirname(full), exist_ok=True)
+        with open(full, "wb") as f:
+            f.write(text if isinstance(text, bytes) else text.encode())
+    config = SourceConfig(f"{tmp}/{name}/in", f"{tmp}/{name}/system", f"{tmp}/{name}/out", **cfg)
+    run_bronze(spark, config)
+    return read_bronze(spark, config.target_path)
+
+
+def test_no_line_is_lost_by_value_or_width(spark, tmp):
+    many = ",".join(str(i) for i in range(100))
+    text = f"note\na,b\n1,2\nnote\na,b\n3,4,{many}\n5,6,,x\n7,\"open\n"
+    b = _bronze(spark, tmp, "width", {"my file+1%.csv": text, "second.csv": "note\nb,a\n9,8\n"}, skip_rows=1)
+    rows = {r["a"]: r for r in b.collect()}
+    assert {k: r["b"] for k, r in rows.items() if k != "7"} == {"1": "2", "note": None, "a": "b", "3": "4", "5": "6", "8": "9"}
+    assert json.loads(rows["3"]["_rescued_data"]) == [f"3,4,{many}"]
+    assert json.loads(rows["5"]["_rescued_data"]) == ["x"]
+    assert json.loads(rows["7"]["_rescued_data"]) == ['7,"open'] and "end" not in rows["7"]["b"]
+
+
+def test_header_false_encoding_and_skip_rows_option(spark, tmp):
+    b = _bronze(spark, tmp, "plain", {"x.csv": "olá\n1;é\n2;ç\n".encode("latin-1")},
+                reader_options={"sep": ";", "header": "false", "skipRows": "1", "encoding": "ISO-8859-1"})
+    assert sorted((r["_c0"], r["_c1"]) for r in b.collect()) == [("1", "é"), ("2", "ç")]
+
+
+def test_malformed_json_keeps_its_text_and_partitions_are_unescaped(spark, tmp):
+    b = _bronze(spark, tmp, "json", {"k=c d/a.json": '{"x": "1"}\nnot json\n', "k=__HIVE_DEFAULT_PARTITION__/b.json": '{"x": "2"}\n'},
+                file_format="json")
+    assert sorted((r["x"] or "", r["_rescued_data"] or "", r["k"] or "") for r in b.collect()) == [
+        ("", "not json", "c d"), ("1", "", "c d"), ("2", "", "")]
+
+
+def test_glob_with_alternatives_and_refused_settings(spark, tmp):
+    b = _bronze(spark, tmp, "glob", {"a.csv": "x\n1\n", "b.txt": "x\n2\n", "c.log": "x\n3\n"}, path_glob_filter="*.{csv,txt}")
+    assert sorted(r["x"] for r in b.collect()) == ["1", "2"]
+    for bad in ({"schema_evolution_mode": "whatever"}, {"reader_options": {"multiLine": "true"}}):
+        with pytest.raises(ValueError):
+            SourceConfig("a", "b", "c", **bad)

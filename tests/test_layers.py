@@ -89,3 +89,13 @@ def test_shuffle_partition_sizing(spark):
     n = configure_for_inputs(spark, [SF_SMALL])
     assert n >= int(before)
     spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_each_sheet_is_read_by_its_own_header(spark, tmp):
+    from punctua.sources.sheets import read_wide_sheet
+    write(f"{tmp}/sheets/a.csv", "town;2000;2001\nX;1,5;2\ntown;2000;2001\n")
+    write(f"{tmp}/sheets/b.csv", "town;2001;2000\nY;7;8\n")
+    out = read_wide_sheet(spark, f"{tmp}/sheets", header_rows=1, id_cols=1)
+    got = sorted((r["town"], r["column"], r["value"]) for r in out.collect())
+    assert got == [("X", "2000", 1.5), ("X", "2001", 2.0), ("Y", "2000", 8.0), ("Y", "2001", 7.0),
+                   ("town", "2000", 2000.0), ("town", "2001", 2001.0)]

@@ -12,7 +12,7 @@ from punctua.plans.flights import valid_flights
 from punctua.sources.landing import write_daily_snapshot, write_json_lines
 from punctua.operators.dedup import dedup_stream
 from punctua.tables import Tables
-from conftest import SF_SMALL
+from conftest import SF_SMALL, write
 
 
 def test_json_lines_and_daily_snapshot(spark, tmp):

@@ -62,12 +62,21 @@ def with_unknown_member(dim: DataFrame, sk: str, defaults: Mapping[str, object]
     return dim.unionByName(row)
 
 
-def resolve_surrogate(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk: str) -> DataFrame:
-    """Fact foreign key -> dimension surrogate key; orphans get ``-1``."""
-    d = dim.select(F.col(dim_key).alias("_nk"), F.col(sk).alias("_sk"))
-    return (fact.join(d, fact[fact_key] == d["_nk"], "left")
-            .withColumn(sk, F.coalesce(F.col("_sk"), F.lit(UNKNOWN_MEMBER_KEY).cast("bigint")))
-            .drop("_nk", "_sk"))
+def resolve_surrogate(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk: str,
+                      carried: Mapping[str, object] | None = None) -> DataFrame:
+    """Fact foreign key -> dimension surrogate key; orphans get ``-1``.
+
+    ``carried`` names dimension columns (the natural key among them, if wanted) that come along in the same
+    join, with the value of the unknown member: no second join on the surrogate key, which a hash collision or
+    the many orphans on ``-1`` would spoil.
+    """
+    carried = carried or {}
+    d = dim.select(F.col(dim_key).alias("_nk"), F.col(sk).alias("_sk"), *[F.col(c).alias(f"_d_{c}") for c in carried])
+    j = fact.join(d, fact[fact_key] == d["_nk"], "left")
+    found = F.col("_sk").isNotNull()
+    return (j.withColumns({sk: F.coalesce("_sk", F.lit(UNKNOWN_MEMBER_KEY).cast("bigint")),
+                           **{c: F.when(found, F.col(f"_d_{c}")).otherwise(F.lit(v)) for c, v in carried.items()}})
+            .drop("_nk", "_sk", *[f"_d_{c}" for c in carried]))
 
 
 def keys_missing_from(left: DataFrame, right: DataFrame, key: str, label: str) -> DataFrame:

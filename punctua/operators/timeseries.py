@@ -7,6 +7,8 @@ as-of join and the trailing window split each key by time bucket:
 * as-of: last value inside ``(key, bucket)``; rows without a match in their
   bucket take the carry from earlier buckets, computed on the per-bucket
   summary (size keys x buckets, independent of rows per bucket).
+* trailing sums of N: running sums to which a row adds at its time and from
+  which it is taken off N later; buckets of any width, totals carried over.
 * trailing window of N: every row is also copied, as context only, into the
   next ceil(N / bucket width) buckets, so each ``(key, bucket)`` partition
   holds every row its frames can reach.  Exact; with the default bucket width
@@ -52,39 +54,44 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
     the module docstring.
     """
     rc = list(right_cols)
-    tie_col = F.col(tie) if tie else F.lit(0)
+    tie_col = (F.col(tie) if tie else F.lit(0)).cast("long")
     payload = F.struct(*[F.col(c).alias(c) for c in rc])
     fact_side, feat_side = (0, 1) if strict else (1, 0)
     lcols = left.columns
+    right = right.filter(F.col(key).isNotNull())  # a NULL key matches nothing
     l = left.select(*[F.col(c) for c in lcols], F.col(key).alias("_k"), F.col(left_ts).alias("_t"),
                     F.lit(fact_side).alias("_side"), F.lit(None).cast("long").alias("_tie"),
                     F.lit(None).cast(payload_type(right, rc)).alias("_p"))
     r = right.select(*[F.lit(None).cast(t).alias(c) for c, t in left.dtypes],
                      F.col(key).alias("_k"), F.col(right_ts).alias("_t"), F.lit(feat_side).alias("_side"),
-                     tie_col.cast("long").alias("_tie"), payload.alias("_p"))
+                     tie_col.alias("_tie"), payload.alias("_p"))
     u = l.unionByName(r)
     order = [F.col("_t"), F.col("_side"), F.col("_tie")]
-    bucket = order_bucket(F.col("_t"), dict(left.dtypes)[left_ts], bucket_days, bucket_size)
+    ts_type = dict(left.dtypes)[left_ts]
+    bucket = order_bucket(F.col("_t"), ts_type, bucket_days, bucket_size)
     if bucket is None:
         w = Window.partitionBy("_k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         out = (u.withColumn("_m", F.last("_p", ignorenulls=True).over(w))
                .filter(F.col("_side") == fact_side))
     else:
-        u = u.withColumn("_b", bucket)
-        part = Window.partitionBy("_k", "_b").orderBy(*order)
-        # one window pass: running last match, and the bucket's last right row
-        uw = (u.withColumn("_m", F.last("_p", ignorenulls=True).over(
-                  part.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_blast", F.last("_p", ignorenulls=True).over(
-                  part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-        # per-bucket summary (keys x buckets rows), carried forward to later buckets; both
-        # branches read the same shuffle of ``u``, which Spark reuses instead of rescanning
-        wb = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        carry = (uw.groupBy("_k", "_b").agg(F.first("_blast", ignorenulls=True).alias("_blast"))
-                 .withColumn("_carry", F.last("_blast", ignorenulls=True).over(wb))
-                 .select("_k", "_b", "_carry"))
-        out = (uw.filter(F.col("_side") == fact_side).join(carry, ["_k", "_b"], "left")
-               .withColumn("_m", F.coalesce(F.col("_m"), F.col("_carry"))))
+        part = Window.partitionBy("_k", "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        rows = (u.withColumn("_b", bucket).withColumn("_m", F.last("_p", ignorenulls=True).over(part))
+                .filter(F.col("_side") == fact_side))
+        # what earlier buckets hand over: the last right row per bucket, and the buckets that left rows ask for;
+        # both are aggregated on the map side, so only keys x buckets rows are shuffled
+        asked = (left.filter(F.col(key).isNotNull())
+                 .select(F.col(key).alias("_k"), order_bucket(F.col(left_ts), ts_type, bucket_days, bucket_size)
+                         .alias("_b"), F.lit(None).cast(f"struct<t:{dict(right.dtypes)[right_ts]},i:bigint>").alias("_o"),
+                         F.lit(None).cast(payload_type(right, rc)).alias("_p")))
+        given = right.select(F.col(key).alias("_k"), order_bucket(F.col(right_ts), ts_type, bucket_days, bucket_size)
+                             .alias("_b"), F.struct(F.col(right_ts).alias("t"), tie_col.alias("i")).alias("_o"),
+                             payload.alias("_p"))
+        before = Window.partitionBy("_ck").orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
+        carry = (asked.unionByName(given).groupBy(F.col("_k").alias("_ck"), F.col("_b").alias("_cb"))
+                 .agg(F.max_by("_p", "_o").alias("_last"))
+                 .select("_ck", "_cb", F.last("_last", ignorenulls=True).over(before).alias("_carry")))
+        out = (rows.join(carry, (F.col("_k") == F.col("_ck")) & (F.col("_b") == F.col("_cb")), "left")
+               .withColumn("_m", F.coalesce("_m", "_carry")))
     return out.select(*lcols, *[F.col("_m")[c].alias(prefix + c) for c in rc])
 
 
@@ -116,6 +123,53 @@ def trailing_window(df: DataFrame, key: str | Sequence[str], ts: str, aggs: dict
     return out.filter("_target").drop("_us", "_b", "_target")
 
 
+def trailing_sums(targets: DataFrame, facts: DataFrame, keys: str | Sequence[str], ts: str, fact_ts: str,
+                  values: dict[str, Column], days: float, bucket_days: float = 1.0) -> DataFrame:
+    """``targets`` with, per name in ``values``, the sum over the key's ``facts`` in ``[ts - days, ts)``.
+
+    Running sums instead of frames: a fact adds its values from its own time on and takes them off again ``days``
+    later, so a target reads the sum of everything before it.  Inside ``(key, bucket)`` that is one window; whole
+    earlier buckets come from their totals (aggregated on the map side, keys x buckets rows).  Buckets may be as narrow
+    as a hot key needs, at no further copies.  ``values`` are integers (counts, flags; cast to BIGINT), so taking off is
+    exact; a NULL value counts 0, an empty frame sums to 0, and a NULL key or time has nothing before it.
+    """
+    kc = [keys] if isinstance(keys, str) else list(keys)
+    names = list(values)
+    width, bw = int(days * MICROS_PER_DAY), int(bucket_days * MICROS_PER_DAY)
+    known = F.col(fact_ts).isNotNull()
+    for k in kc:
+        known = known & F.col(k).isNotNull()
+    at = F.unix_micros(F.col(fact_ts))
+    signed = F.explode(F.array(*[
+        F.struct((at + shift).alias("us"), *[(F.coalesce(v.cast("bigint"), F.lit(0)) * sign).alias(n)
+                                             for n, v in values.items()])
+        for shift, sign in ((0, 1), (width, -1))]))
+    moves = (facts.filter(known).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(kc)], signed.alias("_e"))
+             .select(*[f"_k{i}" for i in range(len(kc))], F.col("_e.us").alias("_us"),
+                     *[F.col(f"_e.{n}").alias(f"_v{i}") for i, n in enumerate(names)]))
+    kn, vn = [f"_k{i}" for i in range(len(kc))], [f"_v{i}" for i in range(len(names))]
+    tgt = targets.select(*[F.col(k).alias(n) for k, n in zip(kc, kn)], F.unix_micros(F.col(ts)).alias("_us"),
+                         *[F.lit(0).cast("bigint").alias(v) for v in vn], F.struct(*targets.columns).alias("_row"))
+    u = (tgt.unionByName(moves, allowMissingColumns=True)
+         .withColumn("_b", F.floor(F.col("_us") / F.lit(bw)).cast("bigint")))
+    w = Window.partitionBy(*kn, "_b").orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
+    rows = u.withColumns({f"_s{i}": F.sum(v).over(w) for i, v in enumerate(vn)}).filter(F.col("_row").isNotNull())
+    # totals of earlier buckets, for the buckets that targets or moves are in
+    spots = (tgt.drop("_row").unionByName(moves).dropna(subset=[*kn, "_us"])
+             .groupBy(*[F.col(k).alias(f"_c{k}") for k in kn], F.floor(F.col("_us") / F.lit(bw)).cast("bigint").alias("_cb"))
+             .agg(*[F.sum(v).alias(v) for v in vn]))
+    before = Window.partitionBy(*[f"_c{k}" for k in kn]).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
+    carry = spots.select(*[f"_c{k}" for k in kn], "_cb",
+                         *[F.sum(v).over(before).alias(f"_c{v}") for v in vn])
+    on = F.col("_b") == F.col("_cb")
+    for k in kn:
+        on = on & (F.col(k) == F.col(f"_c{k}"))
+    zero = F.lit(0).cast("bigint")
+    return (rows.join(carry, on, "left")
+            .select("_row.*", *[(F.coalesce(f"_s{i}", zero) + F.coalesce(f"_c{v}", zero)).alias(n)
+                                for i, (n, v) in enumerate(zip(names, vn))]))
+
+
 def day_spine(keys: DataFrame, key: str, start, end, day_col: str = "day") -> DataFrame:
     """One row per key and calendar day in ``[start, end]`` (a generator, not a join)."""
     s = F.lit(str(start)).cast("date")

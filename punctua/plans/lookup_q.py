@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from punctua.functions.links import extract_links
 from punctua.operators.joins import (
     bounded_broadcast, keys_missing_from, lookup_keys, resolve_surrogate, role_playing, surrogate_key,
-    with_unknown_member,
 )
 from punctua.plans.flights import FLIGHTS_SQL, flights
 from punctua.plans.registry import query
@@ -24,7 +23,7 @@ WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R')
 def q_in_list_lookup(spark: SparkSession, sf_dir: str):
     """Coordinates-style lookup for a key set computed by Spark (no collect)."""
     t = Tables(spark, sf_dir)
-    wanted = t.lineitem.filter(F.col("l_returnflag") == "R").select("l_suppkey")
+    wanted = t.lineitem.filter(F.col("l_returnflag") == "R").select("l_suppkey").distinct()
     return lookup_keys(t.supplier, wanted, "s_suppkey", "l_suppkey", ["s_suppkey", "s_nationkey", "s_acctbal"])
 
 
@@ -85,14 +84,9 @@ def q_unknown_member(spark: SparkSession, sf_dir: str):
     t = Tables(spark, sf_dir)
     dim = (t.customer.filter(F.col("c_acctbal") >= 0)
            .select(surrogate_key("c_custkey").alias("customer_sk"), F.col("c_custkey").alias("dim_customer_key")))
-    dim = with_unknown_member(dim, "customer_sk", {"dim_customer_key": -1})
     o = t.orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer_key"))
-    r = resolve_surrogate(o, dim.select(F.col("dim_customer_key").alias("nk"), "customer_sk"),
-                          "customer_key", "nk", "customer_sk")
-    back = dim.select(F.col("customer_sk").alias("_sk"), "dim_customer_key")
-    return (r.join(back, r.customer_sk == back._sk, "left")
-            .select("order_key", "customer_key", "dim_customer_key",
-                    (F.col("customer_sk") == -1).alias("is_unknown")))
+    r = resolve_surrogate(o, dim, "customer_key", "dim_customer_key", "customer_sk", {"dim_customer_key": -1})
+    return r.select("order_key", "customer_key", "dim_customer_key", (F.col("customer_sk") == -1).alias("is_unknown"))
 
 
 @query("new_files_anti", sql=f"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from punctua.operators.calendar import is_high_season, is_holiday, iso_weekday
 from punctua.operators.stats import pr_curve, psi
-from punctua.operators.timeseries import asof_join, trailing_window
+from punctua.operators.timeseries import asof_join, trailing_sums
 from punctua.plans.flights import FLIGHTS_SQL, valid_flights
 from punctua.plans.registry import query
 from punctua.session import materialize
@@ -26,10 +26,11 @@ def labelled(t: Tables, flights=None):
     return f.withColumn("label", (F.col("delay_min") > LABEL_MINUTES).cast("int"))
 
 
-def flight_base(t: Tables):
-    """The validated flights, computed once and materialised: the feature
-    plans read them in several branches (labels, outcomes, rain)."""
-    return materialize(valid_flights(t), "flights")
+def flight_base(t: Tables, *more: str):
+    """The validated flights, computed once and materialised with the columns that the branches of a feature
+    plan (labels, outcomes, rain) read, and ``more``."""
+    return materialize(valid_flights(t).select("order_key", "line_number", "origin", "destination", "planned_ts",
+                                               "real_ts", "delay_min", "cancelled", *more), "flights")
 
 
 _LAB_SQL = f"""
@@ -48,16 +49,13 @@ def q_label_delay15(spark: SparkSession, sf_dir: str):
 
 
 def route_history(lab):
-    """Per flight: count and delay rate of the route's flights whose outcome was
+    """``lab`` with, per flight, count and delay rate of the route's flights whose outcome was
     known (actual time) in the 30 days before this flight's planned time."""
-    q = lab.select("order_key", "line_number", "origin", "destination", F.col("planned_ts").alias("t"),
-                   F.lit(None).cast("int").alias("outcome"), F.lit(True).alias("is_query"))
-    o = lab.select(F.lit(None).cast("bigint").alias("order_key"), F.lit(None).cast("int").alias("line_number"),
-                   "origin", "destination", F.col("real_ts").alias("t"), F.col("label").alias("outcome"),
-                   F.lit(False).alias("is_query"))
-    tr = trailing_window(q.unionByName(o), ["origin", "destination"], "t",
-                         {"route_n_30d": F.count("outcome"), "route_rate_30d": F.avg("outcome")}, HISTORY_DAYS)
-    return tr.filter("is_query").select("order_key", "line_number", "route_n_30d", "route_rate_30d")
+    out = trailing_sums(lab, lab.filter("label IS NOT NULL").select("origin", "destination", "real_ts", "label"),
+                        ["origin", "destination"], "planned_ts", "real_ts",
+                        {"route_n_30d": F.lit(1), "route_late_30d": F.col("label")}, HISTORY_DAYS)
+    return out.withColumn("route_rate_30d", F.when(F.col("route_n_30d") > 0,
+                                                   F.col("route_late_30d") / F.col("route_n_30d")))
 
 
 def features(t: Tables):
@@ -69,20 +67,18 @@ def features(t: Tables):
       it ends), by strict as-of join;
     * calendar parts of the planned date.
     """
-    allf = flight_base(t)
+    allf = flight_base(t, "quantity")
     lab = labelled(t, allf)
-    tr = route_history(lab)
     rain = (allf.groupBy("destination", F.to_date("real_ts").alias("day"))
             .agg(F.sum("quantity").alias("rain_mm"))
             .select(F.col("destination").alias("r_dest"), "rain_mm",
                     F.date_add("day", 1).cast("timestamp").alias("rain_known_ts")))
-    base = lab.select("order_key", "line_number", "origin", "destination", "planned_ts", "label")
+    base = route_history(lab.select("order_key", "line_number", "origin", "destination", "planned_ts", "real_ts", "label"))
     withrain = asof_join(base, rain.withColumnRenamed("r_dest", "destination"), "destination", "planned_ts",
                          "rain_known_ts", ["rain_mm"], strict=True, bucket_days=30.0, prefix="prev_")
     d = F.col("planned_ts")
-    return (withrain.join(tr, ["order_key", "line_number"], "left")
-            .select("order_key", "line_number", "origin", "destination", "planned_ts", "label",
-                    F.col("route_n_30d").cast("bigint").alias("route_n_30d"),
+    return (withrain
+            .select("order_key", "line_number", "origin", "destination", "planned_ts", "label", "route_n_30d",
                     F.round("route_rate_30d", 6).alias("route_rate_30d"),
                     F.round("prev_rain_mm", 6).alias("prev_rain_mm"),
                     iso_weekday(d).alias("iso_weekday"), F.month(d).alias("month"),
@@ -156,7 +152,7 @@ def q_pr_curve(spark: SparkSession, sf_dir: str):
     """PR curve of the 30-day route delay rate used as a score for the delay label."""
     t = Tables(spark, sf_dir)
     lab = labelled(t, flight_base(t))
-    scored = route_history(lab).join(lab.select("order_key", "line_number", "label"), ["order_key", "line_number"])
+    scored = route_history(lab.select("origin", "destination", "planned_ts", "real_ts", "label"))
     return pr_curve(scored.select(F.col("route_rate_30d").alias("score"), "label"), "score", "label")
 
 
@@ -186,7 +182,7 @@ FROM pp
 def q_drift_psi(spark: SparkSession, sf_dir: str):
     """PSI of delay and quantity between the training period and the test period."""
     t = Tables(spark, sf_dir)
-    lab = labelled(t, flight_base(t))
+    lab = materialize(labelled(t).select("planned_ts", "delay_min", "quantity"), "drift")
     d = F.col("planned_ts")
     return psi(lab, ["delay_min", "quantity"], d < F.lit(SPLIT_VALIDATION_FROM).cast("timestamp"),
                d >= F.lit(SPLIT_TEST_FROM).cast("timestamp"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from punctua.operators.timeseries import asof_join, daily_from_hourly, forward_fill, hourly, trailing_window
+from punctua.operators.timeseries import asof_join, daily_from_hourly, forward_fill, hourly, trailing_sums
 from punctua.plans.registry import query
 from punctua.tables import Tables
 
@@ -49,11 +49,10 @@ WINDOW w AS (PARTITION BY user_id ORDER BY ts
 def q_trailing_rate(spark: SparkSession, sf_dir: str):
     """Share of error events in each user's previous 7 days, excluding the event itself."""
     e = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "event_type")
-    is_err = F.when(F.col("event_type") == "error", 1.0).otherwise(0.0)
-    out = trailing_window(e, "user_id", "ts",
-                          {"n_prior": F.count(F.lit(1)), "error_rate": F.avg(is_err)}, TRAILING_DAYS)
-    return out.select("event_id", "user_id", "ts", F.col("n_prior").cast("bigint").alias("n_prior"),
-                      F.round("error_rate", 6).alias("error_rate"))
+    out = trailing_sums(e.select("event_id", "user_id", "ts"), e.select("user_id", "ts", "event_type"), "user_id", "ts",
+                        "ts", {"n_prior": F.lit(1), "n_errors": F.col("event_type") == "error"}, TRAILING_DAYS)
+    return out.select("event_id", "user_id", "ts", "n_prior",
+                      F.round(F.when(F.col("n_prior") > 0, F.col("n_errors") / F.col("n_prior")), 6).alias("error_rate"))
 
 
 @query("asof_latest_before", sql="""

@@ -43,6 +43,9 @@ BITS = 1024
 BLOCK = 2048
 #: Sets that a task remembers so that copies in it give their sketch once.
 SEEN = 1 << 19
+#: Buckets that have FREQUENT members among one in ONE_IN rows are met by aggregation, HOT_KEYS of them at most; the rest
+#: by a window. This chooses the plan only: either way finds the same members.
+ONE_IN, FREQUENT, HOT_KEYS = 64, 32, 10_000
 
 
 class Bands:
@@ -166,6 +169,33 @@ def sketches(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     return rows.select("text", "k_id").mapInArrow(run, "key long, id long")
 
 
+def met_members(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """key, id, lo: members of buckets with two ids or more, and the smallest id of each bucket.
+
+    A window sees a whole bucket in one task, so buckets that may hold a large share of all rows are aggregated
+    instead (combined on the map side), and their members, written once, meet the few totals by broadcast.
+    """
+    from pyspark.sql import Window as W
+
+    def totals(of):
+        return {"lo": of(F.min("id")), "hi": of(F.max("id"))}
+
+    some = rows.where(F.pmod(F.xxhash64("k_id", "k_text"), F.lit(ONE_IN)) == 0)
+    hot = materialize(sketches(some, shingle, percent).groupBy(F.col("key").alias("h_key")).agg(F.count(F.lit(1)).alias("c"))
+                      .where(F.col("c") >= FREQUENT).orderBy(F.desc("c"), "h_key").limit(HOT_KEYS).select("h_key"), "hot-buckets")
+    every = sketches(rows, shingle, percent)
+    at_hot = F.col("key") == F.col("h_key")
+    bucket = W.partitionBy("key")
+    met = (every.join(F.broadcast(hot), at_hot, "left_anti").withColumns(totals(lambda c: c.over(bucket)))
+           .where("lo != hi").select("key", "id", "lo"))
+    if hot.limit(1).count():
+        members = materialize(every.join(F.broadcast(hot), at_hot, "left_semi"), "hot-members")
+        stat = members.groupBy(F.col("key").alias("h_key")).agg(
+            *[c.alias(n) for n, c in totals(lambda c: c).items()]).where("lo != hi")  # HOT_KEYS rows at most
+        met = met.unionByName(members.join(F.broadcast(stat), at_hot).select("key", "id", "lo"))
+    return met
+
+
 def close_enough(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and parity sketches allow a link."""
     side = known.select("k_id", F.col("n").alias("n"), "bits")
@@ -280,13 +310,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     same = known.where("n > 0").groupBy("sa", "sb", "n").agg(F.min("k_id").alias("rep"))
     copies = known.where("n > 0").join(same, ["sa", "sb", "n"]).select(F.col("k_id").alias("c_id"), "rep")
     copies = materialize(copies.where("c_id != rep").distinct(), "copies")
-    # members of buckets with two ids or more, and the smallest id of each
-    from pyspark.sql import Window as W
-
-    bucket = W.partitionBy("key")
-    met = (sketches(rows, shingle, percent).withColumns({"lo": F.min("id").over(bucket), "hi": F.max("id").over(bucket)})
-           .where("lo != hi").select("key", "id", "lo"))
-    met = materialize(met, "buckets")
+    met = materialize(met_members(rows, shingle, percent), "buckets")
 
     def represented(pairs: DataFrame) -> DataFrame:
         """Copies stand back for the smallest id with their set; ids that several texts share stay as well."""

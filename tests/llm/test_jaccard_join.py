@@ -94,3 +94,16 @@ def test_bands_bound_the_difference(percent):
             assert c < b.first[k + 2]
             most = (100 - percent) * (a + c) // (100 + percent)
             assert most < b.parts[k] - b.slack[k]
+
+
+def test_hot_buckets_by_aggregation(spark, monkeypatch):
+    """With all but single buckets hot, or only some of them, the links are those of the window path."""
+    rows = near_copies()
+    for frequent, keys in ((2, 10_000), (2, 50)):
+        monkeypatch.setattr(J, "ONE_IN", 1)
+        monkeypatch.setattr(J, "FREQUENT", frequent)
+        monkeypatch.setattr(J, "HOT_KEYS", keys)
+        found = J.linked(docs(spark, rows))
+        out = Counter((None if r["k_id"] == LAST else r["k_id"], r["n"], None if r["comp"] == LAST else r["comp"])
+                      for r in found.collect())
+        assert out == brute(rows)

@@ -307,7 +307,9 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     """k_id, k_text, n (shingles), comp (smallest id reachable) for every distinct id and text."""
     rows = keyed(docs).select("k_id", "k_text", "text")
     known = materialize(sets(rows, shingle), "shingle-sets")
-    same = known.where("n > 0").groupBy("sa", "sb", "n").agg(F.min("k_id").alias("rep"))
+    # a table of its own: joined on the spot, a large group of copies could not be split over tasks
+    same = materialize(known.where("n > 0").groupBy("sa", "sb", "n").agg(F.min("k_id").alias("rep"), F.max("k_id").alias("hi"))
+                       .where("rep != hi").drop("hi"), "copy-groups")
     copies = known.where("n > 0").join(same, ["sa", "sb", "n"]).select(F.col("k_id").alias("c_id"), "rep")
     copies = materialize(copies.where("c_id != rep").distinct(), "copies")
     met = materialize(met_members(rows, shingle, percent), "buckets")

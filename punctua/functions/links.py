@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 # Links that never lead anywhere new.
 SKIPPED_HREFS = ("../", "./")
 SKIPPED_PREFIXES = ("?", "#")
-HREF_PATTERN = r'href="([^"]*)"'
+#: An anchor's href in any letter case, between either quotes or bare; group 1 has the quotes.
+HREF_PATTERN = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+QUOTES = r"""^["']|["']$"""
 
 
 def resolve_url(base, href):
@@ -39,7 +41,8 @@ def extract_links(pages: DataFrame, extension: str = ".csv", id_col: str = "page
     """
     hrefs = pages.select(
         F.col(id_col), F.col(url_col),
-        F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(HREF_PATTERN), 1)).alias("link_pos", "href"),
+        F.posexplode(F.transform(F.regexp_extract_all(F.col(html_col), F.lit(HREF_PATTERN), 1),
+                                 lambda x: F.regexp_replace(x, QUOTES, ""))).alias("link_pos", "href"),
     )
     href = F.col("href")
     skipped = href.isin(*SKIPPED_HREFS)

@@ -24,8 +24,11 @@ from pyspark.sql import types as T
 
 
 def check_unique_keys(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
-    """Pass rows through; raise at execution if a key occurs twice."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    """Pass rows through; raise at execution if a key occurs twice (a key with a NULL equals no other)."""
+    given = F.lit(True)
+    for k in keys:
+        given = given & F.col(k).isNotNull()
+    n = F.when(given, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     msg = F.lit(f"duplicate keys in {what} of upsert on {list(keys)}")
     return (df.withColumn("_dup_n", n)
             .filter(F.when(F.col("_dup_n") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True)))
@@ -41,13 +44,20 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], check_uniq
 
 
 def upsert_sql(spark: SparkSession, target_view: str, source_view: str, keys: Sequence[str]) -> DataFrame:
-    """The same upsert in SQL over registered temp views (MERGE without a row-level catalog)."""
-    cond = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
+    """The same upsert in SQL over registered temp views (MERGE without a row-level catalog), by the same rules:
+    NULL keys match nothing, a key that the source has twice is an error."""
+    cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
     cols = ", ".join(f"`{c}`" for c in spark.table(target_view).columns)
+    by = ", ".join(f"`{k}`" for k in keys)
+    given = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
     return spark.sql(f"""
         SELECT {cols} FROM {target_view} t WHERE NOT EXISTS (SELECT 1 FROM {source_view} s WHERE {cond})
         UNION ALL
-        SELECT {cols} FROM {source_view}""")
+        SELECT {cols} FROM (SELECT *, count(1) OVER (PARTITION BY {by}) AS _dup_n FROM {source_view} WHERE {given})
+        WHERE CASE WHEN _dup_n > 1 THEN CAST(raise_error('duplicate keys in source of upsert on {by}') AS BOOLEAN)
+                   ELSE true END
+        UNION ALL
+        SELECT {cols} FROM {source_view} WHERE NOT ({given})""")
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:

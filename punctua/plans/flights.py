@@ -71,6 +71,7 @@ def flights(t: Tables, dedup: bool = True) -> DataFrame:
         (F.col("o_orderstatus") == F.lit(CANCELLED_STATUS)).alias("cancelled"),
         F.col("l_quantity").alias("quantity"),
         F.col("o_totalprice").alias("fare"),
+        F.col("o_orderstatus").alias("status"),
     )
 
 

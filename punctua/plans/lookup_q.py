@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from punctua.functions.links import extract_links
+from punctua.functions.links import HREF_PATTERN, QUOTES, extract_links
 from punctua.operators.joins import (
     bounded_broadcast, keys_missing_from, lookup_keys, resolve_surrogate, role_playing, surrogate_key,
 )
@@ -114,8 +114,13 @@ CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN href
                                             '^(.*/)', 1), ''), '/') || href END"""
 
 
+def _quoted(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
 @query("extract_links", sql=f"""
-WITH h AS (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hs FROM pages),
+WITH h AS (SELECT page_id, url, list_transform(regexp_extract_all(html, '{_quoted(HREF_PATTERN)}', 1),
+                                               lambda x: regexp_replace(x, '{_quoted(QUOTES)}', '', 'g')) AS hs FROM pages),
 u AS (SELECT page_id, url, unnest(hs) AS href, unnest(range(0, len(hs))) AS link_pos FROM h)
 SELECT page_id, link_pos, href, {_RESOLVE_SQL} AS link_url,
        CASE WHEN ends_with(href, '/') THEN 'folder' WHEN ends_with(lower(href), '.csv') THEN 'file'

@@ -1,7 +1,8 @@
 """Query catalogue registry: name -> Spark builder, and name -> DuckDB oracle SQL.
 
-Each builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-driver tables; nothing is collected.  The oracle SQL is the same question in
+Each builder takes ``(spark, sf_dir)`` and returns a DataFrame over the
+driver tables; nothing is collected.  Most are lazy; those that ingest, stream
+or write a shared frame once run these jobs when called.  The oracle SQL is the same question in
 plain SQL, used by the correctness gate.
 """
 
@@ -39,5 +40,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every catalogue module so their ``@query`` registrations run."""
     from punctua.plans import (  # noqa: F401
-        domain_q, gold_q, history_q, ingest_q, lookup_q, ml_q, planning_q, silver_q, timeseries_q,
+        domain_q, gold_q, history_q, ingest_q, lookup_q, ml_q, planning_q, silver_q, star_q, stream_q, timeseries_q,
     )

@@ -21,7 +21,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     * AQE on, with partition coalescing and skew-join splitting: on a cluster
       ``spark.sql.shuffle.partitions`` should be sized for the largest shuffle
       (~128-256 MB per partition) and AQE coalesces the small ones.
-    * UI off (no server), UTC session clock.
+    * RocksDB state store for streams; UI off (no server), UTC session clock.
     """
     master = master or os.environ.get("PUNCTUA_MASTER", "local[*]")
     cpus = os.cpu_count() or 8
@@ -31,13 +31,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # streaming state on disk: the keys of a watermark window need not fit in executor memory
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.driver.memory", os.environ.get("PUNCTUA_DRIVER_MEMORY", "8g"))
     )
+    # a cluster's own setting stands unless one is asked for (or see configure_for_inputs)
+    if shuffle_partitions or master.startswith("local"):
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_utc(spark)

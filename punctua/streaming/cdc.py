@@ -30,9 +30,11 @@ def run_cdc_stream(spark: SparkSession, events: DataFrame, root: str, checkpoint
     root = root.rstrip("/")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{root}/log/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(folder)
+        batch = spark.read.schema(batch.schema).parquet(folder)  # read back: the source is evaluated once
         if batch.isEmpty():
             return
-        batch.write.mode("overwrite").parquet(f"{root}/log/batch={batch_id}")
         log = spark.read.parquet(f"{root}/log").drop("batch")
         current = read_table(spark, f"{root}/history")
         if current is None:

@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from punctua.operators.dedup import dedup_stream, latest_by
 from punctua.operators.quality import Expectation, all_pass, expectation_metrics, failed_rules
 from punctua.operators.standardize import StandardizeSpec, as_column, standardize
+from punctua.session import materialize
 from punctua.sources.ingest import bronze_schema, read_bronze
 
 VALID_FLAG = "_valid"
@@ -69,7 +70,8 @@ def silver_frame(df: DataFrame, table: SilverTable) -> DataFrame:
         order.append(F.col("_source_file").desc())
     if not order:
         order = [F.col(c).asc() for c in ("_ingested_at", "_source_file") if c in std.columns]
-    order = order or [F.lit(1)]
+    if not order:
+        raise ValueError(f"{table.name}: rows have neither lineage columns nor a latest_order to choose the first by")
     if table.dedup_first:
         return latest_by(std, keys, order).withColumn(VALID_FLAG, ok)
     return latest_by(std.withColumn(VALID_FLAG, ok), keys + [VALID_FLAG], order)
@@ -137,7 +139,8 @@ def dropped_late_rows(q: StreamingQuery) -> int:
 
 def run_silver_batch(spark: SparkSession, bronze_path: str, table: SilverTable, out_root: str) -> None:
     """Full-refresh silver table (e.g. a daily snapshot dimension)."""
-    frame = silver_frame(read_bronze(spark, bronze_path), table)
+    # written once: the rules, both outputs and the metrics read the same rows
+    frame = materialize(silver_frame(read_bronze(spark, bronze_path), table), table.name)
     check_fail_rules(frame, table)
     valid, quarantine = split_outputs(frame, table)
     out = out_root.rstrip("/")
@@ -159,7 +162,7 @@ def backfill_silver(spark: SparkSession, bronze_path: str, table: SilverTable, o
     """
     src = read_bronze(spark, bronze_path)
     src = src.filter(F.expr(bronze_filter) if isinstance(bronze_filter, str) else bronze_filter)
-    frame = silver_frame(src, table)
+    frame = materialize(silver_frame(src, table), table.name)
     check_fail_rules(frame, table)
     valid, quarantine = split_outputs(frame, table)
     out = out_root.rstrip("/")
@@ -172,12 +175,10 @@ def backfill_silver(spark: SparkSession, bronze_path: str, table: SilverTable, o
         existing = (spark.read.option("mergeSchema", "true").parquet(existing_path)
                     .filter(F.col("batch").cast("string") != F.lit(batch)).select(*keys))
         valid = valid.join(existing, keys, "left_anti")
-    valid = valid.persist()
-    try:
-        n_valid = valid.count()
-        valid.write.mode("overwrite").parquet(f"{out}/{table.name}/{folder}")
-    finally:
-        valid.unpersist()
+        # cut from the table that is about to be written to
+        valid = materialize(valid, f"{table.name}-new")
+    valid.write.mode("overwrite").parquet(f"{out}/{table.name}/{folder}")
+    n_valid = spark.read.parquet(f"{out}/{table.name}/{folder}").count()
     quarantine.write.mode("overwrite").parquet(f"{out}/{table.quarantine_name}/{folder}")
     n_q = spark.read.parquet(f"{out}/{table.quarantine_name}/{folder}").count()
     return n_valid, n_q

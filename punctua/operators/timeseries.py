@@ -123,10 +123,12 @@ def trailing_window(df: DataFrame, key: str | Sequence[str], ts: str, aggs: dict
     return out.filter("_target").drop("_us", "_b", "_target")
 
 
-def trailing_sums(targets: DataFrame, facts: DataFrame, keys: str | Sequence[str], ts: str, fact_ts: str,
+def trailing_sums(targets: DataFrame, facts: DataFrame | None, keys: str | Sequence[str], ts: str, fact_ts: str,
                   values: dict[str, Column], days: float, bucket_days: float = 1.0) -> DataFrame:
     """``targets`` with, per name in ``values``, the sum over the key's ``facts`` in ``[ts - days, ts)``.
 
+    Without ``facts`` the targets are the facts as well (each then crosses the shuffle twice, not three times).
+
     Running sums instead of frames: a fact adds its values from its own time on and takes them off again ``days``
     later, so a target reads the sum of everything before it.  Inside ``(key, bucket)`` that is one window; whole
     earlier buckets come from their totals (aggregated on the map side, keys x buckets rows).  Buckets may be as narrow
@@ -136,20 +138,22 @@ def trailing_sums(targets: DataFrame, facts: DataFrame, keys: str | Sequence[str
     kc = [keys] if isinstance(keys, str) else list(keys)
     names = list(values)
     width, bw = int(days * MICROS_PER_DAY), int(bucket_days * MICROS_PER_DAY)
+    own = facts is None
+    facts, fact_ts = (targets, ts) if own else (facts, fact_ts)
+    kn, vn = [f"_k{i}" for i in range(len(kc))], [f"_v{i}" for i in range(len(names))]
     known = F.col(fact_ts).isNotNull()
     for k in kc:
         known = known & F.col(k).isNotNull()
-    at = F.unix_micros(F.col(fact_ts))
-    signed = F.explode(F.array(*[
-        F.struct((at + shift).alias("us"), *[(F.coalesce(v.cast("bigint"), F.lit(0)) * sign).alias(n)
-                                             for n, v in values.items()])
-        for shift, sign in ((0, 1), (width, -1))]))
-    moves = (facts.filter(known).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(kc)], signed.alias("_e"))
-             .select(*[f"_k{i}" for i in range(len(kc))], F.col("_e.us").alias("_us"),
-                     *[F.col(f"_e.{n}").alias(f"_v{i}") for i, n in enumerate(names)]))
-    kn, vn = [f"_k{i}" for i in range(len(kc))], [f"_v{i}" for i in range(len(names))]
+    zero = F.lit(0).cast("bigint")
+    amounts = [F.coalesce(F.when(known, v.cast("bigint")), zero) for v in values.values()]
+    moves_of = F.explode(F.array(*[
+        F.struct((F.unix_micros(F.col(fact_ts)) + shift).alias("us"), *[(v * sign).alias(n) for n, v in zip(vn, amounts)])
+        for shift, sign in ([] if own else [(0, 1)]) + [(width, -1)]]))
+    moves = (facts.filter(known).select(*[F.col(k).alias(n) for k, n in zip(kc, kn)], moves_of.alias("_e"))
+             .select(*kn, F.col("_e.us").alias("_us"), *[F.col(f"_e.{n}").alias(n) for n in vn]))
     tgt = targets.select(*[F.col(k).alias(n) for k, n in zip(kc, kn)], F.unix_micros(F.col(ts)).alias("_us"),
-                         *[F.lit(0).cast("bigint").alias(v) for v in vn], F.struct(*targets.columns).alias("_row"))
+                         *[(v if own else zero).alias(n) for n, v in zip(vn, amounts)],
+                         F.struct(*targets.columns).alias("_row"))
     u = (tgt.unionByName(moves, allowMissingColumns=True)
          .withColumn("_b", F.floor(F.col("_us") / F.lit(bw)).cast("bigint")))
     w = Window.partitionBy(*kn, "_b").orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
@@ -164,7 +168,6 @@ def trailing_sums(targets: DataFrame, facts: DataFrame, keys: str | Sequence[str
     on = F.col("_b") == F.col("_cb")
     for k in kn:
         on = on & (F.col(k) == F.col(f"_c{k}"))
-    zero = F.lit(0).cast("bigint")
     return (rows.join(carry, on, "left")
             .select("_row.*", *[(F.coalesce(f"_s{i}", zero) + F.coalesce(f"_c{v}", zero)).alias(n)
                                 for i, (n, v) in enumerate(zip(names, vn))]))

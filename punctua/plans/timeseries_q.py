@@ -49,8 +49,8 @@ WINDOW w AS (PARTITION BY user_id ORDER BY ts
 def q_trailing_rate(spark: SparkSession, sf_dir: str):
     """Share of error events in each user's previous 7 days, excluding the event itself."""
     e = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "event_type")
-    out = trailing_sums(e.select("event_id", "user_id", "ts"), e.select("user_id", "ts", "event_type"), "user_id", "ts",
-                        "ts", {"n_prior": F.lit(1), "n_errors": F.col("event_type") == "error"}, TRAILING_DAYS)
+    out = trailing_sums(e, None, "user_id", "ts", "ts", {"n_prior": F.lit(1), "n_errors": F.col("event_type") == "error"},
+                        TRAILING_DAYS)
     return out.select("event_id", "user_id", "ts", "n_prior",
                       F.round(F.when(F.col("n_prior") > 0, F.col("n_errors") / F.col("n_prior")), 6).alias("error_rate"))
 

@@ -16,6 +16,9 @@ from punctua.llm.packing import pack, tokenizer_path
 from punctua.llm.quality import keep
 from punctua.session import materialize
 
+#: Words in a shingle and least similarity (percent) of the near-duplicate stage; op9's own contract is 4 and 85.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the decision list learned from ``labels`` reject go."""
@@ -28,8 +31,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by the n-gram Jaccard join the one with the smallest id stays."""
-    return one_of_each(docs)
+    """Of documents linked by the n-gram Jaccard join (5 words, 0.8 or more) the one with the smallest id stays."""
+    return one_of_each(docs, NEAR_SHINGLE, NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -303,10 +303,45 @@ def verified(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> D
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def text_numbers(known: DataFrame) -> DataFrame | None:
+    """k_id, k_text, v: a number for every distinct id and text, in their order; none if no id has several texts."""
+    names = known.select("k_id", "k_text")
+    several = names.groupBy("k_id").agg(F.min("k_text").alias("t1"), F.max("k_text").alias("t2")).where("t1 != t2")
+    if not several.limit(1).count():
+        return None
+    return materialize(names.distinct().orderBy("k_id", "k_text").withColumn("v", F.monotonically_increasing_id()),
+                       "text-numbers")
+
+
 def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """k_id, k_text, n (shingles), comp (smallest id reachable) for every distinct id and text."""
+    """k_id, k_text, n (shingles), comp (smallest id reachable) for every distinct id and text.
+
+    If ids have several texts, each text is a vertex of its own, by its number, and those of one id are joined.
+    """
     rows = keyed(docs).select("k_id", "k_text", "text")
     known = materialize(sets(rows, shingle), "shingle-sets")
+    number = text_numbers(known)
+    if number is None:
+        comps = vertex_components(rows, known, shingle, percent)
+        return known.select("k_id", "k_text", "n").join(comps, F.col("k_id") == F.col("v"), "left").select(
+            "k_id", "k_text", "n", F.coalesce("comp", "k_id").alias("comp"))
+
+    def by_number(df: DataFrame) -> DataFrame:
+        return df.join(number, ["k_id", "k_text"]).drop("k_id").withColumnRenamed("v", "k_id")
+
+    first = number.groupBy(F.col("k_id").alias("f_id")).agg(F.min("v").alias("a"))
+    one_id = number.join(first, F.col("k_id") == F.col("f_id")).where("a != v").select("a", F.col("v").alias("b"))
+    comps = vertex_components(materialize(by_number(rows), "numbered-texts"), materialize(by_number(known), "numbered-sets"),
+                              shingle, percent, one_id)
+    names = number.select(F.col("v").alias("c_v"), F.col("k_id").alias("c_id"))
+    comps = comps.join(names, F.col("comp") == F.col("c_v")).select(F.col("v").alias("n_v"), "c_id")
+    found = number.join(comps, F.col("v") == F.col("n_v"), "left").select(
+        "k_id", "k_text", F.coalesce("c_id", "k_id").alias("comp"))
+    return known.select("k_id", "k_text", "n").join(found, ["k_id", "k_text"])
+
+
+def vertex_components(rows: DataFrame, known: DataFrame, shingle: int, percent: int, more: DataFrame | None = None) -> DataFrame:
+    """v, comp of the linked ``k_id``, each of which has one text; ``more``: further edges (a, b)."""
     # a table of its own: joined on the spot, a large group of copies could not be split over tasks
     same = materialize(known.where("n > 0").groupBy("sa", "sb", "n").agg(F.min("k_id").alias("rep"), F.max("k_id").alias("hi"))
                        .where("rep != hi").drop("hi"), "copy-groups")
@@ -315,7 +350,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     met = materialize(met_members(rows, shingle, percent), "buckets")
 
     def represented(pairs: DataFrame) -> DataFrame:
-        """Copies stand back for the smallest id with their set; ids that several texts share stay as well."""
+        """Copies stand back for the smallest id with their set."""
         first, second = (copies.select(F.col("c_id").alias(f"{x}_c"), F.col("rep").alias(f"{x}_r")) for x in "ab")
         out = (pairs.join(first, F.col("a") == F.col("a_c"), "left").join(second, F.col("b") == F.col("b_c"), "left")
                .select(F.coalesce("a_r", "a").alias("x"), F.coalesce("b_r", "b").alias("y")))
@@ -324,6 +359,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     stars = materialize(represented(met.where("id != lo").select(F.col("lo").alias("a"), F.col("id").alias("b")).distinct()), "stars")
     links = materialize(verified(materialize(close_enough(stars, known, percent), "near"), rows, shingle, percent), "links")
     equal = copies.select(F.col("rep").alias("a"), F.col("c_id").alias("b"))
+    equal = equal if more is None else equal.unionByName(more)
     comps = components(links.unionByName(equal))
     # what is left: members of one bucket in different components that were not compared yet
     member = met.join(comps, F.col("id") == F.col("v"), "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
@@ -335,8 +371,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     if near.limit(1).count():
         links = links.unionByName(verified(near, rows, shingle, percent))
         comps = components(links.unionByName(equal))
-    return known.select("k_id", "k_text", "n").join(comps, F.col("k_id") == F.col("v"), "left").select(
-        "k_id", "k_text", "n", F.coalesce("comp", "k_id").alias("comp"))
+    return comps
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -107,3 +107,12 @@ def test_hot_buckets_by_aggregation(spark, monkeypatch):
         out = Counter((None if r["k_id"] == LAST else r["k_id"], r["n"], None if r["comp"] == LAST else r["comp"])
                       for r in found.collect())
         assert out == brute(rows)
+
+
+def test_id_with_a_copied_and_a_near_copied_text(spark, tmp):
+    """Both texts of id 20 (and of the null id) link: one is an exact copy, the other a near copy."""
+    one, two, three = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    rows = [(1, one), (20, one), (20, two), (30, two + " more"), (None, three), (None, one.upper()), (40, three + " more"), (50, "z")]
+    want = brute(rows)
+    assert {k[2] for k in want} == {1, 50}
+    assert got(J.op9_jaccard_join(spark, folder(spark, tmp, rows))) == want

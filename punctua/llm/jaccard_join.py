@@ -17,8 +17,8 @@ with at most ``slack`` empty parts need not use them, and one with more uses the
 
 Defined cases: a text of fewer words than a shingle is one shingle; texts without words have none and link with nothing;
 rows that repeat a ``doc_id`` are one vertex with the links of all their texts, so are rows with a null ``doc_id`` (whose
-component is null if nothing else is in it); an empty table gives no rows; other columns are ignored by the query and
-kept by :func:`one_of_each`.
+component is null if nothing else is in it), but in :func:`one_of_each` each of their texts is a vertex of its own; an
+empty table gives no rows; other columns are ignored by the query and kept by :func:`one_of_each`.
 """
 
 from __future__ import annotations
@@ -313,10 +313,10 @@ def text_numbers(known: DataFrame) -> DataFrame | None:
                        "text-numbers")
 
 
-def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """k_id, k_text, n (shingles), comp (smallest id reachable) for every distinct id and text.
+def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, join_ids: bool = True) -> DataFrame:
+    """k_id, k_text, n (shingles), comp (smallest id reachable), first (of its component) for every row of ``docs``.
 
-    If ids have several texts, each text is a vertex of its own, by its number, and those of one id are joined.
+    If ids have several texts, each text is a vertex of its own, by its number; ``join_ids`` links those of one id.
     """
     rows = keyed(docs).select("k_id", "k_text", "text")
     known = materialize(sets(rows, shingle), "shingle-sets")
@@ -324,7 +324,8 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     if number is None:
         comps = vertex_components(rows, known, shingle, percent)
         return known.select("k_id", "k_text", "n").join(comps, F.col("k_id") == F.col("v"), "left").select(
-            "k_id", "k_text", "n", F.coalesce("comp", "k_id").alias("comp"))
+            "k_id", "k_text", "n", F.coalesce("comp", "k_id").alias("comp"),
+            (F.coalesce("comp", "k_id") == F.col("k_id")).alias("first"))
 
     def by_number(df: DataFrame) -> DataFrame:
         return df.join(number, ["k_id", "k_text"]).drop("k_id").withColumnRenamed("v", "k_id")
@@ -332,11 +333,11 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     first = number.groupBy(F.col("k_id").alias("f_id")).agg(F.min("v").alias("a"))
     one_id = number.join(first, F.col("k_id") == F.col("f_id")).where("a != v").select("a", F.col("v").alias("b"))
     comps = vertex_components(materialize(by_number(rows), "numbered-texts"), materialize(by_number(known), "numbered-sets"),
-                              shingle, percent, one_id)
+                              shingle, percent, one_id if join_ids else None)
     names = number.select(F.col("v").alias("c_v"), F.col("k_id").alias("c_id"))
-    comps = comps.join(names, F.col("comp") == F.col("c_v")).select(F.col("v").alias("n_v"), "c_id")
+    comps = comps.join(names, F.col("comp") == F.col("c_v")).select(F.col("v").alias("n_v"), "c_v", "c_id")
     found = number.join(comps, F.col("v") == F.col("n_v"), "left").select(
-        "k_id", "k_text", F.coalesce("c_id", "k_id").alias("comp"))
+        "k_id", "k_text", F.coalesce("c_id", "k_id").alias("comp"), (F.coalesce("c_v", "v") == F.col("v")).alias("first"))
     return known.select("k_id", "k_text", "n").join(found, ["k_id", "k_text"])
 
 
@@ -375,10 +376,14 @@ def vertex_components(rows: DataFrame, known: DataFrame, shingle: int, percent:
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; of rows that repeat an id and a text, all."""
-    gone = materialize(linked(docs, shingle, percent).where("comp != k_id").select(F.col("k_id").alias("g_id")).distinct(),
-                       "linked-copies")
-    return docs.join(gone, row_key()["k_id"] == F.col("g_id"), "left_anti")
+    """The rows of ``docs`` whose id and text are the first of their component; of rows that repeat both, all.
+
+    Links are those of texts: other texts of a linked text's id, or without an id, stay.
+    """
+    gone = materialize(linked(docs, shingle, percent, join_ids=False).where("not first")
+                       .select(F.col("k_id").alias("g_id"), F.col("k_text").alias("g_text")).distinct(), "linked-copies")
+    key = row_key()
+    return docs.join(gone, (key["k_id"] == F.col("g_id")) & (key["k_text"] == F.col("g_text")), "left_anti")
 
 
 @query("op9_jaccard_join")

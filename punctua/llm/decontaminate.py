@@ -7,8 +7,9 @@ rarity in the corpus, is the rarest one. The join looks for that shingle only; i
 document gives the one place where the window can begin (positional bound), which must leave room for the
 whole window inside the document (length bound); then the words themselves are compared.
 
-The benchmark's windows travel to the tasks in blocks of at most ``block_bytes`` of item text, measured before; a
-larger benchmark takes one pass over the documents for each block. Documents are never shuffled for one block.
+The benchmark's windows travel to the tasks in blocks of distinct items: one block up to ``block_bytes`` of item text,
+measured before, else blocks by hash that hold half of that on average, with an item always whole. A larger benchmark
+takes one pass over the documents for each block. Documents are never shuffled for one block.
 
 Defined cases: null texts have no words; an item without words has no window; items that repeat an ``item_id`` or a
 text are counted by distinct ``item_id`` (a null id is never listed); repeated document rows get the same result
@@ -31,7 +32,7 @@ from punctua.llm.common import NOT_ALNUM, Words, grams, keyed, read, row_key, st
 from punctua.session import materialize
 
 SHINGLE = 3
-#: Most bytes of item text in one broadcast block (about 40 times that in a task's memory at worst).
+#: Bytes of item text that go in one broadcast block (about 40 times that in a task's memory at worst).
 BLOCK_BYTES = 4 << 20
 _TABLE = 1 << 18
 
@@ -176,8 +177,8 @@ def merged(ranges: list[tuple[int, int]]) -> list[dict]:
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, str | None]]]:
-    """The items in blocks of about ``block_bytes``; how many blocks there are follows from their measured size."""
-    items = benchmark.select("item_id", "text")
+    """The distinct items in blocks of about ``block_bytes``; how many blocks there are follows from their measured size."""
+    items = materialize(benchmark.select("item_id", "text").distinct(), "benchmark-items")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-2 * size // block_bytes)) if size > block_bytes else 1
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))

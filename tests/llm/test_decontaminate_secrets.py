@@ -59,6 +59,13 @@ def test_decontamination_in_blocks(spark, edge_dir, monkeypatch):
     assert rows == sorted((x[:4] for x in brute(EDGE, ITEMS)), key=str)
 
 
+def test_repeated_items_are_in_a_block_once(spark):
+    items = ITEMS + [(None, "null id"), (None, "null id")] + [(1, ITEMS[0][1])] * 500
+    blocks = list(D.item_blocks(spark.createDataFrame(items, "item_id long, text string"), 200))
+    assert sorted((i for b in blocks for i in b), key=str) == sorted(set(items), key=str)
+    assert len(blocks) < 10
+
+
 def test_decontamination_small_table(spark):
     texts = [tuple(r) for r in read(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
     items = [tuple(r) for r in read(spark, SF_SMALL, "benchmark").select("item_id", "text").collect()]

@@ -1,12 +1,13 @@
 """Secret scan: fixed patterns, and a battery of randomness tests on long tokens.
 
 Base spans come from three patterns. Beyond them every token of 20 or more characters is tested. Its encoding is
-inferred from its characters (hex, base32, letters and digits, base64), which gives the alphabet. Three
+inferred from its characters (hex, letters of one case, base32, these with digits, letters and digits, base64), which
+gives the alphabet. Three
 statistics follow: chi-squared against the uniform alphabet, Wald-Wolfowitz runs above and below the alphabet's
 middle, and the lag-1 serial correlation of the alphabet positions. Against the null "a token of ordinary text",
 whose character frequencies are counted over all documents, the chi-squared statistic gives a p-value that falls as
 a random token grows longer; Benjamini-Hochberg within bands of length picks the discoveries, over all tokens of
-the corpus (from a histogram of p-values of fixed size). A discovery whose own uniformity, runs or serial test
+the corpus (from a histogram of p-values of fixed size; a token whose randomness tests give 0 counts as no discovery). A discovery whose own uniformity, runs or serial test
 rejects randomness is dropped.
 
 Defined cases: a null text is empty; an empty text or table has no spans; repeated rows get the same result each;
@@ -40,7 +41,11 @@ KINDS = ("assign", "access", "hex", "random")
 
 LEAST = 20
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-ALPHABETS = (("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"), ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+#: A token has the first alphabet that holds all its characters.
+ALPHABETS = (("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"),
+             ("lower", "abcdefghijklmnopqrstuvwxyz"), ("UPPER", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+             ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), ("base32 lower", "abcdefghijklmnopqrstuvwxyz234567"),
+             ("lower digits", "0123456789abcdefghijklmnopqrstuvwxyz"), ("UPPER digits", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
              ("alnum", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
              ("base64", "+/0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz-"))
 #: False-discovery rate within a band of length, and the level of the randomness tests.
@@ -145,8 +150,7 @@ def scan(docs: DataFrame) -> DataFrame:
                     s, e = m.span()
                     if not any(s < b and a < e for a, b, _ in base):
                         code, x2, p = battery(m[0])
-                        if p > 0:
-                            tokens.append({"s": s, "e": e, "n": len(m[0].rstrip("=")), "code": code, "x2": x2, "p": p})
+                        tokens.append({"s": s, "e": e, "n": max(LEAST, len(m[0].rstrip("="))), "code": code, "x2": x2, "p": p})
                 digest = hashlib.sha256(",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in base).encode()).hexdigest()
                 row = (doc_id, *(sum(k == i for _, _, k in base) for i in range(3)), digest,
                        [{"s": a, "e": b, "k": k} for a, b, k in base], tokens, None)
@@ -193,8 +197,8 @@ def judged(scanned: DataFrame, sums: list[tuple[float, float]]) -> DataFrame:
             lists = []
             for tokens in batch.column("tokens").to_pylist():
                 lists.append([{"s": t["s"], "e": t["e"], "band": (t["n"] // LEAST).bit_length(),
-                               "bin": p_bin(text_p(t["x2"], t["n"], len(ALPHABETS[t["code"]][1]), sums[t["code"]])),
-                               "ok": t["p"] >= LEVEL} for t in tokens])
+                               "bin": p_bin(text_p(t["x2"], t["n"], len(ALPHABETS[t["code"]][1]), sums[t["code"]]))
+                               if t["p"] > 0 else BINS - 1, "ok": t["p"] >= LEVEL} for t in tokens])
             cols[names.index("tokens")] = pa.array(lists, pa.list_(pa.struct(
                 [("s", pa.int32()), ("e", pa.int32()), ("band", pa.int32()), ("bin", pa.int32()), ("ok", pa.bool_())])))
             yield pa.RecordBatch.from_arrays(cols, names=names)

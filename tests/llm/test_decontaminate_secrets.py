@@ -125,3 +125,22 @@ def test_secret_scan_small_table(spark):
     for r in S.op10_secrets(spark, SF_SMALL).collect():
         text = ",".join(f"{n}:{a}:{b}" for a, _, b, n in base_brute(texts[r["doc_id"]]))
         assert r["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_random_tokens_of_one_case_are_found(spark, tmp):
+    rng = random.Random(5)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    tokens = {i: "".join(rng.choices(a, k=96)) for i, a in enumerate((lower, lower + digits, (lower + digits).upper(), lower + "234567"))}
+    prose = "the ordinary text of an article in the paper " * 5
+    rows = [(i, f"some text {t}") for i, t in tokens.items()] + [(100 + i, prose + prose.upper()) for i in range(50)]
+    found = {r["doc_id"]: r["spans"] for r in S.op10_secrets(spark, folder(spark, tmp, rows)).collect()}
+    assert {i: s for i, s in found.items() if s} == {i: "random:10:106" for i in tokens}
+
+
+def test_every_tested_token_is_counted(spark):
+    rows = [(1, "x" * 30), (2, "y" * 19 + "==="), (3, "internationalization-of-the-word"), (4, "z" * 19)]
+    scanned = S.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    tokens = {r["doc_id"]: r["tokens"] for r in S.judged(scanned, S.power_sums(S.byte_counts(scanned))).collect()}
+    assert {i: len(t) for i, t in tokens.items()} == {1: 1, 2: 1, 3: 1, 4: 0}
+    assert all(t[0]["band"] == 1 for t in tokens.values() if t)
+    assert all(tokens[i][0]["bin"] == S.BINS - 1 and not tokens[i][0]["ok"] for i in (1, 2))

@@ -24,5 +24,6 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import the operator modules so that their queries register."""
     from punctua.llm import (  # noqa: F401
-        decontaminate, jaccard_join, language_id, line_dedup, packing, pii, quality, secrets, sharding, substring_dedup,
+        decontaminate, embedding_dedup, hard_negatives, jaccard_join, language_id, line_dedup, packing, pii, quality, secrets,
+        sharding, substring_dedup, vector_codes,
     )

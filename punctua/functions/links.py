@@ -13,22 +13,39 @@ HREF_PATTERN = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""
 QUOTES = r"""^["']|["']$"""
 
 
+def without_dot_segments(segments):
+    """The path of ``segments`` (an array, the first one empty for a rooted path) with ``.`` and ``..`` taken out: a fold
+    that drops the last kept segment at each ``..``, none above the root. A path that ends in either keeps its slash."""
+    last = F.element_at(segments, -1)
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda acc, s: (
+        F.when(s == ".", acc).when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(
+            F.concat(acc, F.array(s)))))
+    kept = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    path = F.array_join(kept, "/")
+    return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+
+
 def resolve_url(base, href):
     """Resolve ``href`` against the page URL ``base`` (scheme, authority, path).
 
-    Covers absolute URLs, scheme-relative ``//host``, root-relative ``/path``
-    and relative paths (appended to the base URL's directory); dot segments
-    inside relative paths are kept as written.
+    Covers absolute URLs, scheme-relative ``//host``, root-relative ``/path`` and paths relative to the base URL's directory,
+    whose empty segments go. Dot segments are taken out of the latter two; query and fragment stay as written.
     """
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     base_path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
     base_dir = F.regexp_extract(base_path, r"^(.*/)", 1)
+    folder = F.split(F.when(base_dir == "", F.lit("/")).otherwise(base_dir), "/", -1)  # the last segment, empty, gives way
+    path, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    own = F.split(path, "/", -1)
+    joined = F.concat(F.slice(folder, 1, F.size(folder) - 1), own)
+    inner = F.filter(F.slice(joined, 2, F.size(joined) - 2), lambda s: s != "")
+    relative = F.concat(F.slice(joined, 1, 1), inner, F.slice(joined, -1, 1))
     return (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .otherwise(F.concat(origin, F.when(base_dir == "", F.lit("/")).otherwise(base_dir), href))
+        .when(href.startswith("/"), F.concat(origin, without_dot_segments(own), rest))
+        .otherwise(F.concat(origin, without_dot_segments(relative), rest))
     )
 
 

@@ -19,6 +19,7 @@ from punctua.tables import Tables
 # Query parameters: the line before each header, and the day from which the silver stream runs.
 PREAMBLE = "Updated daily"
 STREAM_FROM = "2024-01-16T00:00"
+CDC_FILES, CDC_PARTS = 3, 16
 
 
 @query("bronze_preamble_csv", sql=f"""
@@ -94,13 +95,15 @@ def q_silver_backfill(spark: SparkSession, sf_dir: str):
 
 @query("cdc_stream_history", sql=f"WITH {_VERSIONS_SQL} SELECT * FROM versions")
 def q_cdc_stream_history(spark: SparkSession, sf_dir: str):
-    """``events`` as a change stream into the type-2 history table."""
+    """``events`` as a change stream into the type-2 history table: CDC_FILES files, each a micro-batch with events between
+    those of the batches before, so closed ranges open again."""
     root = _scratch(spark, "cdc")
     e = Tables(spark, sf_dir).events.select("user_id", "event_id", "ts", "event_type")
-    e.write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(e.schema).parquet(f"{root}/in")
+    for k in range(CDC_FILES):
+        e.where(F.col("event_id") % CDC_FILES == (k * 5 + 3) % CDC_FILES).coalesce(1).write.parquet(f"{root}/in/f{k}")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/f*")
     run_cdc_stream(spark, stream, f"{root}/cdc", f"{root}/checkpoint", "user_id", "event_id", "ts", ["event_type"],
-                   lambda: F.col("event_type") == "error", seq_bucket=SEQ_BUCKET)
+                   lambda: F.col("event_type") == "error", seq_bucket=SEQ_BUCKET, parts=CDC_PARTS)
     return read_history(spark, f"{root}/cdc")
 
 

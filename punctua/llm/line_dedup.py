@@ -13,11 +13,14 @@ empty table gives no rows; other columns are kept as they are, but for ``n_chars
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctua.llm.catalog import query
 from punctua.llm.common import SPACE_BYTES, keyed, read, row_key
+from punctua.session import materialize
 
 FACTOR, PRIME = 1_000_003, 1_000_000_007
 SPACES = "".join(map(chr, SPACE_BYTES))
@@ -46,36 +49,55 @@ def chunk_text(lines: Column, chunk: Column) -> Column:
     return F.array_join(F.slice(lines, chunk["a"] + 1, chunk["b"] - chunk["a"] + 1), "\n")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once: inside a lambda an expression would be again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """k_id, k_text and the chunks (a, b) to remove, for each document that has any."""
     rows = keyed(docs)
-    chunks = (with_chunks(rows).select("k_id", "k_text", F.explode(F.transform("l_chunks", lambda c: F.struct(
-        c["a"].alias("a"), c["b"].alias("b"), F.xxhash64(chunk_text(F.col("l_lines"), c)).alias("h")))).alias("c"))
-        .select("k_id", "k_text", "c.a", "c.b", F.col("c.h").alias("h")).where("b > a"))
-    # rows that repeat a document wholly count once
-    seen = chunks.groupBy("h").agg(F.min(F.struct("k_id", "k_text", "a")).alias("lo"),
-                                   F.max(F.struct("k_id", "k_text", "a")).alias("hi")).where("lo != hi").select(
-        F.col("h").alias("seen_h"))
+    chunks = materialize(
+        with_chunks(rows).select("k_id", "k_text", F.explode(F.transform("l_chunks", lambda c: F.struct(
+            c["a"].alias("a"), c["b"].alias("b"), F.xxhash64(chunk_text(F.col("l_lines"), c)).alias("h")))).alias("c"))
+        .select("k_id", "k_text", "c.a", "c.b", F.col("c.h").alias("h")).where("b > a"), "chunks")
+    # rows that repeat a document wholly count once; tables of their own, so that a line of any share can be split in the joins
+    seen = materialize(chunks.groupBy("h").agg(F.min(F.struct("k_id", "k_text", "a")).alias("lo"),
+                                               F.max(F.struct("k_id", "k_text", "a")).alias("hi")).where("lo != hi").select(
+        F.col("h").alias("seen_h")), "repeated-hashes")
     wanted = (chunks.join(seen, F.col("h") == F.col("seen_h"), "left_semi")
               .groupBy(F.col("k_id").alias("w_id"), F.col("k_text").alias("w_text"))
-              .agg(F.collect_set(F.struct("a", "b")).alias("w_chunks")))
-    text = chunk_text(F.col("lines"), F.col("c"))
-    found = (rows.select("k_id", "k_text", "text").join(
-        wanted, (F.col("k_id") == F.col("w_id")) & (F.col("k_text") == F.col("w_text")))
-        .select("k_id", "k_text", F.split("text", "\n", -1).alias("lines"), F.explode("w_chunks").alias("c"))
-        .select("k_id", "k_text", "c", text.alias("t")).where(F.translate("t", SPACES, "") != ""))
-    first = found.groupBy("t").agg(F.min(F.struct("k_id", "k_text", F.col("c.a").alias("a"))).alias("first")).select(
-        F.col("t").alias("first_t"), "first")
-    again = found.join(first, F.col("t") == F.col("first_t")).where(
-        F.struct("k_id", "k_text", F.col("c.a").alias("a")) != F.col("first"))
-    return again.groupBy("k_id", "k_text").agg(F.collect_set("c").alias("cut"))
+              .agg(F.collect_set(F.struct("a", "b", "h")).alias("w_chunks")))
+    cut_out = let(F.struct(F.split("text", "\n", -1).alias("lines"), F.col("w_chunks").alias("chunks")), lambda x: F.transform(
+        x["chunks"], lambda c: F.struct(c["a"].alias("a"), c["b"].alias("b"), c["h"].alias("h"), chunk_text(x["lines"], c).alias("t"))))
+    found = materialize(
+        rows.select("k_id", "k_text", "text").join(wanted, (F.col("k_id") == F.col("w_id")) & (F.col("k_text") == F.col("w_text")))
+        .select("k_id", "k_text", cut_out.alias("cs")).select("k_id", "k_text", F.inline("cs"))
+        .where(F.translate("t", SPACES, "") != ""), "repeated-chunks")
+    # bytes decide what is equal; a hash stands for them in the joins, but where several texts have it
+    firsts = materialize(found.groupBy("h", "t").agg(F.min(F.struct("k_id", "k_text", "a")).alias("first")), "first-chunks")
+    texts = materialize(firsts.groupBy(F.col("h").alias("f_h")).agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("texts")),
+                        "first-hashes")
+    place = F.struct("k_id", "k_text", "a")
+    again = (found.select("k_id", "k_text", "a", "b", "h").join(texts.where("texts = 1"), F.col("h") == F.col("f_h"))
+             .where(place != F.col("first")).select("k_id", "k_text", "a", "b"))
+    clash = texts.where("texts > 1").select("f_h")
+    if clash.limit(1).count():
+        own = firsts.join(clash, F.col("h") == F.col("f_h"), "left_semi").select(F.col("h").alias("o_h"), F.col("t").alias("o_t"), "first")
+        again = again.unionByName(found.join(own, (F.col("h") == F.col("o_h")) & (F.col("t") == F.col("o_t")))
+                                  .where(place != F.col("first")).select("k_id", "k_text", "a", "b"))
+    return again.groupBy("k_id", "k_text").agg(F.collect_set(F.struct("a", "b")).alias("cut"))
 
 
 def kept_text(text: Column, cut: Column) -> Column:
-    """The lines of ``text`` outside the chunks in ``cut``, joined again."""
-    lines = F.split(text, "\n", -1)
-    kept = F.filter(lines, lambda x, i: ~F.exists(cut, lambda c: (i >= c["a"]) & (i <= c["b"])))
-    return F.when(F.size(cut) > 0, F.array_join(kept, "\n")).otherwise(text)
+    """The lines of ``text`` outside the chunks in ``cut``, which do not overlap, joined again: the gaps between them."""
+    def gaps(x: Column) -> Column:
+        starts = F.concat(F.array(F.lit(0)), F.transform(x["cut"], lambda c: c["b"] + 1))
+        ends = F.concat(F.transform(x["cut"], lambda c: c["a"]), F.array(F.size(x["lines"])))
+        between = F.filter(F.arrays_zip(starts.alias("s"), ends.alias("e")), lambda g: g["e"] > g["s"])
+        return F.array_join(F.flatten(F.transform(between, lambda g: F.slice(x["lines"], g["s"] + 1, g["e"] - g["s"]))), "\n")
+
+    return F.when(F.size(cut) > 0, let(F.struct(F.split(text, "\n", -1).alias("lines"), F.array_sort(cut).alias("cut")), gaps)).otherwise(text)
 
 
 def deduped(docs: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -133,3 +134,27 @@ def test_line_dedup_against_brute_force(spark, tmp):
 
 def test_line_dedup_empty(spark, tmp):
     assert L.op8_line_dedup(spark, folder(spark, tmp, [])).count() == 0
+
+
+def test_chunks_of_one_hash_and_other_bytes(spark, tmp, monkeypatch):
+    """With a hash that says nothing, texts alone decide."""
+    block = "\n".join(f"shared line {i}" for i in range(12))
+    rows = [(30, f"own first\n{block}\nown last"), (31, f"x\ny\nz\n{block}"), (32, block), (36, f"{block}\n{block}"), (37, "p\nq"), (38, "r\ns")]
+    want = removed(rows)
+    real = L.F.xxhash64
+    one = lambda *c: L.F.lit(7).cast("long") if "array_join" in str(c[0]) else real(*c)
+    monkeypatch.setattr(L.F, "xxhash64", one)
+    got = Counter((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in L.op8_line_dedup(spark, folder(spark, tmp, rows)).collect())
+    assert got == Counter((i, want[i, t][1], hashlib.sha256(want[i, t][2].encode()).hexdigest()) for i, t in rows)
+
+
+def test_line_dedup_of_long_texts_is_linear(spark):
+    """Two texts of 500,000 lines, half of them the same."""
+    shared = [f"shared line {i}" for i in range(250_000)]
+    texts = [(k, "\n".join(f"own {k} {i}" if i % 1000 < 500 else shared[i // 1000 * 500 + i % 1000 - 500] for i in range(500_000))) for k in (1, 2)]
+    began = time.time()
+    left = {r["doc_id"]: r["text"] for r in L.dedup_lines(docs(spark, texts)).collect()}
+    assert time.time() - began < 60
+    assert left[1] == texts[0][1]
+    assert left[2] == removed(texts)[2, texts[1][1]][2]
+    assert left[2].count("\n") < 260_000

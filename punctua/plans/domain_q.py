@@ -194,7 +194,8 @@ def q_silver_bcb(spark: SparkSession, sf_dir: str):
 
 
 # --------------------------------------------------------------------------- weather
-def weather_bronze(t: Tables):
+def weather_bronze(t: Tables, *more: Column):
+    """Bronze-shaped hourly weather; ``more``: further columns over ``events``."""
     e = t.events.select("event_id", "ts", "user_id", "event_type", "value")
     return e.select(
         F.when((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0), F.lit(None).cast("string"))
@@ -209,7 +210,7 @@ def weather_bronze(t: Tables):
         F.concat(F.lit("open_meteo/icao=U"), F.col("user_id").cast("string"), F.lit("/"), _pad("event_id", 12),
                  F.lit(".json")).alias("_source_file"),
         F.lit(INGESTED_AT).cast("timestamp").alias("_ingested_at"),
-        F.lit(None).cast("string").alias("_rescued_data"),
+        F.lit(None).cast("string").alias("_rescued_data"), *more,
     )
 
 

@@ -11,8 +11,10 @@ from punctua.plans.domain_q import weather_bronze
 from punctua.plans.history_q import _VERSIONS_SQL, SEQ_BUCKET
 from punctua.plans.ingest_q import _scratch
 from punctua.plans.registry import query
+from punctua.session import materialize
 from punctua.sources.ingest import SourceConfig, read_bronze, run_bronze
 from punctua.streaming.cdc import read_history, run_cdc_stream
+from punctua.streaming.late import read_output, run_split_stream
 from punctua.streaming.silver import backfill_silver, read_silver, run_silver_stream
 from punctua.tables import Tables
 
@@ -20,6 +22,8 @@ from punctua.tables import Tables
 PREAMBLE = "Updated daily"
 STREAM_FROM = "2024-01-16T00:00"
 CDC_FILES, CDC_PARTS = 3, 16
+# Files of the late-rows query, and the days that one covers.
+ARRIVALS, ARRIVAL_DAYS = 4, 8
 
 
 @query("bronze_preamble_csv", sql=f"""
@@ -93,6 +97,51 @@ def q_silver_backfill(spark: SparkSession, sf_dir: str):
         "icao", "data_hora", F.when(batch.startswith("backfill-"), batch).otherwise("stream").alias("origin"))
 
 
+_ARRIVAL_SQL = f"""
+s AS (SELECT CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN NULL ELSE 'U' || CAST(user_id AS VARCHAR) END AS icao,
+             CASE WHEN event_id % 41 <> 0 THEN date_trunc('hour', ts) END AS data_hora,
+             least({ARRIVALS - 1}, (day(ts) - 1) // {ARRIVAL_DAYS} + CASE WHEN event_id % 37 = 0 THEN 2
+                                                                       WHEN event_id % 10 = 0 THEN 1 ELSE 0 END) AS a FROM events),
+m AS (SELECT a, max(data_hora) AS top FROM s GROUP BY a),
+w AS (SELECT a, max(top) OVER (ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 3 DAY AS mark FROM m),
+x AS (SELECT s.*, coalesce(data_hora <= mark, false) AS late, icao IS NOT NULL AND data_hora IS NOT NULL AS valid
+      FROM s JOIN w ON s.a = w.a),
+k AS (SELECT CASE WHEN valid THEN 'valid' ELSE 'quarantine' END AS verdict, icao, data_hora, min(a) AS a FROM x
+      WHERE NOT late GROUP BY valid, icao, data_hora, CASE WHEN data_hora IS NULL THEN a END),
+o AS (SELECT verdict, a, icao, data_hora, count(*) AS n FROM k GROUP BY ALL
+      UNION ALL SELECT 'late', a, icao, data_hora, count(*) FROM x WHERE late GROUP BY ALL
+      UNION ALL SELECT 'rows', a, NULL, NULL, count(*) FROM x GROUP BY a
+      UNION ALL SELECT 'duplicates', x.a, NULL, NULL, count(*) - coalesce(any_value(kept), 0) FROM x
+        LEFT JOIN (SELECT a, count(*) AS kept FROM k GROUP BY a) c ON c.a = x.a WHERE NOT late GROUP BY x.a)"""
+
+
+@query("silver_late_split", sql=f"""
+WITH {_ARRIVAL_SQL}
+SELECT verdict, CAST(a AS VARCHAR) AS batch, icao, data_hora, CAST(n AS BIGINT) AS n FROM o
+""")
+def q_silver_late_split(spark: SparkSession, sf_dir: str):
+    """Hourly weather in ARRIVALS files, a micro-batch each; some rows come one or two files late, some without a time. Valid,
+    quarantined and late rows by batch, and the rows and duplicates of each batch, which account for all of bronze."""
+    root = _scratch(spark, "silver-late")
+    t = Tables(spark, sf_dir)
+    when = F.least(F.lit(ARRIVALS - 1), F.floor((F.dayofmonth("ts") - 1) / ARRIVAL_DAYS)
+                   + F.when(F.col("event_id") % 37 == 0, 2).when(F.col("event_id") % 10 == 0, 1).otherwise(0))
+    rows = weather_bronze(t, when.alias("arrival"), F.col("event_id").alias("event"))
+    rows = materialize(rows.withColumn("time", F.when(F.col("event") % 41 != 0, F.col("time")).otherwise("n/d")), "arrivals")
+    for k in range(ARRIVALS):
+        rows.where(F.col("arrival") == k).drop("arrival", "event").coalesce(1).write.mode("append").parquet(f"{root}/bronze/weather")
+    run_split_stream(spark, f"{root}/bronze/weather", WEATHER, f"{root}/silver", f"{root}/checkpoint", max_files_per_trigger=1)
+    out = lambda name: read_output(spark, f"{root}/silver", name)
+    written = [out(name).select(F.lit(verdict).alias("verdict"), "batch", "icao", "data_hora") for name, verdict in (
+        (WEATHER.name, "valid"), (WEATHER.quarantine_name, "quarantine"), (f"{WEATHER.name}_late", "late"))]
+    counted = (written[0].unionByName(written[1]).unionByName(written[2])
+               .groupBy("verdict", "batch", "icao", "data_hora").agg(F.count(F.lit(1)).alias("n")))
+    flow = out(f"{WEATHER.name}_flow")
+    totals = [flow.select(F.lit(c).alias("verdict"), "batch", F.lit(None).cast("string").alias("icao"),
+                          F.lit(None).cast("timestamp").alias("data_hora"), F.col(c).alias("n")) for c in ("rows", "duplicates")]
+    return counted.unionByName(totals[0]).unionByName(totals[1])
+
+
 @query("cdc_stream_history", sql=f"WITH {_VERSIONS_SQL} SELECT * FROM versions")
 def q_cdc_stream_history(spark: SparkSession, sf_dir: str):
     """``events`` as a change stream into the type-2 history table: CDC_FILES files, each a micro-batch with events between

@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from punctua.session import materialize, materialize_by
+
 MICROS_PER_DAY = 86_400 * 1_000_000
 
 
@@ -124,20 +126,20 @@ def trailing_window(df: DataFrame, key: str | Sequence[str], ts: str, aggs: dict
 
 
 def trailing_sums(targets: DataFrame, facts: DataFrame | None, keys: str | Sequence[str], ts: str, fact_ts: str,
-                  values: dict[str, Column], days: float, bucket_days: float = 1.0) -> DataFrame:
+                  values: dict[str, Column], days: float, bucket_days: float | None = None) -> DataFrame:
     """``targets`` with, per name in ``values``, the sum over the key's ``facts`` in ``[ts - days, ts)``.
 
     Without ``facts`` the targets are the facts as well (each then crosses the shuffle twice, not three times).
 
     Running sums instead of frames: a fact adds its values from its own time on and takes them off again ``days``
     later, so a target reads the sum of everything before it.  Inside ``(key, bucket)`` that is one window; whole
-    earlier buckets come from their totals (aggregated on the map side, keys x buckets rows).  Buckets may be as narrow
-    as a hot key needs, at no further copies.  ``values`` are integers (counts, flags; cast to BIGINT), so taking off is
+    earlier buckets come from their totals (aggregated on the map side, keys x buckets rows).  Buckets are as wide as the
+    window and may be as narrow as a hot key needs, at no further copies but more totals.  ``values`` are integers (counts, flags; cast to BIGINT), so taking off is
     exact; a NULL value counts 0, an empty frame sums to 0, and a NULL key or time has nothing before it.
     """
     kc = [keys] if isinstance(keys, str) else list(keys)
     names = list(values)
-    width, bw = int(days * MICROS_PER_DAY), int(bucket_days * MICROS_PER_DAY)
+    width, bw = int(days * MICROS_PER_DAY), int((bucket_days or days) * MICROS_PER_DAY)
     own = facts is None
     facts, fact_ts = (targets, ts) if own else (facts, fact_ts)
     kn, vn = [f"_k{i}" for i in range(len(kc))], [f"_v{i}" for i in range(len(names))]
@@ -173,6 +175,67 @@ def trailing_sums(targets: DataFrame, facts: DataFrame | None, keys: str | Seque
                                 for i, (n, v) in enumerate(zip(names, vn))]))
 
 
+def trailing_grains(targets: DataFrame, facts: DataFrame, grains: dict[str, Sequence[str]], ts: str, fact_ts: str,
+                    values: dict[str, Column], days: float, bucket_days: float | None = None) -> DataFrame:
+    """``targets`` with, per grain and name in ``values``, the sum over that grain's ``facts`` in ``[ts - days, ts)``.
+
+    ``grains``: name -> key columns, which both sides have; columns are named ``<grain>_<name>``. All grains share one
+    pass: facts and the instants that targets ask for are summed per (grain, key, instant), combined on the map side, so what
+    is shuffled and sorted is bounded by the instants of each key, however many rows one of them has. Running sums over
+    these (see :func:`trailing_sums`) are then looked up by key and instant. NULL keys and times have nothing before them;
+    values are integers.
+    """
+    width, bw = int(days * MICROS_PER_DAY), int((bucket_days or days) * MICROS_PER_DAY)
+    names, zero = list(values), F.lit(0).cast("bigint")
+    vn = [f"_v{i}" for i in range(len(names))]
+
+    def key_of(cols: Sequence[str]) -> Column:
+        """One text per key; NULL where a part is."""
+        return F.concat(*[x for i, c in enumerate(cols) for x in ([F.lit("|")] if i else []) + [F.col(c).cast("string")]])
+
+    def keyed(df: DataFrame, at: str, amounts: Sequence[Column], asked: bool) -> DataFrame:
+        keys = F.explode(F.array(*[F.struct(F.lit(g).alias("g"), key_of(cols).alias("k")) for g, cols in enumerate(grains.values())]))
+        rows = df.where(F.col(at).isNotNull()).select(
+            F.unix_micros(F.col(at)).alias("_us"), *[a.alias(n) for n, a in zip(vn, amounts)], keys.alias("_e"))
+        return rows.where("_e.k IS NOT NULL").select(F.col("_e.g").alias("_g"), F.col("_e.k").alias("_k"), "_us", *vn, F.lit(asked).alias("_asked"))
+
+    sums = [F.sum(v).alias(v) for v in vn]
+    both = keyed(facts, fact_ts, [F.coalesce(v.cast("bigint"), zero) for v in values.values()], False).unionByName(
+        keyed(targets, ts, [zero] * len(vn), True))
+    instants = materialize(both.groupBy("_g", "_k", "_us").agg(*sums, F.max("_asked").alias("_asked")), "instants")
+    moves = instants.select("_g", "_k", F.explode(F.array(
+        F.struct("_us", *vn, "_asked"),
+        F.struct((F.col("_us") + width).alias("_us"), *[(-F.col(v)).alias(v) for v in vn], F.lit(False).alias("_asked")))).alias("_e"))
+    moves = moves.select("_g", "_k", "_e.*").where("_asked OR " + " OR ".join(f"{v} <> 0" for v in vn))
+    moves = moves.withColumn("_b", F.floor(F.col("_us") / F.lit(bw)).cast("bigint"))
+    w = Window.partitionBy("_g", "_k", "_b").orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
+    rows = moves.withColumns({f"_s{i}": F.sum(v).over(w) for i, v in enumerate(vn)}).where("_asked")
+    before = Window.partitionBy("_cg", "_ck").orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
+    carry = moves.groupBy(F.col("_g").alias("_cg"), F.col("_k").alias("_ck"), F.col("_b").alias("_cb")).agg(*sums).select(
+        "_cg", "_ck", "_cb", *[F.sum(v).over(before).alias(f"_c{i}") for i, v in enumerate(vn)])
+    known = rows.join(carry, (F.col("_g") == F.col("_cg")) & (F.col("_k") == F.col("_ck")) & (F.col("_b") == F.col("_cb")))
+    known = materialize_by(known.select("_g", "_k", "_us", *[(F.coalesce(f"_s{i}", zero) + F.coalesce(f"_c{i}", zero)).alias(v)
+                                                             for i, v in enumerate(vn)]), "running-sums", "_g", range(len(grains)))
+    out = targets
+    for g, (grain, cols) in enumerate(grains.items()):
+        of = known[g].select(F.col("_k").alias("_jk"), F.col("_us").alias("_ju"), *[F.col(v).alias(f"_j{v}") for v in vn])
+        out = out.join(of, (key_of(cols) == F.col("_jk")) & (F.unix_micros(F.col(ts)) == F.col("_ju")), "left")
+        out = out.withColumns({f"{grain}_{n}": F.coalesce(F.col(f"_j{v}"), zero) for n, v in zip(names, vn)})
+        out = out.drop("_jk", "_ju", *[f"_j{v}" for v in vn])
+    return out
+
+
+def held_values(daily: DataFrame, key: str, day: str, value: str, end) -> DataFrame:
+    """Each value of a daily series on every day from its own to the one before the key's next value, the last to ``end``.
+
+    One window over the series (a key has a row per day at most) and a generator; no calendar is joined.
+    """
+    seen = daily.where(F.col(key).isNotNull() & F.col(day).isNotNull() & F.col(value).isNotNull())
+    until = F.coalesce(F.date_sub(F.lead(day).over(Window.partitionBy(key).orderBy(day)), 1), F.lit(end).cast("date"))
+    rows = seen.select(key, F.col(day).alias("_from"), until.alias("_until"), value).where("_until >= _from")
+    return rows.select(key, F.explode(F.sequence("_from", "_until")).alias(day), value)
+
+
 def day_spine(keys: DataFrame, key: str, start, end, day_col: str = "day") -> DataFrame:
     """One row per key and calendar day in ``[start, end]`` (a generator, not a join)."""
     s = F.lit(str(start)).cast("date")

@@ -62,6 +62,7 @@ def flights(t: Tables, dedup: bool = True) -> DataFrame:
     return j.select(
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_number"),
+        F.col("l_partkey").alias("part_key"),
         F.col("o_orderpriority").alias("carrier"),
         F.col("s_nationkey").alias("origin"),
         F.col("c_nationkey").alias("destination"),
@@ -86,7 +87,7 @@ li AS (
     FROM lineitem l) WHERE rn_ = 1
 ),
 f AS (
-  SELECT li.l_orderkey AS order_key, li.l_linenumber AS line_number,
+  SELECT li.l_orderkey AS order_key, li.l_linenumber AS line_number, li.l_partkey AS part_key,
          o.o_orderpriority AS carrier, s.s_nationkey AS origin, c.c_nationkey AS destination,
          o.o_orderdate AS planned_ts, li.l_shipdate AS real_ts,
          (floor(epoch(li.l_shipdate)) - floor(epoch(o.o_orderdate))) / 60.0 AS delay_min,

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from punctua.operators.calendar import is_high_season, is_holiday, iso_weekday
 from punctua.operators.stats import pr_curve, psi
-from punctua.operators.timeseries import asof_join, trailing_sums
+from punctua.operators.timeseries import held_values, trailing_grains, trailing_sums
 from punctua.plans.flights import FLIGHTS_SQL, valid_flights
 from punctua.plans.registry import query
+from punctua.plans.series_q import _PRICE_SQL, filled_price, price_at
 from punctua.session import materialize
 from punctua.tables import Tables
 
@@ -34,7 +35,7 @@ def flight_base(t: Tables, *more: str):
 
 
 _LAB_SQL = f"""
-lab AS (SELECT order_key, line_number, carrier, origin, destination, planned_ts, real_ts, delay_min, quantity,
+lab AS (SELECT order_key, line_number, part_key, carrier, origin, destination, planned_ts, real_ts, delay_min, quantity,
                CAST(CASE WHEN delay_min > {LABEL_MINUTES} THEN 1 ELSE 0 END AS INTEGER) AS label
         FROM f WHERE NOT cancelled AND carrier IS NOT NULL AND origin IS NOT NULL AND planned_ts IS NOT NULL)"""
 
@@ -58,52 +59,83 @@ def route_history(lab):
                                                    F.col("route_late_30d") / F.col("route_n_30d")))
 
 
+#: Grains of the delay history: name and key columns.
+GRAINS = {"route": ["origin", "destination"], "carrier": ["carrier"], "origin": ["origin"], "destination": ["destination"]}
+# Aircraft by size: largest p_size of the smaller tiers.
+SMALL_UPTO, MEDIUM_UPTO = 15, 35
+
+
 def features(t: Tables):
     """Leak-free features per flight, all known strictly before its planned departure.
 
-    * route delay rate over the previous 30 days, counting only flights whose
-      outcome (actual time) was known before this flight's planned time;
-    * last complete day of "rain" at the destination (a day becomes known when
-      it ends), by strict as-of join;
-    * calendar parts of the planned date.
+    * flights and delay rate over the previous 30 days of the route, the carrier and both airports, counting only flights
+      whose outcome (actual time) was known before this flight's planned time;
+    * "rain" of the last complete day with any at both airports (a day becomes known when it ends);
+    * the price of the last complete month, from its own source, gaps filled;
+    * the aircraft's size tier; calendar parts and hour of the planned time.
     """
-    allf = flight_base(t, "quantity")
-    lab = labelled(t, allf)
-    rain = (allf.groupBy("destination", F.to_date("real_ts").alias("day"))
-            .agg(F.sum("quantity").alias("rain_mm"))
-            .select(F.col("destination").alias("r_dest"), "rain_mm",
-                    F.date_add("day", 1).cast("timestamp").alias("rain_known_ts")))
-    base = route_history(lab.select("order_key", "line_number", "origin", "destination", "planned_ts", "real_ts", "label"))
-    withrain = asof_join(base, rain.withColumnRenamed("r_dest", "destination"), "destination", "planned_ts",
-                         "rain_known_ts", ["rain_mm"], strict=True, bucket_days=30.0, prefix="prev_")
+    allf = flight_base(t, "carrier", "quantity", "part_key")
+    lab = labelled(t, allf).select("order_key", "line_number", "part_key", "carrier", "origin", "destination", "planned_ts",
+                                   "real_ts", "label")
+    base = trailing_grains(lab, lab.where("label IS NOT NULL"), GRAINS, "planned_ts", "real_ts",
+                           {"n_30d": F.lit(1), "late_30d": F.col("label")}, HISTORY_DAYS)
+    # what is known just before the planned time: days that ended by then, on the day of the instant before
+    eve = F.to_date(F.timestamp_micros(F.unix_micros("planned_ts") - 1))
+    last = lab.agg(F.max(eve)).first()[0]
+    rain = (allf.groupBy(F.col("destination").alias("airport"), F.date_add(F.to_date("real_ts"), 1).alias("known_day"))
+            .agg(F.sum("quantity").alias("rain_mm")))
+    rain = materialize(held_values(rain, "airport", "known_day", "rain_mm", last), "rain-known")  # airports x days
+    for side in ("origin", "destination"):
+        known = rain.select(*[F.col(c).alias(f"{side}_{c}") for c in rain.columns])
+        base = base.join(known, (F.col(side) == F.col(f"{side}_airport")) & (eve == F.col(f"{side}_known_day")), "left")
+    prices, month = price_at(filled_price(t), F.col("planned_ts"))
+    base = base.join(prices, month == F.col("p_month"), "left")
+    size = t.part.select("p_partkey", "p_size")
+    base = base.join(size, F.col("part_key") == F.col("p_partkey"), "left")
+    tier = (F.when(F.col("p_size") <= SMALL_UPTO, "small").when(F.col("p_size") <= MEDIUM_UPTO, "medium")
+            .when(F.col("p_size").isNotNull(), "large"))
     d = F.col("planned_ts")
-    return (withrain
-            .select("order_key", "line_number", "origin", "destination", "planned_ts", "label", "route_n_30d",
-                    F.round("route_rate_30d", 6).alias("route_rate_30d"),
-                    F.round("prev_rain_mm", 6).alias("prev_rain_mm"),
-                    iso_weekday(d).alias("iso_weekday"), F.month(d).alias("month"),
-                    is_holiday(d).alias("is_holiday"), is_high_season(d).alias("is_high_season")))
+    history = [c for g in GRAINS for c in (F.col(f"{g}_n_30d"), F.round(
+        F.when(F.col(f"{g}_n_30d") > 0, F.col(f"{g}_late_30d") / F.col(f"{g}_n_30d")), 6).alias(f"{g}_rate_30d"))]
+    return base.select("order_key", "line_number", "carrier", "origin", "destination", "planned_ts", "label", *history,
+                       F.round("origin_rain_mm", 6).alias("prev_rain_origin_mm"), F.round("destination_rain_mm", 6).alias("prev_rain_mm"),
+                       F.round("price", 6).alias("price"), tier.alias("aircraft_tier"), F.hour(d).alias("hour"),
+                       iso_weekday(d).alias("iso_weekday"), F.month(d).alias("month"),
+                       is_holiday(d).alias("is_holiday"), is_high_season(d).alias("is_high_season"))
+
+
+def _history_sql(grain: str, keys: list[str]) -> str:
+    by = ", ".join(keys)
+    return f"""
+u_{grain} AS (SELECT order_key, line_number, {by}, planned_ts AS t, CAST(NULL AS INTEGER) AS outcome FROM lab
+              UNION ALL SELECT NULL, NULL, {by}, real_ts, label FROM lab),
+tr_{grain} AS (SELECT order_key, line_number, count(outcome) OVER w AS {grain}_n_30d, avg(outcome) OVER w AS {grain}_rate_30d
+               FROM u_{grain} WINDOW w AS (PARTITION BY {by} ORDER BY t
+                 RANGE BETWEEN INTERVAL {HISTORY_DAYS} DAYS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING))"""
 
 
 @query("feature_table", sql=f"""
-WITH {FLIGHTS_SQL}, {_LAB_SQL},
-u AS (SELECT order_key, line_number, origin, destination, planned_ts AS t, CAST(NULL AS INTEGER) AS outcome, true AS q
-      FROM lab
-      UNION ALL SELECT NULL, NULL, origin, destination, real_ts, label, false FROM lab),
-tr AS (SELECT order_key, line_number, count(outcome) OVER w AS route_n_30d, avg(outcome) OVER w AS route_rate_30d
-       FROM u WINDOW w AS (PARTITION BY origin, destination ORDER BY t
-                           RANGE BETWEEN INTERVAL {HISTORY_DAYS} DAYS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)),
-rain AS (SELECT destination AS r_dest, CAST(CAST(real_ts AS DATE) + 1 AS TIMESTAMP) AS known_ts, sum(quantity) AS rain_mm
+WITH {FLIGHTS_SQL}, {_LAB_SQL},{",".join(_history_sql(g, k) for g, k in GRAINS.items())}, {_PRICE_SQL},
+known AS (SELECT CAST(month + INTERVAL 1 MONTH AS TIMESTAMP) AS p_ts, price FROM pf),
+rain AS (SELECT destination AS airport, CAST(CAST(real_ts AS DATE) + 1 AS TIMESTAMP) AS known_ts, sum(quantity) AS rain_mm
          FROM f WHERE carrier IS NOT NULL AND origin IS NOT NULL AND planned_ts IS NOT NULL GROUP BY 1, 2),
-wr AS (SELECT lab.*, rain.rain_mm AS prev_rain_mm FROM lab ASOF LEFT JOIN rain
-       ON lab.destination = rain.r_dest AND lab.planned_ts > rain.known_ts)
-SELECT wr.order_key, wr.line_number, origin, destination, planned_ts, label, route_n_30d,
-       round(route_rate_30d, 6) AS route_rate_30d, round(prev_rain_mm, 6) AS prev_rain_mm,
+wd AS (SELECT lab.*, rain.rain_mm AS rain_d FROM lab ASOF LEFT JOIN rain
+       ON lab.destination = rain.airport AND lab.planned_ts > rain.known_ts),
+wo AS (SELECT wd.*, rain.rain_mm AS rain_o FROM wd ASOF LEFT JOIN rain ON wd.origin = rain.airport AND wd.planned_ts > rain.known_ts),
+-- the price of a month is known from the first day of the next one; beyond the series' last known month there is none
+wp AS (SELECT wo.*, CASE WHEN wo.planned_ts <= (SELECT max(p_ts) FROM known) + INTERVAL 1 MONTH THEN known.price END AS price
+       FROM wo ASOF LEFT JOIN known ON wo.planned_ts > known.p_ts)
+SELECT wp.order_key, wp.line_number, carrier, origin, destination, planned_ts, label,
+       {", ".join(f"{g}_n_30d, round({g}_rate_30d, 6) AS {g}_rate_30d" for g in GRAINS)},
+       round(rain_o, 6) AS prev_rain_origin_mm, round(rain_d, 6) AS prev_rain_mm, round(price, 6) AS price,
+       CASE WHEN p_size <= {SMALL_UPTO} THEN 'small' WHEN p_size <= {MEDIUM_UPTO} THEN 'medium' WHEN p_size IS NOT NULL THEN 'large' END
+         AS aircraft_tier,
+       CAST(hour(planned_ts) AS INTEGER) AS hour,
        CAST(isodow(planned_ts) AS INTEGER) AS iso_weekday, CAST(month(planned_ts) AS INTEGER) AS month,
        (month(planned_ts) * 100 + day(planned_ts)) IN (101, 421, 501, 907, 1012, 1102, 1115, 1225) AS is_holiday,
        month(planned_ts) IN (1, 7, 12) AS is_high_season
-FROM wr JOIN (SELECT * FROM tr WHERE order_key IS NOT NULL) tr
-  ON wr.order_key = tr.order_key AND wr.line_number = tr.line_number
+FROM wp {" ".join(f"JOIN (SELECT * FROM tr_{g} WHERE order_key IS NOT NULL) t_{g} ON wp.order_key = t_{g}.order_key AND wp.line_number = t_{g}.line_number" for g in GRAINS)}
+LEFT JOIN part ON part_key = p_partkey
 """)
 def q_feature_table(spark: SparkSession, sf_dir: str):
     return features(Tables(spark, sf_dir))
@@ -188,7 +220,8 @@ def q_drift_psi(spark: SparkSession, sf_dir: str):
                d >= F.lit(SPLIT_TEST_FROM).cast("timestamp"))
 
 
-MODEL_FEATURES = ["route_n_30d", "route_rate_30d", "prev_rain_mm", "iso_weekday", "month"]
+MODEL_FEATURES = ["route_n_30d", "route_rate_30d", "carrier_rate_30d", "origin_rate_30d", "destination_rate_30d", "prev_rain_origin_mm",
+                  "prev_rain_mm", "price", "hour", "iso_weekday", "month"]
 
 
 @query("delay_model_comparison")

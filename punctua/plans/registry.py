@@ -40,5 +40,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every catalogue module so their ``@query`` registrations run."""
     from punctua.plans import (  # noqa: F401
-        crawl_q, domain_q, gold_q, history_q, ingest_q, lookup_q, ml_q, planning_q, silver_q, star_q, stream_q, timeseries_q,
+        crawl_q, domain_q, gold_q, history_q, ingest_q, lookup_q, ml_q, planning_q, series_q, silver_q, star_q, stream_q, timeseries_q,
     )

@@ -105,8 +105,23 @@ def materialize(df, label: str, session: SparkSession | None = None):
     survives executor loss and cuts the lineage.  ``session`` reads the copy
     back in another session of the same application (e.g. an isolated one).
     """
-    import uuid
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    path = table_path(df.sparkSession, label)
     df.write.parquet(path)
-    return (session or spark).read.parquet(path)
+    return (session or df.sparkSession).read.parquet(path)
+
+
+def table_path(spark: SparkSession, label: str) -> str:
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+
+
+def materialize_by(df, label: str, column: str, values) -> dict:
+    """Write ``df`` once and read it back as one frame per value of ``column`` (which goes): each has its own size, by which
+    the planner may tell that it is small enough to broadcast."""
+    from punctua.sources import hadoopfs as hfs
+    spark, path = df.sparkSession, table_path(df.sparkSession, label)
+    df.write.partitionBy(column).parquet(path)
+    rest = df.drop(column)
+    read = spark.read.schema(rest.schema)
+    return {v: read.parquet(f"{path}/{column}={v}") if hfs.exists(spark, f"{path}/{column}={v}")
+            else spark.createDataFrame([], rest.schema) for v in values}

@@ -82,6 +82,16 @@ def quarantine(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
     return df.filter(~all_pass(rules))
 
 
+def guarded(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
+    """``df``, whose job ends at the first row that violates a ``fail`` rule: the check is part of the plan that writes the
+    rows, so they are read once and nothing is counted beforehand."""
+    fail = [r for r in rules if r.action == "fail"]
+    if not fail:
+        return df
+    broken = F.concat_ws(", ", *[F.when(~r.passed, F.lit(r.name)) for r in fail])
+    return df.where(F.when(broken == "", True).otherwise(F.raise_error(F.concat(F.lit("fail expectations violated: "), broken)).cast("boolean")))
+
+
 def expectation_metrics(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
     """One row per rule: name, action, passed, failed (BIGINT)."""
     aggs = [F.count(F.lit(1)).alias("_total")]

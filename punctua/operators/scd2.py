@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from punctua.session import materialize
+
 
 def scd2_from_cdc(cdc: DataFrame, key: str, seq: str, ts: str, state_cols: Sequence[str],
                   is_delete: Column, seq_bucket: int | None = None) -> DataFrame:
@@ -78,6 +80,33 @@ def scd2_from_cdc(cdc: DataFrame, key: str, seq: str, ts: str, state_cols: Seque
     )
 
 
+def scd2_current_state(cdc: DataFrame, key: str, seq: str, ts: str, state_cols: Sequence[str], is_delete: Column) -> DataFrame:
+    """The open versions of :func:`scd2_from_cdc` without its history: no window, no sort of a key's events.
+
+    A key's last state, the last event that differs from it, and the first event after that are aggregates, combined on the
+    map side, so a hot key costs its tasks a row each. Keys whose last event is a delete have no row.
+    """
+    sc = list(state_cols)
+    state = F.when(~F.coalesce(is_delete, F.lit(False)), F.struct(*[F.col(c) for c in sc]))
+    ev = cdc.select(F.col(key).alias("_k"), F.col(seq).alias("_seq"), F.col(ts).alias("_ts"), state.alias("_s")).where("_seq IS NOT NULL")
+    # one event per (key, seq), as in the history
+    once = ev.groupBy("_k", "_seq").agg(F.min(F.struct("_s", "_ts")).alias("_r"))
+    ev = materialize(once.select("_k", "_seq", F.col("_r._s").alias("_s"), F.col("_r._ts").alias("_ts")), "events-once")
+    # tables of their own, a row per key: small ones are broadcast by their size, and a hot key can be split in the joins
+    last = ev.groupBy(F.col("_k").alias("_lk")).agg(F.max_by(F.struct(F.col("_s").alias("s")), "_seq").alias("_last"))
+    last = materialize(last.where("_last.s IS NOT NULL"), "last-states")
+    same_key = F.col("_k").eqNullSafe(F.col("_lk"))
+    differs = F.when(~F.col("_s").eqNullSafe(F.col("_last.s")), F.col("_seq"))
+    turn = materialize(ev.join(last, same_key).groupBy("_lk").agg(F.max(differs).alias("_turn")), "last-changes")
+    start = (ev.join(turn, same_key).where("_turn IS NULL OR _seq > _turn").groupBy("_lk")
+             .agg(F.min(F.struct("_seq", "_ts")).alias("_from"), F.any_value("_s").alias("_s")))
+    types = dict(cdc.dtypes)
+    return start.select(
+        F.col("_lk").alias(key), *[F.col("_s")[c].alias(c) for c in sc], F.col("_from._seq").alias("valid_from_seq"),
+        F.lit(None).cast(types[seq]).alias("valid_to_seq"), F.col("_from._ts").alias("valid_from_ts"),
+        F.lit(None).cast(types[ts]).alias("valid_to_ts"), F.lit(True).alias("is_current"))
+
+
 def current_view(versions: DataFrame) -> DataFrame:
     """SCD1-style current row per key (open versions only)."""
     return versions.filter(F.col("is_current"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from punctua.functions.columns import local_to_utc
 from punctua.operators.calendar import day_period, date_key, dim_date as build_dim_date, is_high_season, \
     is_holiday, iso_weekday
+from punctua.functions.zones import instants, zone_changes
 from punctua.operators.joins import bounded_broadcast
 from punctua.plans.flights import FLIGHTS_SQL, RAIN_THRESHOLD, valid_flights
 from punctua.plans.registry import query
@@ -256,3 +257,42 @@ def q_local_to_utc(spark: SparkSession, sf_dir: str):
     j = o.join(c, o.o_custkey == c.c_custkey).join(zones, F.col("c_nationkey") == zones.nk, "left")
     return j.select(F.col("o_orderkey").alias("order_key"), "zone", "local_ts",
                     local_to_utc("local_ts", "zone").alias("utc_ts"))
+
+
+# Query parameters: local quarter hours of the nights from Saturday on, over the weeks from FOLD_FROM to FOLD_UNTIL.
+FOLD_FROM, FOLD_UNTIL, FOLD_WEEKS, FOLD_SLOTS = "2016-12-31", "2020-01-01", 156, 24
+
+_LOCAL_SQL = f"""
+lo AS (SELECT l_orderkey AS order_key, l_linenumber AS line_number, l_partkey AS part_key, z.zone,
+              TIMESTAMP '{FOLD_FROM} 22:00:00' + to_days(CAST(7 * (l_partkey % {FOLD_WEEKS}) AS INTEGER))
+                + to_minutes(CAST(15 * ((l_orderkey + l_linenumber) % {FOLD_SLOTS}) AS INTEGER)) AS local_ts
+       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN {_ZONES_SQL} ON s_nationkey = z.nk)"""
+
+
+@query("local_folds", sql=f"""
+WITH {_LOCAL_SQL},
+c AS (SELECT *, unnest([timezone('UTC', timezone(zone, local_ts)),
+                        timezone('UTC', timezone(zone, local_ts - INTERVAL 2 HOUR)) + INTERVAL 2 HOUR,
+                        timezone('UTC', timezone(zone, local_ts + INTERVAL 2 HOUR)) - INTERVAL 2 HOUR]) AS u FROM lo),
+v AS (SELECT order_key, line_number, part_key, zone, local_ts, min(u) FILTER (ok) AS a, max(u) FILTER (ok) AS b, any_value(before) AS before
+      FROM (SELECT *, timezone(zone, timezone('UTC', u)) = local_ts AS ok,
+                   timezone('UTC', timezone(zone, local_ts - INTERVAL 2 HOUR)) + INTERVAL 2 HOUR AS before FROM c) GROUP BY ALL)
+SELECT zone, local_ts, coalesce(a, before) AS first_utc, coalesce(b, before) AS second_utc, coalesce(a <> b, false) AS is_repeated,
+       a IS NULL AS is_gap, count(*) AS n
+FROM v GROUP BY ALL
+""")
+def q_local_folds(spark: SparkSession, sf_dir: str):
+    """Local times in the nights in which clocks change, with both instants of repeated ones and skipped ones flagged; rows
+    of one zone and time are counted."""
+    t = Tables(spark, sf_dir)
+    zones = spark.createDataFrame(list(enumerate(NATION_ZONES)), "nk int, zone string")
+    changes = F.broadcast(zone_changes(zones, "zone", FOLD_FROM, FOLD_UNTIL))  # a row per zone
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(
+        t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    j = li.join(bounded_broadcast(zones), F.col("s_nationkey") == F.col("nk"))
+    minutes = 7 * 1440 * (F.col("l_partkey") % FOLD_WEEKS) + 15 * ((F.col("l_orderkey") + F.col("l_linenumber")) % FOLD_SLOTS)
+    local = F.lit(f"{FOLD_FROM} 22:00:00").cast("timestamp") + F.make_interval(mins=minutes.cast("int"))
+    # few times per zone: counted before they are placed
+    times = j.groupBy("zone", local.alias("local_ts")).agg(F.count(F.lit(1)).alias("n"))
+    at = times.join(changes, F.col("zone") == F.col("z_zone")).withColumn("at", instants(F.col("local_ts"), F.col("z_first"), F.col("z_changes")))
+    return at.select("zone", "local_ts", "at.*", "n")

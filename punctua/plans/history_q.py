@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from punctua.operators.joins import point_in_time
-from punctua.operators.scd2 import current_view, scd2_from_cdc
+from punctua.operators.scd2 import scd2_current_state, scd2_from_cdc
 from punctua.plans.registry import query
 from punctua.session import materialize
 from punctua.tables import Tables
@@ -45,7 +45,8 @@ def q_scd2_history(spark: SparkSession, sf_dir: str):
 
 @query("scd2_current", sql=f"WITH {_VERSIONS_SQL} SELECT * FROM versions WHERE is_current")
 def q_scd2_current(spark: SparkSession, sf_dir: str):
-    return current_view(versions(Tables(spark, sf_dir)))
+    e = Tables(spark, sf_dir).events
+    return scd2_current_state(e, "user_id", "event_id", "ts", ["event_type"], F.col("event_type") == "error")
 
 
 @query("scd2_point_in_time", sql=f"""

@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctua.functions.links import HREF_PATTERN, QUOTES, extract_links
+from punctua.operators.contract import conformed, contract_report
 from punctua.operators.joins import (
     bounded_broadcast, keys_missing_from, lookup_keys, resolve_surrogate, role_playing, surrogate_key,
 )
@@ -129,3 +131,47 @@ FROM u WHERE href NOT IN ('../', './') AND NOT starts_with(href, '?') AND NOT st
 """)
 def q_extract_links(spark: SparkSession, sf_dir: str):
     return extract_links(Tables(spark, sf_dir).pages)
+
+
+def orders_feed(t: Tables):
+    """``orders`` as a feed that has left its contract: a column short, one of another type, one too many, some NULLs."""
+    k = F.col("o_orderkey")
+    return t.orders.select(
+        k.alias("order_key"), F.when(k % 10 != 0, F.col("o_custkey")).alias("customer_key"),
+        F.when(k % 7 == 0, F.concat(F.lit("R$ "), F.col("o_totalprice").cast("string"))).when(k % 11 != 0, F.col("o_totalprice").cast("string"))
+        .alias("total"), F.col("o_orderstatus").alias("note"))
+
+
+#: What the feed is to hold.
+ORDERS_CONTRACT = T.StructType([
+    T.StructField("order_key", T.LongType(), False), T.StructField("customer_key", T.LongType(), False),
+    T.StructField("total", T.DoubleType()), T.StructField("status", T.StringType())])
+
+_FEED_SQL = """
+feed AS (SELECT o_orderkey AS order_key, CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS customer_key,
+                CASE WHEN o_orderkey % 7 = 0 THEN 'R$ ' || CAST(o_totalprice AS VARCHAR)
+                     WHEN o_orderkey % 11 <> 0 THEN CAST(o_totalprice AS VARCHAR) END AS total FROM orders)"""
+
+
+@query("contract_report", sql=f"""
+WITH {_FEED_SQL}
+SELECT 'order_key' AS column, 'null' AS problem, 'not null' AS expected, 'nullable' AS actual, count(*) FILTER (order_key IS NULL) AS bad_rows FROM feed
+UNION ALL SELECT 'customer_key', 'null', 'not null', 'nullable', count(*) FILTER (customer_key IS NULL) FROM feed
+UNION ALL SELECT 'total', 'type', 'double', 'string', count(*) FILTER (total IS NOT NULL AND TRY_CAST(total AS DOUBLE) IS NULL) FROM feed
+UNION ALL SELECT 'status', 'missing', 'string', NULL, count(*) FROM feed
+UNION ALL SELECT 'note', 'extra', NULL, 'string', 0 FROM feed GROUP BY 1
+""")
+def q_contract_report(spark: SparkSession, sf_dir: str):
+    """Where a feed differs from its contract, and in how many rows it matters."""
+    return contract_report(orders_feed(Tables(spark, sf_dir)), ORDERS_CONTRACT)
+
+
+@query("contract_conformed", sql=f"""
+WITH {_FEED_SQL}
+SELECT order_key, customer_key, TRY_CAST(total AS DOUBLE) AS total FROM feed
+WHERE customer_key IS NOT NULL AND (total IS NULL OR TRY_CAST(total AS DOUBLE) IS NOT NULL)
+""")
+def q_contract_conformed(spark: SparkSession, sf_dir: str):
+    """The rows of the feed that keep the contract for the columns it has, in the contract's types."""
+    have = T.StructType([f for f in ORDERS_CONTRACT.fields if f.name != "status"])
+    return conformed(orders_feed(Tables(spark, sf_dir)), have)

@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from punctua.operators.calendar import is_high_season, is_holiday, iso_weekday
+from punctua.operators.linear import linear_score, newton_logistic, permutation_importance
 from punctua.operators.stats import pr_curve, psi
 from punctua.operators.timeseries import held_values, trailing_grains, trailing_sums
 from punctua.plans.flights import FLIGHTS_SQL, valid_flights
@@ -238,3 +239,87 @@ def q_delay_model_comparison(spark: SparkSession, sf_dir: str):
     models = {"logistic_regression": train_logistic(train, MODEL_FEATURES),
               "gradient_boosting": train_gbt(train, MODEL_FEATURES, max_iter=10, max_depth=4)}
     return compare_models(models, test, MODEL_FEATURES)
+
+
+# Checkable models: features of the fit, its Newton steps, and the fixed formula whose features are permuted.
+FIT_FEATURES, FIT_STEPS, FIT_RIDGE = ["load", "weekend"], 6, 1e-6
+FORMULA_FEATURES, FORMULA = ["load", "weekend", "month"], [0.4, 0.8, -0.3, 0.05]
+
+
+def fit_rows(t: Tables):
+    lab = labelled(t).where("label IS NOT NULL").select("order_key", "line_number", "planned_ts", "label", "quantity")
+    d = F.col("planned_ts")
+    return materialize(lab.select("order_key", "line_number", F.to_date(d).alias("day"), "label", (F.col("quantity") / 50.0).alias("load"),
+                                  F.when(iso_weekday(d) >= 6, 1.0).otherwise(0.0).alias("weekend"),
+                                  F.month(d).cast("double").alias("month")), "fit-rows")
+
+
+_FIT_SQL = """
+fr AS (SELECT order_key, line_number, CAST(planned_ts AS DATE) AS day, label, quantity / 50.0 AS load,
+              CASE WHEN isodow(planned_ts) >= 6 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS weekend, month(planned_ts)::DOUBLE AS month
+       FROM lab WHERE label IS NOT NULL),
+w0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)"""
+for _i in range(FIT_STEPS):
+    _FIT_SQL += f""",
+p{_i} AS (SELECT load AS x, weekend AS y, label, 1 / (1 + exp(-(b0 + b1 * load + b2 * weekend))) AS p, b0, b1, b2 FROM fr, w{_i}),
+s{_i} AS (SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(b2) AS b2, sum(label - p) - {FIT_RIDGE} * any_value(b0) AS g0,
+                 sum((label - p) * x) - {FIT_RIDGE} * any_value(b1) AS g1, sum((label - p) * y) - {FIT_RIDGE} * any_value(b2) AS g2,
+                 sum(p * (1 - p)) + {FIT_RIDGE} AS a, sum(p * (1 - p) * x) AS b, sum(p * (1 - p) * y) AS c,
+                 sum(p * (1 - p) * x * x) + {FIT_RIDGE} AS d, sum(p * (1 - p) * x * y) AS e,
+                 sum(p * (1 - p) * y * y) + {FIT_RIDGE} AS f FROM p{_i}),
+q{_i} AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM s{_i}),
+w{_i + 1} AS (SELECT b0 + (g0 * (d * f - e * e) - b * (g1 * f - e * g2) + c * (g1 * e - d * g2)) / det AS b0,
+                     b1 + (a * (g1 * f - e * g2) - g0 * (b * f - c * e) + c * (b * g2 - c * g1)) / det AS b1,
+                     b2 + (a * (d * g2 - e * g1) - b * (b * g2 - c * g1) + g0 * (b * e - c * d)) / det AS b2 FROM q{_i})"""
+
+
+@query("logistic_newton", sql=f"""
+WITH {FLIGHTS_SQL}, {_LAB_SQL}, {_FIT_SQL}
+SELECT unnest(['intercept', 'load', 'weekend']) AS term, round(unnest([b0, b1, b2]), 6) AS weight FROM w{FIT_STEPS}
+""")
+def q_logistic_newton(spark: SparkSession, sf_dir: str):
+    """Weights of a logistic delay model after a fixed number of Newton steps."""
+    weights = newton_logistic(fit_rows(Tables(spark, sf_dir)), FIT_FEATURES, "label", FIT_STEPS, FIT_RIDGE)
+    return spark.createDataFrame([(n, round(w, 6)) for n, w in zip(["intercept", *FIT_FEATURES], weights)], "term string, weight double")
+
+
+@query("logistic_daily_scores", sql=f"""
+WITH {FLIGHTS_SQL}, {_LAB_SQL}, {_FIT_SQL}
+SELECT day AS score_date, count(*) AS flights, CAST(sum(label) AS BIGINT) AS late, round(avg(p), 6) AS mean_score,
+       round(avg((p - label) * (p - label)), 6) AS brier
+FROM (SELECT day, label, 1 / (1 + exp(-(b0 + b1 * load + b2 * weekend))) AS p FROM fr, w{FIT_STEPS}) GROUP BY 1
+""")
+def q_logistic_daily_scores(spark: SparkSession, sf_dir: str):
+    """All flights scored by that model, per planned day: mean score, observed delays and squared error."""
+    rows = fit_rows(Tables(spark, sf_dir))
+    score = linear_score(newton_logistic(rows, FIT_FEATURES, "label", FIT_STEPS, FIT_RIDGE), FIT_FEATURES)
+    scored = rows.select(F.col("day").alias("score_date"), "label", score.alias("p"))
+    return scored.groupBy("score_date").agg(
+        F.count(F.lit(1)).alias("flights"), F.sum("label").cast("bigint").alias("late"), F.round(F.avg("p"), 6).alias("mean_score"),
+        F.round(F.avg((F.col("p") - F.col("label")) * (F.col("p") - F.col("label"))), 6).alias("brier"))
+
+
+def _loss_sql(feature: str | None) -> str:
+    x = [f"{f}_p" if f == feature else f for f in FORMULA_FEATURES]
+    z = " + ".join([str(FORMULA[0]), *[f"{w} * coalesce({c}, 0)" for w, c in zip(FORMULA[1:], x)]])
+    p = f"least(greatest(1 / (1 + exp(-({z}))), 1e-9), 1 - 1e-9)"
+    return f"avg(-(label * ln({p}) + (1 - label) * ln(1 - {p})))"
+
+
+_PERM_SQL = ",\n".join(f"""x_{f} AS (SELECT *, CASE WHEN row_number() OVER w = 1 THEN last_value({f}) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+    AND UNBOUNDED FOLLOWING) ELSE lag({f}) OVER w END AS {f}_p FROM fr
+    WINDOW w AS (ORDER BY md5(order_key || ':' || line_number || ':{f}'), order_key, line_number))""" for f in FORMULA_FEATURES)
+
+
+@query("permutation_importance", sql=f"""
+WITH {FLIGHTS_SQL}, {_LAB_SQL}, {_FIT_SQL},
+{_PERM_SQL},
+l AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, {_loss_sql(f)} AS loss FROM x_{f}" for f in FORMULA_FEATURES)}),
+o AS (SELECT {_loss_sql(None)} AS base_loss FROM fr)
+SELECT feature, round(loss, 6) AS loss, round(base_loss, 6) AS base_loss, round(loss - base_loss, 6) AS importance FROM l, o
+""")
+def q_permutation_importance(spark: SparkSession, sf_dir: str):
+    """How much the mean log loss of a fixed formula grows when each of its features is permuted."""
+    rows = fit_rows(Tables(spark, sf_dir))
+    out = permutation_importance(rows, lambda: linear_score(FORMULA, FORMULA_FEATURES), FORMULA_FEATURES, "label", ["order_key", "line_number"])
+    return out.select("feature", *[F.round(c, 6).alias(c) for c in ("loss", "base_loss", "importance")])

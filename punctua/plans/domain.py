@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from punctua.functions.columns import FLIGHT_TS_FORMAT, SERIES_DATE_FORMAT, minutes_between
 from punctua.operators.quality import Expectation
 from punctua.operators.standardize import StandardizeSpec
-from punctua.sources.ingest import SourceConfig
+from punctua.sources.ingest import Feed, feed
 from punctua.streaming.silver import SilverTable
 
 # --------------------------------------------------------------------------- fixed values
@@ -70,22 +70,22 @@ LINEAGE_DROPS = ["_metadata", "_row_hash"]
 
 
 # --------------------------------------------------------------------------- bronze configs
-def vra_source(landing: str, system: str, bronze: str) -> SourceConfig:
-    return SourceConfig(f"{landing}/vra", f"{system}/checkpoints/vra", f"{bronze}/vra", "csv",
-                        reader_options={"sep": ";", "quote": '"', "encoding": "UTF-8"}, skip_rows=1)
+def vra_source(landing: str, system: str, bronze: str) -> Feed:
+    return feed(f"{landing}/vra", f"{system}/checkpoints/vra", f"{bronze}/vra", "csv",
+                        options={"sep": ";", "quote": '"', "encoding": "UTF-8"}, preamble=1)
 
 
-def bcb_source(landing: str, system: str, bronze: str) -> SourceConfig:
-    return SourceConfig(f"{landing}/bcb", f"{system}/checkpoints/bcb", f"{bronze}/bcb", "json")
+def bcb_source(landing: str, system: str, bronze: str) -> Feed:
+    return feed(f"{landing}/bcb", f"{system}/checkpoints/bcb", f"{bronze}/bcb", "json")
 
 
-def weather_source(landing: str, system: str, bronze: str) -> SourceConfig:
-    return SourceConfig(f"{landing}/open_meteo", f"{system}/checkpoints/open_meteo", f"{bronze}/open_meteo", "json")
+def weather_source(landing: str, system: str, bronze: str) -> Feed:
+    return feed(f"{landing}/open_meteo", f"{system}/checkpoints/open_meteo", f"{bronze}/open_meteo", "json")
 
 
-def airports_source(landing: str, system: str, bronze: str) -> SourceConfig:
-    return SourceConfig(f"{landing}/ourairports", f"{system}/checkpoints/ourairports", f"{bronze}/ourairports",
-                        "csv", reader_options={"sep": ",", "quote": '"'})
+def airports_source(landing: str, system: str, bronze: str) -> Feed:
+    return feed(f"{landing}/ourairports", f"{system}/checkpoints/ourairports", f"{bronze}/ourairports",
+                        "csv", options={"sep": ",", "quote": '"'})
 
 
 # --------------------------------------------------------------------------- silver tables

@@ -12,7 +12,7 @@ from punctua.plans.history_q import _VERSIONS_SQL, SEQ_BUCKET
 from punctua.plans.ingest_q import _scratch
 from punctua.plans.registry import query
 from punctua.session import materialize
-from punctua.sources.ingest import SourceConfig, read_bronze, run_bronze
+from punctua.sources.ingest import feed, read_bronze, run_bronze
 from punctua.streaming.cdc import read_history, run_cdc_stream
 from punctua.streaming.late import read_output, run_split_stream
 from punctua.streaming.silver import backfill_silver, read_silver, run_silver_stream
@@ -44,10 +44,10 @@ def q_bronze_preamble_csv(spark: SparkSession, sf_dir: str):
         F.struct(F.lit(i).alias("place"), F.lit(x).alias("line")) for i, x in frame])))
     (head.unionByName(data).repartition("c_nationkey").sortWithinPartitions("c_nationkey", "place")
      .select("c_nationkey", "line").write.partitionBy("c_nationkey").text(f"{root}/landing/customer"))
-    cfg = SourceConfig(f"{root}/landing/customer", f"{root}/system/customer", f"{root}/bronze/customer", "csv",
-                       path_glob_filter="*.txt", reader_options={"sep": ";"}, skip_rows=1)
+    cfg = feed(f"{root}/landing/customer", f"{root}/system/customer", f"{root}/bronze/customer", "csv",
+                       files="*.txt", options={"sep": ";"}, preamble=1)
     run_bronze(spark, cfg)
-    b = read_bronze(spark, cfg.target_path)
+    b = read_bronze(spark, cfg.places.bronze)
     return b.select(F.col("c_nationkey").alias("nation"), "customer_key", "name", F.col("_rescued_data").alias("rescued"))
 
 

@@ -1,7 +1,7 @@
 """Landing -> bronze: incremental file ingestion with schema evolution,
 rescued data and row lineage, on the open-source file stream source.
 
-One :class:`SourceConfig` describes a feed.  :func:`run_bronze` does, per run:
+One :class:`Feed` describes a feed.  :func:`run_bronze` does, per run:
 
 1. **Schema registry** (``<checkpoint>/_schema/registry/<n>.json``, append-only): before the
    stream starts, the names of *new* files are learnt — CSV: the header line
@@ -54,49 +54,80 @@ PARTITION_SEGMENT = re.compile(r"/([^/=]+)=([^/]*)/")
 
 
 @dataclass(frozen=True)
-class SourceConfig:
-    source_path: str
-    checkpoint_path: str
-    target_path: str
-    file_format: str = "csv"                  # csv | json
-    path_glob_filter: str = "*"
-    schema_evolution_mode: str = "addNewColumns"   # addNewColumns | rescue
-    reader_options: Mapping[str, str] = field(default_factory=dict)
-    skip_rows: int = 0                         # preamble lines before the CSV header
+class Places:
+    """Where a feed's files land (and which count, by name), where its state is kept, and its bronze table."""
+    landing: str
+    system: str
+    bronze: str
+    files: str = "*"
+
+
+@dataclass(frozen=True)
+class Parser:
+    """How a file's lines become fields: ``csv`` (with ``preamble`` lines before the header) or ``json``, one record a line."""
+    kind: str = "csv"
+    options: Mapping[str, str] = field(default_factory=dict)
+    preamble: int = 0
 
     def __post_init__(self) -> None:
-        if self.schema_evolution_mode not in ("addNewColumns", "rescue"):
-            raise ValueError(f"unknown schema_evolution_mode {self.schema_evolution_mode!r}")
+        if self.kind not in ("csv", "json"):
+            raise ValueError(f"unknown kind of file {self.kind!r}")
         if self.opt("multiLine", "false").lower() == "true":
             raise ValueError("multiLine is not supported: the scan reads lines")
+        try:
+            line_end = "\n".encode(self.charset)
+        except LookupError:
+            raise ValueError(f"unknown charset {self.charset!r}") from None
+        if line_end != b"\n":
+            raise ValueError(f"charset {self.charset!r} is not supported: the scan splits lines at single bytes")
+
+    def opt(self, key: str, default: str) -> str:
+        for k, v in self.options.items():
+            if k.lower() == key.lower():
+                return str(v)
+        return default
+
+    @property
+    def charset(self) -> str:
+        """Of headers and rows alike."""
+        return self.opt("encoding", self.opt("charset", "UTF-8"))
 
     @property
-    def preamble(self) -> int:
-        return self.skip_rows or int(self.opt("skipRows", "0"))
+    def skipped(self) -> int:
+        """Lines before the header."""
+        return self.preamble or int(self.opt("skipRows", "0"))
 
     @property
     def has_header(self) -> bool:
-        """CSV files name their columns unless the reader option ``header`` says otherwise."""
+        """CSV files name their columns unless the option ``header`` says otherwise."""
         return self.opt("header", "true").lower() == "true"
 
     @property
     def first_row(self) -> int:
         """Lines before a file's first data row."""
-        return self.preamble + self.has_header if self.file_format == "csv" else 0
+        return self.skipped + self.has_header if self.kind == "csv" else 0
+
+
+@dataclass(frozen=True)
+class Feed:
+    """A source to ingest. Columns that later files bring are added to the table, or, without ``new_columns``, rescued."""
+    places: Places
+    parser: Parser = field(default_factory=Parser)
+    new_columns: bool = True
 
     @property
     def schema_dir(self) -> str:
-        return self.checkpoint_path.rstrip("/") + "/_schema"
+        return self.places.system.rstrip("/") + "/_schema"
 
     @property
     def stream_checkpoint(self) -> str:
-        return self.checkpoint_path.rstrip("/") + "/_checkpoint"
+        return self.places.system.rstrip("/") + "/_checkpoint"
 
-    def opt(self, key: str, default: str) -> str:
-        for k, v in self.reader_options.items():
-            if k.lower() == key.lower():
-                return str(v)
-        return default
+
+def feed(landing: str, system: str, bronze: str, kind: str = "csv", files: str = "*", preamble: int = 0,
+         options: Mapping[str, str] | None = None, new_columns: bool = True) -> Feed:
+    """A :class:`Feed` from its parts."""
+    return Feed(Places(landing, system, bronze, files), Parser(kind, options or {}, preamble), new_columns)
 
 
 # --------------------------------------------------------------------------- registry
@@ -120,7 +151,7 @@ class Registry:
         return json.dumps({"columns": self.columns, "partitions": self.partitions})
 
     @classmethod
-    def load(cls, spark: SparkSession, cfg: SourceConfig) -> Registry:
+    def load(cls, spark: SparkSession, cfg: Feed) -> Registry:
         versions = [n for n in hfs.list_names(spark, cfg.schema_dir + "/registry") if n.endswith(".json")]
         text = hfs.read_text(spark, f"{cfg.schema_dir}/registry/{versions[-1]}") if versions else None
         manifest = cfg.schema_dir + "/files"
@@ -129,7 +160,7 @@ class Registry:
         d = json.loads(text)
         return cls(d["columns"], d["partitions"], manifest)
 
-    def save(self, spark: SparkSession, cfg: SourceConfig) -> None:
+    def save(self, spark: SparkSession, cfg: Feed) -> None:
         # append-only: a new numbered file per change, readers take the highest;
         # a crash never leaves the registry missing or half written
         versions = [n for n in hfs.list_names(spark, cfg.schema_dir + "/registry") if n.endswith(".json")]
@@ -171,53 +202,51 @@ def _add(names: list[str], new: list[str]) -> None:
             names.append(n)
 
 
-def new_files(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> list[str]:
+def new_files(spark: SparkSession, cfg: Feed, reg: Registry) -> list[str]:
     """Listed files not yet in the manifest (``left_anti`` in Spark; only the new paths come back)."""
-    listing = hfs.list_files(spark, cfg.source_path, cfg.path_glob_filter)
+    listing = hfs.list_files(spark, cfg.places.landing, cfg.places.files)
     if not listing:
         return []
     lf = spark.createDataFrame([(f.path,) for f in listing], "hf string")
     return sorted(r["hf"] for r in lf.join(reg.manifest(spark).select("hf"), "hf", "left_anti").collect())
 
 
-def discover(spark: SparkSession, cfg: SourceConfig) -> Registry:
+def discover(spark: SparkSession, cfg: Feed) -> Registry:
     """Update the registry with the files that are new since the last run."""
     reg = Registry.load(spark, cfg)
     new = new_files(spark, cfg, reg)
-    base = hfs.qualify(spark, cfg.source_path).rstrip("/")
+    base = hfs.qualify(spark, cfg.places.landing).rstrip("/")
     for path in new:
         for k, _ in PARTITION_SEGMENT.findall(path[len(base):].rsplit("/", 1)[0] + "/"):
             if k not in reg.partitions:
                 reg.partitions.append(k)
-    evolve = cfg.schema_evolution_mode == "addNewColumns" or not reg.columns
+    evolve = cfg.new_columns or not reg.columns
     entries = []
-    if cfg.file_format == "csv":
-        sep, quote = cfg.opt("sep", ","), cfg.opt("quote", '"')
-        enc = cfg.opt("encoding", "UTF-8")
+    if cfg.parser.kind == "csv":
+        sep, quote = cfg.parser.opt("sep", ","), cfg.parser.opt("quote", '"')
+        enc = cfg.parser.charset
         # only the preamble and one more line of each *new* file are read, several files at a time
         with ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
-            heads = list(pool.map(lambda p: hfs.head_lines(spark, p, cfg.preamble + 1, enc), new))
+            heads = list(pool.map(lambda p: hfs.head_lines(spark, p, cfg.parser.skipped + 1, enc), new))
         for path, lines in zip(new, heads):
-            if len(lines) <= cfg.preamble:
+            if len(lines) <= cfg.parser.skipped:
                 entries.append((path, []))
                 continue
-            raw = _split_csv_line(lines[cfg.preamble].lstrip(BOM), sep, quote)
-            names = [sanitize_name(n) for n in raw] if cfg.has_header else [f"_c{i}" for i in range(len(raw))]
+            raw = _split_csv_line(lines[cfg.parser.skipped].lstrip(BOM), sep, quote)
+            names = [sanitize_name(n) for n in raw] if cfg.parser.has_header else [f"_c{i}" for i in range(len(raw))]
             if len(set(names)) != len(names):
                 raise ValueError(f"column names collide after sanitising in {path}: {raw}")
             entries.append((path, names))
             if evolve:
                 _add(reg.columns, names)
-    elif cfg.file_format == "json":
+    elif cfg.parser.kind == "json":
         if new:
-            inferred = (spark.read.options(**{k: v for k, v in cfg.reader_options.items()})
+            inferred = (spark.read.options(**{k: v for k, v in cfg.parser.options.items()})
                         .option("primitivesAsString", "true").json(new))
             names = [sanitize_name(n) for n in inferred.columns if n != "_corrupt_record"]
             if evolve:
                 _add(reg.columns, names)
             entries = [(path, []) for path in new]
-    else:
-        raise ValueError(f"unsupported format {cfg.file_format}")
     for p in reg.partitions:
         if p in reg.columns:
             reg.columns.remove(p)
@@ -237,10 +266,10 @@ STREAM_OPTIONS = {"maxfilespertrigger", "maxbytespertrigger", "latestfirst", "ma
                   "modifiedafter"}
 
 
-def parser_options(cfg: SourceConfig) -> dict[str, str]:
+def parser_options(cfg: Feed) -> dict[str, str]:
     """Free-form reader options passed through to ``from_csv``/``from_json``."""
-    opts = {k: str(v) for k, v in cfg.reader_options.items() if k.lower() not in SCAN_OPTIONS | STREAM_OPTIONS}
-    if cfg.file_format == "csv":
+    opts = {k: str(v) for k, v in cfg.parser.options.items() if k.lower() not in SCAN_OPTIONS | STREAM_OPTIONS}
+    if cfg.parser.kind == "csv":
         opts.setdefault("sep", ",")
         opts.setdefault("quote", '"')
     return opts
@@ -286,13 +315,13 @@ def file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def _lines(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
+def _lines(spark: SparkSession, cfg: Feed) -> DataFrame:
     r = spark.readStream.format("text").options(
-        **{k: str(v) for k, v in cfg.reader_options.items() if k.lower() in STREAM_OPTIONS})
-    lines = (r.option("pathGlobFilter", cfg.path_glob_filter).option("recursiveFileLookup", "true")
-             .load(cfg.source_path)
+        **{k: str(v) for k, v in cfg.parser.options.items() if k.lower() in STREAM_OPTIONS})
+    lines = (r.option("pathGlobFilter", cfg.places.files).option("recursiveFileLookup", "true")
+             .load(cfg.places.landing)
              .select("value", "_metadata"))
-    return drop_first(lines, cfg.first_row, cfg.opt("encoding", cfg.opt("charset", "UTF-8")))
+    return drop_first(lines, cfg.parser.first_row, cfg.parser.charset)
 
 
 def _partition_cols(reg: Registry) -> dict[str, Column]:
@@ -305,7 +334,7 @@ def _partition_cols(reg: Registry) -> dict[str, Column]:
     return {p: value(p) for p in reg.partitions}
 
 
-def _csv_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFrame:
+def _csv_frame(spark: SparkSession, cfg: Feed, reg: Registry) -> DataFrame:
     """Lines -> registry columns by each file's own header; surplus fields are kept in
     ``_rescued_data``, and of a line with more than SURPLUS of them, or with an open quote, the raw text."""
     headers = reg.manifest(spark)
@@ -320,32 +349,31 @@ def _csv_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFra
     j = j.filter(F.when(F.col("hf").isNull(), unknown_file.cast("boolean")).otherwise(F.lit(True)))
     j = j.filter(F.length("value") > 0)
     # an end mark as a last field tells how many fields a line has
-    marked = F.concat(F.col("value"), F.lit(cfg.opt("sep", ",") + END))
+    marked = F.concat(F.col("value"), F.lit(cfg.parser.opt("sep", ",") + END))
     parsed = j.withColumn("_v", F.from_csv(marked, pos_schema, parser_options(cfg)))
     vals = F.array(*[F.col("_v")[f"c{i}"] for i in range(width)])
     parsed = parsed.withColumn("_all", vals).withColumn("_n", F.coalesce(
         F.array_position("_all", END), F.lit(0)).cast("int") - 1)
     parsed = parsed.withColumn("_vals", F.when(F.col("_n") >= 0, F.slice(F.col("_all"), F.lit(1), F.greatest("_n", F.lit(0))))
                                .otherwise(F.transform("_all", lambda x: F.replace(
-                                   x, F.lit(cfg.opt("sep", ",") + END), F.lit("")))))
+                                   x, F.lit(cfg.parser.opt("sep", ",") + END), F.lit("")))))
     cols = {}
     for name in reg.columns:
         pos = F.array_position(F.col("header"), F.lit(name)).cast("int")
         cols[name] = F.when(pos > 0, F.get(F.col("_vals"), pos - 1))
-    surplus = F.filter(F.slice(F.col("_vals"), F.size("header") + 1, width),
-                       lambda x: x.isNotNull())
+    surplus = F.slice(F.col("_vals"), F.size("header") + 1, width)  # empty fields keep their places
     rescued_values = surplus
-    if cfg.schema_evolution_mode != "addNewColumns":
+    if not cfg.new_columns:
         unknown = F.filter(F.col("header"), lambda h: ~h.isin(*reg.columns)) if reg.columns else F.col("header")
         rescued_values = F.concat(
             F.transform(unknown, lambda h: F.get(F.col("_vals"), F.array_position(F.col("header"), h).cast("int") - 1)),
             surplus)
     rescued = (F.when(F.col("_n") < 0, F.to_json(F.array("value")))
-               .when(F.size(rescued_values) > 0, F.to_json(rescued_values)))
+               .when(F.exists(rescued_values, lambda x: x.isNotNull()), F.to_json(rescued_values)))
     return parsed.select(*[e.alias(n) for n, e in cols.items()], rescued.alias(RESCUED), "_metadata")
 
 
-def _json_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFrame:
+def _json_frame(spark: SparkSession, cfg: Feed, reg: Registry) -> DataFrame:
     lines = _lines(spark, cfg).filter(F.length(F.trim("value")) > 0)
     as_map = F.transform_keys(F.from_json(F.col("value"), "map<string,string>", parser_options(cfg)),
                               lambda k, v: sanitize_expr(k))
@@ -357,9 +385,9 @@ def _json_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry) -> DataFr
     return m.select(*[e.alias(n) for n, e in cols.items()], rescued.alias(RESCUED), "_metadata")
 
 
-def bronze_frame(spark: SparkSession, cfg: SourceConfig, reg: Registry | None = None) -> DataFrame:
+def bronze_frame(spark: SparkSession, cfg: Feed, reg: Registry | None = None) -> DataFrame:
     reg = reg or discover(spark, cfg)
-    df = _csv_frame(spark, cfg, reg) if cfg.file_format == "csv" else _json_frame(spark, cfg, reg)
+    df = _csv_frame(spark, cfg, reg) if cfg.parser.kind == "csv" else _json_frame(spark, cfg, reg)
     df = df.withColumns(_partition_cols(reg))
     data_cols = [c for c in df.columns if c != "_metadata"]
     return with_lineage(df, data_cols)
@@ -373,7 +401,7 @@ def with_lineage(df: DataFrame, data_cols: list[str]) -> DataFrame:
     })
 
 
-def run_bronze(spark: SparkSession, cfg: SourceConfig, wait: bool = True) -> StreamingQuery | None:
+def run_bronze(spark: SparkSession, cfg: Feed, wait: bool = True) -> StreamingQuery | None:
     """Ingest every file not yet ingested, then stop (``availableNow``).
 
     Returns None when nothing has landed yet (no file ever seen)."""
@@ -383,7 +411,7 @@ def run_bronze(spark: SparkSession, cfg: SourceConfig, wait: bool = True) -> Str
     df = bronze_frame(spark, cfg, reg)
     q = (df.writeStream.format("parquet")
          .option("checkpointLocation", cfg.stream_checkpoint)
-         .option("path", cfg.target_path)
+         .option("path", cfg.places.bronze)
          .outputMode("append")
          .trigger(availableNow=True)
          .start())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import write
 from punctua.functions.columns import row_hash
 from punctua.plans.domain import bcb_source, vra_source, weather_source
-from punctua.sources.ingest import SourceConfig, read_bronze, run_bronze
+from punctua.sources.ingest import feed, read_bronze, run_bronze
 from punctua.sources.naming import sanitize_columns, sanitize_name
 
 VRA_HEADER = ("ICAO Empresa Aérea;Número Voo;Código Autorização (DI);Código Tipo Linha;ICAO Aeródromo Origem;"
@@ -102,8 +102,8 @@ def test_json_partitions_and_rescue(spark, tmp):
     assert b.count() == 3
     assert sorted(r["codigo"] for r in b.collect()) == ["1", "1", "433"]
     # fixed-schema mode: an unknown key lands in _rescued_data
-    cfg2 = SourceConfig(cfg.source_path, f"{system}/checkpoints/bcb2", f"{bronze}/bcb2", "json",
-                        schema_evolution_mode="rescue")
+    cfg2 = feed(cfg.places.landing, f"{system}/checkpoints/bcb2", f"{bronze}/bcb2", "json",
+                        new_columns=False)
     run_bronze(spark, cfg2)
     write(f"{landing}/bcb/codigo=1/2024-02-01_2024-02-29.json",
           json.dumps({"codigo": 1, "data": "01/02/2024", "valor": "4.95", "Nota Extra": "rev"}))
@@ -128,19 +128,19 @@ def test_weather_json_lines(spark, tmp):
 def test_csv_with_bom_and_latin1(spark, tmp):
     landing, system, bronze = f"{tmp}/landing", f"{tmp}/system", f"{tmp}/bronze"
     write(f"{landing}/a/f1.csv", "﻿preamble\nCódigo;Nome\n1;São Paulo\n")
-    cfg = SourceConfig(f"{landing}/a", f"{system}/a", f"{bronze}/a", "csv", reader_options={"sep": ";"},
-                       skip_rows=1)
+    cfg = feed(f"{landing}/a", f"{system}/a", f"{bronze}/a", "csv", options={"sep": ";"},
+                       preamble=1)
     run_bronze(spark, cfg)
     assert [tuple(r) for r in read_bronze(spark, f"{bronze}/a").select("código", "nome").collect()] == [("1", "São Paulo")]
     write(f"{landing}/b/f1.csv", "Código;Nome\n2;Maceió\n", encoding="latin-1")
-    cfg = SourceConfig(f"{landing}/b", f"{system}/b", f"{bronze}/b", "csv",
-                       reader_options={"sep": ";", "encoding": "ISO-8859-1"})
+    cfg = feed(f"{landing}/b", f"{system}/b", f"{bronze}/b", "csv",
+                       options={"sep": ";", "encoding": "ISO-8859-1"})
     run_bronze(spark, cfg)
     assert [tuple(r) for r in read_bronze(spark, f"{bronze}/b").select("código", "nome").collect()] == [("2", "Maceió")]
 
 
 def test_empty_landing_is_a_no_op(spark, tmp):
-    cfg = SourceConfig(f"{tmp}/landing/none", f"{tmp}/system/none", f"{tmp}/bronze/none", "csv")
+    cfg = feed(f"{tmp}/landing/none", f"{tmp}/system/none", f"{tmp}/bronze/none", "csv")
     assert run_bronze(spark, cfg) is None
 
 
@@ -148,10 +148,10 @@ def test_file_landing_during_a_run_is_not_lost(spark, tmp):
     from punctua.sources.ingest import bronze_frame, discover
     landing, system, bronze = f"{tmp}/landing", f"{tmp}/system", f"{tmp}/bronze"
     write(f"{landing}/a/f1.csv", "id;name\n1;x\n")
-    cfg = SourceConfig(f"{landing}/a", f"{system}/a", f"{bronze}/a", "csv", reader_options={"sep": ";"})
+    cfg = feed(f"{landing}/a", f"{system}/a", f"{bronze}/a", "csv", options={"sep": ";"})
     reg = discover(spark, cfg)
     write(f"{landing}/a/f2.csv", "id;name\n2;y\n")            # lands after discovery
-    q = (bronze_frame(spark, cfg, reg).writeStream.format("parquet").option("path", cfg.target_path)
+    q = (bronze_frame(spark, cfg, reg).writeStream.format("parquet").option("path", cfg.places.bronze)
          .option("checkpointLocation", cfg.stream_checkpoint).trigger(availableNow=True).start())
     try:
         q.awaitTermination()
@@ -165,7 +165,7 @@ def test_file_landing_during_a_run_is_not_lost(spark, tmp):
 def test_manifest_compaction_keeps_every_file_once(spark, tmp):
     from punctua.sources.ingest import Registry
     landing, system, bronze = f"{tmp}/landing", f"{tmp}/system", f"{tmp}/bronze"
-    cfg = SourceConfig(f"{landing}/a", f"{system}/a", f"{bronze}/a", "csv", reader_options={"sep": ";"})
+    cfg = feed(f"{landing}/a", f"{system}/a", f"{bronze}/a", "csv", options={"sep": ";"})
     for i in range(4):                                   # one manifest file per run
         write(f"{landing}/a/f{i}.csv", f"id;name\n{i};n{i}\n")
         run_bronze(spark, cfg)
@@ -178,44 +178,51 @@ def test_manifest_compaction_keeps_every_file_once(spark, tmp):
     assert sorted(r["id"] for r in read_bronze(spark, f"{bronze}/a").collect()) == ["0", "1", "2", "3", "9"]
 
 
-def _bronze(spark, tmp, name, files, **cfg):
-    for path, text in files.items():
+def _bronze(spark, tmp, name, texts, **cfg):
+    for path, text in texts.items():
         full = f"{tmp}/{name}/in/{path}"
         os.makedirs(os.path.dirname(full), exist_ok=True)
         with open(full, "wb") as f:
             f.write(text if isinstance(text, bytes) else text.encode())
-    config = SourceConfig(f"{tmp}/{name}/in", f"{tmp}/{name}/system", f"{tmp}/{name}/out", **cfg)
+    config = feed(f"{tmp}/{name}/in", f"{tmp}/{name}/system", f"{tmp}/{name}/out", **cfg)
     run_bronze(spark, config)
-    return read_bronze(spark, config.target_path)
+    return read_bronze(spark, config.places.bronze)
 
 
 def test_no_line_is_lost_by_value_or_width(spark, tmp):
     many = ",".join(str(i) for i in range(100))
     text = f"note\na,b\n1,2\nnote\na,b\n3,4,{many}\n5,6,,x\n7,\"open\n"
-    b = _bronze(spark, tmp, "width", {"my file+1%.csv": text, "second.csv": "note\nb,a\n9,8\n"}, skip_rows=1)
+    b = _bronze(spark, tmp, "width", {"my file+1%.csv": text, "second.csv": "note\nb,a\n9,8\n"}, preamble=1)
     rows = {r["a"]: r for r in b.collect()}
     assert {k: r["b"] for k, r in rows.items() if k != "7"} == {"1": "2", "note": None, "a": "b", "3": "4", "5": "6", "8": "9"}
     assert json.loads(rows["3"]["_rescued_data"]) == [f"3,4,{many}"]
-    assert json.loads(rows["5"]["_rescued_data"]) == ["x"]
+    assert json.loads(rows["5"]["_rescued_data"]) == [None, "x"]
     assert json.loads(rows["7"]["_rescued_data"]) == ['7,"open'] and "end" not in rows["7"]["b"]
 
 
 def test_header_false_encoding_and_skip_rows_option(spark, tmp):
     b = _bronze(spark, tmp, "plain", {"x.csv": "olá\n1;é\n2;ç\n".encode("latin-1")},
-                reader_options={"sep": ";", "header": "false", "skipRows": "1", "encoding": "ISO-8859-1"})
+                options={"sep": ";", "header": "false", "skipRows": "1", "encoding": "ISO-8859-1"})
     assert sorted((r["_c0"], r["_c1"]) for r in b.collect()) == [("1", "é"), ("2", "ç")]
 
 
+def test_charset_names_the_header_too(spark, tmp):
+    b = _bronze(spark, tmp, "charset", {"x.csv": "código;nome\n1;São\n2;\n3;a;;k;\n4;b;;\n".encode("latin-1")},
+                options={"sep": ";", "charset": "ISO-8859-1"})
+    rows = {r["código"]: (r["nome"], r["_rescued_data"]) for r in b.collect()}
+    assert rows == {"1": ("São", None), "2": (None, None), "3": ("a", '[null,"k",null]'), "4": ("b", None)}
+
+
 def test_malformed_json_keeps_its_text_and_partitions_are_unescaped(spark, tmp):
     b = _bronze(spark, tmp, "json", {"k=c d/a.json": '{"x": "1"}\nnot json\n', "k=__HIVE_DEFAULT_PARTITION__/b.json": '{"x": "2"}\n'},
-                file_format="json")
+                kind="json")
     assert sorted((r["x"] or "", r["_rescued_data"] or "", r["k"] or "") for r in b.collect()) == [
         ("", "not json", "c d"), ("1", "", "c d"), ("2", "", "")]
 
 
 def test_glob_with_alternatives_and_refused_settings(spark, tmp):
-    b = _bronze(spark, tmp, "glob", {"a.csv": "x\n1\n", "b.txt": "x\n2\n", "c.log": "x\n3\n"}, path_glob_filter="*.{csv,txt}")
+    b = _bronze(spark, tmp, "glob", {"a.csv": "x\n1\n", "b.txt": "x\n2\n", "c.log": "x\n3\n"}, files="*.{csv,txt}")
     assert sorted(r["x"] for r in b.collect()) == ["1", "2"]
-    for bad in ({"schema_evolution_mode": "whatever"}, {"reader_options": {"multiLine": "true"}}):
+    for bad in ({"kind": "xml"}, {"options": {"multiLine": "true"}}, {"options": {"encoding": "UTF-16"}}, {"options": {"charset": "no-such"}}):
         with pytest.raises(ValueError):
-            SourceConfig("a", "b", "c", **bad)
+            feed("a", "b", "c", **bad)

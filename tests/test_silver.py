@@ -23,7 +23,7 @@ def _run(spark, tmp, table=VRA, src=vra_source, ck="silver_vra"):
     landing, system, bronze, silver = f"{tmp}/landing", f"{tmp}/system", f"{tmp}/bronze", f"{tmp}/silver"
     cfg = src(landing, system, bronze)
     run_bronze(spark, cfg)
-    q = run_silver_stream(spark, cfg.target_path, table, silver, f"{system}/checkpoints/{ck}")
+    q = run_silver_stream(spark, cfg.places.bronze, table, silver, f"{system}/checkpoints/{ck}")
     return q, silver
 
 
@@ -157,7 +157,7 @@ def test_airports_latest_snapshot(spark, tmp):
         head, "1,large_airport,New Name,-23.4,-46.4,2459,SA,BR,BR-SP,Guarulhos,yes,SBGR,GRU,SBGR,,,,"]) + "\n")
     cfg = airports_source(landing, system, bronze)
     run_bronze(spark, cfg)
-    run_silver_batch(spark, cfg.target_path, AIRPORTS, silver)
+    run_silver_batch(spark, cfg.places.bronze, AIRPORTS, silver)
     v = {r["id_aeroporto"]: r for r in read_silver(spark, silver, "aeroporto").collect()}
     assert set(v) == {"1", "2"}
     assert v["1"]["nome"] == "New Name" and v["1"]["servico_regular"] is True

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from punctua.operators.calendar import day_period, date_key, dim_date as build_d
     is_holiday, iso_weekday
 from punctua.functions.zones import instants, zone_changes
 from punctua.operators.joins import bounded_broadcast
+from punctua.session import checkpoint_dir, materialize
+from punctua.sources.sheets import read_wide_sheet
 from punctua.plans.flights import FLIGHTS_SQL, RAIN_THRESHOLD, valid_flights
 from punctua.plans.registry import query
 from punctua.tables import Tables
@@ -158,15 +162,42 @@ FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2
 """)
 def q_unpivot_wide(spark: SparkSession, sf_dir: str):
     """A spreadsheet-like wide table (one text column per year, decimal comma) back to long form."""
-    t = Tables(spark, sf_dir)
-    o, c = t.orders, t.customer.select("c_custkey", "c_nationkey")
-    long_src = (o.join(c, o.o_custkey == c.c_custkey)
-                .withColumn("y", F.year("o_orderdate")))
-    wide = (long_src.groupBy(F.col("c_nationkey").alias("nation")).pivot("y")
-            .agg(F.regexp_replace(F.round(F.avg("o_totalprice"), 2).cast("string"), r"\.", ",")))
-    years = wide.columns[1:]  # those that the orders have
-    wide = wide.toDF("nation", *[f"y{y}" for y in years])
-    return unpivot_years(wide, "nation", [f"y{y}" for y in years])
+    wide, years = wide_prices(Tables(spark, sf_dir))
+    text = wide.select("nation", *[F.regexp_replace(F.round(f"y{y}", 2).cast("string"), r"\.", ",").alias(f"y{y}") for y in years])
+    return unpivot_years(text, "nation", [f"y{y}" for y in years])
+
+
+def wide_prices(t: Tables):
+    """nation and one column of mean order prices per year (y1995 ...), with the years from the first order to the last."""
+    o = t.orders.select("o_custkey", "o_totalprice", F.year("o_orderdate").alias("y"))
+    lo, hi = t.orders.agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
+    years = list(range(lo, hi + 1)) if lo else []  # known beforehand, so the join need not run to find them
+    c = t.customer.select("c_custkey", "c_nationkey")
+    wide = (o.join(c, o.o_custkey == c.c_custkey).groupBy(F.col("c_nationkey").alias("nation")).pivot("y", years)
+            .agg(F.avg("o_totalprice")))
+    return wide.toDF("nation", *[f"y{y}" for y in years]), years
+
+
+@query("wide_sheet_prices", sql="""
+SELECT CAST(c_nationkey AS VARCHAR) AS nation, CAST(year(o_orderdate) AS INTEGER) AS year, round(avg(o_totalprice), 2) AS price
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2
+""")
+def q_wide_sheet_prices(spark: SparkSession, sf_dir: str):
+    """The same prices published as two sheets: headers of two rows with a merged cell, amounts as currency text, and the years of
+    the second sheet in the other order; read back by the sheet reader."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/sheets-{uuid.uuid4().hex}"
+    wide, years = wide_prices(Tables(spark, sf_dir))
+    wide = materialize(wide, "wide-prices")
+    for k, (part, order) in enumerate(((F.col("nation") < 13, years), (F.col("nation") >= 13, years[::-1]))):
+        amounts = [F.coalesce(F.concat(F.lit("R$ "), F.translate(F.format_number(F.round(f"y{y}", 2), 2), ",.", ".,")), F.lit("-")) for y in order]
+        head = [(0, ";".join(["Nation", "Mean price"] + [""] * (len(order) - 1))), (1, ";".join(["", *map(str, order)]))]
+        lines = spark.createDataFrame(head, "place int, line string").unionByName(
+            wide.where(part).select(F.lit(2).alias("place"), F.concat_ws(";", F.col("nation").cast("string"), *amounts).alias("line")))
+        # a sheet has a row per nation
+        lines.coalesce(1).sortWithinPartitions("place").select("line").write.text(f"{root}/sheet{k}")
+    long = read_wide_sheet(spark, root, header_rows=2, id_cols=1)
+    return long.where("value IS NOT NULL").select("nation", F.regexp_extract("column", r"(\d{4})$", 1).try_cast("int").alias("year"),
+                                                  F.col("value").alias("price"))
 
 
 def unpivot_years(wide, id_col: str, year_cols):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -172,6 +174,11 @@ def q_merge_views(spark: SparkSession, sf_dir: str):
         return rows.select(F.when(F.col("c_custkey") % every != 0, F.col("c_custkey")).alias("k"), F.lit(version).alias("version"),
                            (F.col("c_acctbal") + add).alias("v"))
 
-    side(c.where("c_nationkey < 15"), 50, "old", 0).createOrReplaceTempView("merge_target")
-    side(c.where("c_nationkey >= 10"), 70, "new", 1).createOrReplaceTempView("merge_source")
-    return upsert_sql(spark, "merge_target", "merge_source", ["k"]).withColumn("v", F.round("v", 6))
+    sides = {f"merge_{name}_{uuid.uuid4().hex}": rows for name, rows in (
+        ("target", side(c.where("c_nationkey < 15"), 50, "old", 0)), ("source", side(c.where("c_nationkey >= 10"), 70, "new", 1)))}
+    for name, rows in sides.items():  # names of their own: the caller's session may have views
+        rows.createTempView(name)
+    out = upsert_sql(spark, *sides, ["k"]).withColumn("v", F.round("v", 6))
+    for name in sides:  # the result is analysed and does not need them any more
+        spark.catalog.dropTempView(name)
+    return out

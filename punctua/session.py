@@ -38,6 +38,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # streaming state on disk: the keys of a watermark window need not fit in executor memory
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        # no read before each write for a row count, and commits upload what changed
+        .config("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .config("spark.driver.memory", os.environ.get("PUNCTUA_DRIVER_MEMORY", "8g"))
     )
     # a cluster's own setting stands unless one is asked for (or see configure_for_inputs)

@@ -40,9 +40,9 @@ from punctua.session import materialize
 
 LEAST = 0.95
 #: Most dimensions of the grid, and most cells that it may have (which bounds what is known of them).
-AXES, CELLS = 3, 4096
+AXES, CELLS = 2, 4096
 #: Vectors in a tile, about; vectors in a run; dimensions of a run's box; dimensions accumulated first.
-TILE, STEP, BOX, CHUNK = 4096, 512, 16, 16
+TILE, STEP, BOX, CHUNK = 8192, 512, 16, 16
 #: Rounding allowance of bounds on cosines.
 SLACK = 1e-9
 

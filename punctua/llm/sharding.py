@@ -59,5 +59,5 @@ def op5_sharding(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFram
     rows = assign(rows, ["doc_id"], {s: 1.0 for s in range(shards + 1)}, "grown_shard")
     n = docs.count()
     buckets = max(1, -(-n // (shards * ROWS_PER_BUCKET)))
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(buckets))
     return slots(rows, "shard", bucket, [F.col("doc_id"), F.col("text_crc32"), F.col("size")], "slot")

@@ -174,8 +174,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
     order = [F.xxhash64("label_id"), F.col("label_id")]
     chosen = (known.where("bad").orderBy(*order).limit(sample)
               .unionByName(known.where("not bad").orderBy(*order).limit(sample)))
-    rows = (counted(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")))
-            .select("bad", *[c.alias(n) for n, c in ratios().items()]).limit(4 * sample).collect())
+    counts = counted(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")))
+    # of rows that repeat an id always the same one, so a row per chosen id at most
+    one = F.min(F.struct(F.xxhash64("text").alias("of"), *[c.alias(n) for n, c in ratios().items()]))
+    rows = counts.groupBy("label_id", "bad").agg(one.alias("x")).select("bad", "x.*").collect()
     if not rows:
         return []
     x = np.array([[r[n] for n in RATIOS] for r in rows], float)

@@ -16,7 +16,9 @@ columns beside ``doc_id`` and ``text`` are ignored. Offsets are code points, the
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -145,10 +147,14 @@ def scan(docs: DataFrame) -> DataFrame:
                 for a in range(0, len(raw), 1 << 20):
                     seen += np.bincount(raw[a:a + (1 << 20)], minlength=256)
                 base = base_spans(text)
+                # of the base spans that begin before a token's end, the last end says whether one touches it
+                starts = sorted((a, b) for a, b, _ in base)
+                last = list(itertools.accumulate((b for _, b in starts), max))
                 tokens = []
                 for m in TOKEN.finditer(text):
                     s, e = m.span()
-                    if not any(s < b and a < e for a, b, _ in base):
+                    before = bisect.bisect_left(starts, (e,))
+                    if not before or last[before - 1] <= s:
                         code, x2, p = battery(m[0])
                         tokens.append({"s": s, "e": e, "n": max(LEAST, len(m[0].rstrip("="))), "code": code, "x2": x2, "p": p})
                 digest = hashlib.sha256(",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in base).encode()).hexdigest()

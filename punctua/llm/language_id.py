@@ -1,8 +1,8 @@
 """Language identification by a bidirectional gated recurrent network over bytes, trained and run in numpy.
 
-A text's UTF-8 bytes are cut into segments of FRAMES x 4 bytes. One gated recurrent layer reads a segment forwards and one
-backwards, four bytes at a step; from both states every byte position gets a probability for each language. A
-document's probabilities are the mean over all its positions. Training is back-propagation through time with Adam on
+A text's UTF-8 bytes are cut into segments of SEGMENT bytes. One gated recurrent layer reads a segment forwards and one
+backwards, a byte at a step; from both states every byte position gets a probability for each language. (A network may also
+take ``stride`` bytes at a step, and then labels them from one state; the query does not.) A document's probabilities are the mean over all its positions. Training is back-propagation through time with Adam on
 the driver, over a bounded sample: at most PER_LANG labelled documents of each language (smallest hashes of their
 ids) and SLICES slices of SLICE characters of each, spread over the whole text. Prediction reads every byte of every
 text, inside Spark tasks.
@@ -26,34 +26,35 @@ from punctua.llm.catalog import query
 from punctua.llm.common import read, steps
 
 PER_LANG, SLICES, SLICE = 150, 6, 160
-FRAMES, HIDDEN, STEPS, BATCH = 32, 8, 300, 96
-WIDTH = 4 * FRAMES
+HIDDEN, STEPS, BATCH = 8, 300, 96
+#: Bytes that the network reads at a step; bytes of a segment in training and in prediction.
+STRIDE, WIDTH, SEGMENT = 1, 128, 512
 PAD = 0x20
 
 
 class Network:
-    """Parameters by name: e (2, 4, 256, 3h) input weights of each byte of a frame, u (2, h, 3h), bias (2, 3h), w, v.
+    """Parameters by name: e (2, stride, 256, 3h) input weights of each byte of a step, u (2, h, 3h), bias (2, 3h), w, v.
 
     The three blocks of 3h are the update gate, the reset gate and the candidate.
     """
 
-    def __init__(self, classes: int, hidden: int = HIDDEN, seed: int = 7):
+    def __init__(self, classes: int, hidden: int = HIDDEN, seed: int = 7, stride: int = STRIDE):
         r, h = np.random.default_rng(seed), hidden
-        self.h, self.classes = h, classes
-        self.p = {"e": r.normal(0, 0.1, (2, 4, 256, 3 * h)), "u": r.normal(0, 0.3, (2, h, 3 * h)), "bias": np.zeros((2, 3 * h)),
-                  "w": r.normal(0, 0.3, (2 * h, 4 * classes)), "v": np.zeros(4 * classes)}
+        self.h, self.classes, self.stride = h, classes, stride
+        self.p = {"e": r.normal(0, 0.1, (2, stride, 256, 3 * h)), "u": r.normal(0, 0.3, (2, h, 3 * h)), "bias": np.zeros((2, 3 * h)),
+                  "w": r.normal(0, 0.3, (2 * h, stride * classes)), "v": np.zeros(stride * classes)}
         self.p = {k: x.astype(np.float32) for k, x in self.p.items()}
 
     def loss(self, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross-entropy over the masked byte positions of segments ``x`` (n, WIDTH), and its gradient."""
-        n, h, p = len(x), self.h, self.p
-        frames = x.reshape(n, -1, 4)
+        """Mean cross-entropy over the masked byte positions of segments ``x`` (n, width), and its gradient."""
+        n, h, p, size = len(x), self.h, self.p, self.stride
+        frames = x.reshape(n, -1, size)
         t_all = frames.shape[1]
         states, caches = np.zeros((t_all, n, 2 * h), np.float32), ([], [])
         for d in range(2):
             s = np.zeros((n, h), np.float32)
             for t in range(t_all) if d == 0 else range(t_all - 1, -1, -1):
-                a = p["bias"][d] + sum(p["e"][d, k][frames[:, t, k]] for k in range(4))
+                a = p["bias"][d] + sum(p["e"][d, k][frames[:, t, k]] for k in range(size))
                 b = s @ p["u"][d]
                 gates = 1 / (1 + np.exp(-(a[:, :2 * h] + b[:, :2 * h])))
                 z, r = gates[:, :h], gates[:, h:]
@@ -61,15 +62,15 @@ class Network:
                 caches[d].append((t, s, z, r, c, b[:, 2 * h:]))
                 s = s + z * (c - s)
                 states[t, :, d * h:(d + 1) * h] = s
-        logits = (states @ p["w"] + p["v"]).reshape(t_all, n, 4, self.classes)
+        logits = (states @ p["w"] + p["v"]).reshape(t_all, n, size, self.classes)
         logits -= logits.max(-1, keepdims=True)
         q = np.exp(logits)
         q /= q.sum(-1, keepdims=True)
-        m = mask.reshape(n, t_all, 4).transpose(1, 0, 2)[..., None] / max(mask.sum(), 1)
-        right = np.take_along_axis(q, np.broadcast_to(y[None, :, None, None], (t_all, n, 4, 1)), -1)
+        m = mask.reshape(n, t_all, size).transpose(1, 0, 2)[..., None] / max(mask.sum(), 1)
+        right = np.take_along_axis(q, np.broadcast_to(y[None, :, None, None], (t_all, n, size, 1)), -1)
         loss = float(-(np.log(right + 1e-9) * m).sum())
         dq = q * m
-        np.put_along_axis(dq, np.broadcast_to(y[None, :, None, None], (t_all, n, 4, 1)), (right - 1) * m, -1)
+        np.put_along_axis(dq, np.broadcast_to(y[None, :, None, None], (t_all, n, size, 1)), (right - 1) * m, -1)
         dq = dq.reshape(t_all, n, -1).astype(np.float32)
         g = {k: np.zeros_like(v) for k, v in p.items()}
         g["w"] = np.einsum("tni,tnj->ij", states, dq, optimize=True)
@@ -86,7 +87,7 @@ class Network:
                 carry = ds_t * (1 - z) + db @ p["u"][d].T
             g["bias"][d] = da_all.sum((0, 1))
             flat = da_all.transpose(1, 0, 2).reshape(-1, 3 * h)
-            for k in range(4):
+            for k in range(size):
                 np.add.at(g["e"][d, k], frames[:, :, k].ravel(), flat)
         return loss, g
 
@@ -108,24 +109,23 @@ class Network:
         return losses
 
     def tables(self) -> np.ndarray:
-        """Input weights of byte pairs: (direction, first or second pair of a frame, pair, 3h)."""
-        e = self.p["e"]
-        pair = e[:, 0::2, None, :, :] + e[:, 1::2, :, None, :]  # index: second byte, first byte (little-endian pair)
-        pair = pair.reshape(2, 2, 65536, -1).copy()
-        pair[:, 0] += self.p["bias"][:, None]
-        return pair
+        """Input weights with the bias: (direction, byte of a step, byte value, 3h)."""
+        e = self.p["e"].copy()
+        e[:, 0] += self.p["bias"][:, None]
+        return e
 
     def positions(self, x: np.ndarray, tables: np.ndarray) -> np.ndarray:
-        """Probabilities (class, segment, byte) of segments ``x`` (n, WIDTH) of bytes."""
-        n, h, c = len(x), self.h, self.classes
-        pairs = np.ascontiguousarray(x).view("<u2").reshape(n, -1, 2).transpose(1, 2, 0).astype(np.intp)
-        t_all = len(pairs)
+        """Probabilities (class, segment, byte) of segments ``x`` (n, width) of bytes."""
+        n, h, c, size = len(x), self.h, self.classes, self.stride
+        values = x.reshape(n, -1, size).transpose(1, 2, 0).astype(np.intp)
+        t_all = len(values)
         states = np.empty((2 * h, t_all, n), np.float32)
         for d in range(2):
             s, u = np.zeros((n, h), np.float32), self.p["u"][d]
             for t in range(t_all) if d == 0 else range(t_all - 1, -1, -1):
-                a = tables[d, 0].take(pairs[t, 0], axis=0)
-                a += tables[d, 1].take(pairs[t, 1], axis=0)
+                a = tables[d, 0].take(values[t, 0], axis=0)
+                for k in range(1, size):
+                    a += tables[d, k].take(values[t, k], axis=0)
                 b = s @ u
                 gates = a[:, :2 * h] + b[:, :2 * h]
                 gates *= 0.5  # a logistic function is a shifted hyperbolic tangent
@@ -140,21 +140,21 @@ class Network:
                 s = s + k
                 states[d * h:(d + 1) * h, t] = s.T
         logits = self.p["w"].T @ states.reshape(2 * h, -1) + self.p["v"][:, None]
-        q = np.exp(np.clip(logits, -40, 40)).reshape(4, c, t_all, n)
+        q = np.exp(np.clip(logits, -40, 40)).reshape(size, c, t_all, n)
         q /= q.sum(1, keepdims=True)
-        return q.transpose(1, 3, 2, 0).reshape(c, n, t_all * 4)
+        return q.transpose(1, 3, 2, 0).reshape(c, n, t_all * size)
 
 
-def cut(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Segments (n, WIDTH) of texts, padded with spaces; the text of each, and the bytes in it."""
+def cut(data: np.ndarray, offs: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segments (n, width) of texts, padded with spaces; the text of each, and the bytes in it."""
     sizes = np.diff(offs)
-    count = -(-sizes // WIDTH)
+    count = -(-sizes // width)
     text = np.repeat(np.arange(len(sizes)), count)
     k = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    begin = offs[text] + k * WIDTH
-    length = np.minimum(WIDTH, offs[text + 1] - begin) if len(text) else begin
-    at = begin[:, None] + np.arange(WIDTH)
-    inside = np.arange(WIDTH) < length[:, None]
+    begin = offs[text] + k * width
+    length = np.minimum(width, offs[text + 1] - begin) if len(text) else begin
+    at = begin[:, None] + np.arange(width)
+    inside = np.arange(width) < length[:, None]
     x = np.where(inside, data[np.minimum(at, max(len(data) - 1, 0))] if len(data) else np.uint8(PAD), np.uint8(PAD))
     return x.astype(np.uint8), text, length
 
@@ -163,7 +163,7 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def fit(docs: DataFrame, rounds: int = STEPS) -> tuple[list[str], Network] | None:
+def fit(docs: DataFrame, rounds: int = STEPS, stride: int = STRIDE) -> tuple[list[str], Network] | None:
     """Languages and network learned from the sample of documents that are not held out."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.col("doc_id")))
@@ -173,7 +173,8 @@ def fit(docs: DataFrame, rounds: int = STEPS) -> tuple[list[str], Network] | Non
     slices = F.transform(F.sequence(F.lit(0), F.lit(SLICES - 1)), lambda i: F.substring(
         F.col("text"), (F.lit(1) + F.floor(n * i / SLICES)).cast("int"), F.lit(SLICE)))
     rows = (known.join(F.broadcast(ids), F.col("doc_id") == F.col("s_id"))  # PER_LANG ids of each language at most
-            .select("doc_id", "lang", slices.alias("parts")).dropDuplicates(["doc_id", "lang"]).collect())
+            .groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text").alias("of"), slices.alias("parts"))).alias("s"))
+            .select("doc_id", "lang", "s.parts").collect())  # of rows that repeat an id and language always the same one
     rows.sort(key=lambda r: (r["lang"], r["doc_id"]))
     langs = sorted({r["lang"] for r in rows})
     parts = [(langs.index(r["lang"]), s.encode()) for r in rows for s in dict.fromkeys(r["parts"]) if s]
@@ -182,7 +183,7 @@ def fit(docs: DataFrame, rounds: int = STEPS) -> tuple[list[str], Network] | Non
     raw = [b for _, b in parts]
     x, text, length = cut(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
     y = np.array([k for k, _ in parts])[text]
-    net = Network(len(langs))
+    net = Network(len(langs), stride=stride)
     net.train(x, y, np.arange(WIDTH) < length[:, None], rounds)
     return langs, net
 
@@ -202,10 +203,10 @@ def predict(docs: DataFrame, model: tuple[list[str], Network] | None) -> DataFra
                 ascii_letter = ((data | 0x20) >= 0x61) & ((data | 0x20) <= 0x7A)
                 letters = np.diff(np.r_[0, np.cumsum(ascii_letter)][offs])
                 if net is not None:
-                    x, text, length = cut(data, offs)
+                    x, text, length = cut(data, offs, SEGMENT)
                     for at in range(0, len(x), 1024):
                         q = net.positions(x[at:at + 1024], tables)
-                        q *= np.arange(WIDTH) < length[at:at + 1024, None]
+                        q *= np.arange(SEGMENT) < length[at:at + 1024, None]
                         sums = q.sum(2, dtype=np.float64)
                         for c in range(len(langs)):
                             total[:, c] += np.bincount(text[at:at + 1024], sums[c], b - a)

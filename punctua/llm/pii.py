@@ -8,7 +8,8 @@ counts expectation-maximisation estimates each labeler's reliability per kind, a
 trained on the resulting posteriors. It becomes a Spark expression, and candidates that it accepts and that touch no
 base span are added. The driver sees at most 4 x 3^5 x 2 counts.
 
-Positions are code points: the pieces between matches (``split``) and the matches give every start.
+Positions are code points: the pieces between matches (``split``) and the matches give every start, by a scan of their
+lengths. Words before a span are looked for back to the match before it. Work grows as n log n with the matches of a text.
 
 Defined cases: a null text is empty; without candidates nothing is added; repeated rows get the same result each; an
 empty table gives no rows; columns beside ``doc_id`` and ``text`` are ignored.
@@ -17,6 +18,7 @@ empty table gives no rows; columns beside ``doc_id`` and ``text`` are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,20 +60,64 @@ CONTEXT = 30
 BELIEF = 20
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once: inside a lambda an expression would be again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def scanned(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """``values`` joined with all before them: in round k with what ends 2^k places earlier, so in n log n steps."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def step(acc: Column, k: Column) -> Column:
+        back = F.pow(F.lit(2), k).cast("int")
+        return F.transform(acc, lambda x, i: F.when(i >= back, join(x, F.get(acc, i - back))).otherwise(x))
+
+    return F.aggregate(rounds, values, step)
+
+
 def located(text: Column, pattern: str) -> Column:
-    """Matches of ``pattern``: array of (s, e, m), code points, end exclusive."""
-    kind = "array<struct<s:int,e:int,m:string>>"
-    found = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("m"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    """Matches of ``pattern``: array of (s, e, m, l, r), code points, end exclusive; l is what stands before, back to the
+    match before at most, r the character behind. Linear in the text, n log n in the matches."""
+    kind = "array<struct<s:int,e:int,m:string,l:string,r:string>>"
+
+    def spans(x: Column) -> Column:
+        ends = scanned(F.transform(x["m"], lambda m, i: F.length(F.get(x["gap"], i)) + F.length(m)), lambda a, b: a + b)
+
+        def span(m: Column, i: Column, ends: Column) -> Column:
+            e = F.get(ends, i)
+            left = F.concat(F.coalesce(F.get(x["m"], i - 1), F.lit("")), F.get(x["gap"], i))
+            right = F.concat(F.get(x["gap"], i + 1), F.coalesce(F.get(x["m"], i + 1), F.lit("")))
+            return F.struct((e - F.length(m)).alias("s"), e.alias("e"), m.alias("m"),
+                            F.substring(left, -CONTEXT, CONTEXT).alias("l"), F.substring(right, 1, 1).alias("r"))
+
+        return let(ends, lambda ends: F.transform(x["m"], lambda m, i: span(m, i, ends)))
+
+    found = F.struct(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("m"))
+    return F.when(F.regexp_like(text, F.lit(pattern)), let(found, spans)).otherwise(F.array().cast(kind))
+
+
+def apart(candidates: Column, spans: Column) -> Column:
+    """The ``candidates`` that touch none of the ``spans``: of those that begin before a candidate's end, found by halving, the
+    last end decides."""
+    def against(x: Column) -> Column:
+        def before(e: Column) -> Column:
+            """How many spans begin before ``e``."""
+            def halve(low: Column, k: Column) -> Column:
+                step = F.pow(F.lit(2), F.lit(30) - k).cast("int")
+                fits = (step <= F.size(x["s"]) - low) & (F.get(x["s"], low + step - 1) < e)
+                return F.when(fits, low + step).otherwise(low)
+
+            return F.aggregate(F.sequence(F.lit(0), F.lit(30)), F.lit(0), halve)
+
+        return F.filter(candidates, lambda c: F.coalesce(F.get(x["e"], before(c["e"]) - 1) <= c["s"], F.lit(True)))
 
-    def add(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["gap"])
-        e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))).alias("out"))
+    def ordered(b: Column) -> Column:
+        return F.struct(F.transform(b, lambda s: s["s"]).alias("s"),
+                        scanned(F.transform(b, lambda s: s["e"]), lambda p, q: F.greatest(p, q)).alias("e"))
 
-    # the piece after the last match has no match beside it
-    folded = F.aggregate(F.filter(found, lambda x: x["m"].isNotNull()), start, add, lambda acc: acc["out"])
-    return F.when(F.regexp_like(text, F.lit(pattern)), folded).otherwise(F.array().cast(kind))
+    both = (F.size(candidates) > 0) & (F.size(spans) > 0)
+    return F.when(both, let(F.array_sort(spans), lambda b: let(ordered(b), against))).otherwise(candidates)
 
 
 def digits(m: Column) -> Column:
@@ -99,10 +145,9 @@ def valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def votes(kind: str, x: Column, text: Column, base: bool) -> Column:
+def votes(kind: str, x: Column, base: bool) -> Column:
     """The labelers' votes on span ``x`` (1, 0, -1), with its place and whether it is a base span."""
-    before = F.substring(text, F.greatest(x["s"] - CONTEXT + 1, F.lit(1)), F.least(x["s"], F.lit(CONTEXT)))
-    d, m = digits(x["m"]), x["m"]
+    before, d, m = x["l"], digits(x["m"]), x["m"]
     form = {"email": F.when(F.length(m) <= 80, 1).otherwise(-1), "ip": F.when(F.regexp_like(m, F.lit("[:.](?:0+)?[1-9a-fA-F]")), 1).otherwise(-1),
             "card": F.when(luhn(d), 1).otherwise(-1), "phone": F.when(F.length(d).between(10, 13), 1).otherwise(0)}[kind]
     gazetteer = {"email": F.when(F.regexp_like(m, F.lit(ENDINGS)), 1).otherwise(0),
@@ -110,7 +155,7 @@ def votes(kind: str, x: Column, text: Column, base: bool) -> Column:
                  "card": F.when(F.regexp_like(d, F.lit(ISSUERS)), 1).otherwise(-1),
                  "phone": F.when(F.regexp_like(d, F.lit("^[01]{3}")), -1).otherwise(1)}[kind]
     context = F.when(F.regexp_like(before, F.lit(BEFORE[kind])), 1).when(F.regexp_like(before, F.lit(AGAINST)), -1).otherwise(0)
-    edge = F.concat(F.substring(text, x["s"], F.when(x["s"] > 0, 1).otherwise(0)), F.lit("|"), F.substring(text, x["e"] + 1, F.lit(1)))
+    edge = F.concat(F.substring(before, -1, 1), F.lit("|"), x["r"])
     edges = F.when(F.regexp_like(edge, F.lit(r"[A-Za-z0-9_/=#]")), -1).otherwise(1)
     cols = (F.lit(1 if base else 0), form, gazetteer, context, edges)
     return F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(KINDS.index(kind)).alias("k"), F.lit(base).alias("base"),
@@ -129,14 +174,13 @@ def candidates(docs: DataFrame) -> DataFrame:
         return lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(number).alias("k"))
 
     def voter(kind: str, base: bool):
-        return lambda x: votes(kind, x, t, base)
+        return lambda x: votes(kind, x, base)
 
     rows = rows.withColumns({f"b_{k}": located(t, p) for k, p in BASE.items()} | {f"l_{k}": located(t, p) for k, p in LOOSE.items()})
     rows = rows.withColumns({f"b_{k}": F.filter(f"b_{k}", checked(k)) for k in KINDS})
     rows = rows.withColumn("base", F.flatten(F.array(*[F.transform(f"b_{k}", placed(i)) for i, k in enumerate(KINDS)])))
     voted = [F.transform(f"b_{k}", voter(k, True)) for k in KINDS]
-    voted += [F.transform(F.filter(f"l_{k}", lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))),
-                          voter(k, False)) for k in KINDS]
+    voted += [F.transform(apart(F.col(f"l_{k}"), F.col("base")), voter(k, False)) for k in KINDS]
     return rows.select("doc_id", "base", F.flatten(F.array(*voted)).alias("cands"))
 
 
@@ -220,7 +264,7 @@ def equal_to(value: int):
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """doc_id, counts and digest of the base spans, all spans, and how many were added."""
+    """doc_id, counts and digest of the base spans, all spans, how many were added and how many there are."""
     found = materialize(candidates(docs), "pii-candidates")
     weights = train(found)
 
@@ -232,7 +276,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
     numbers = F.transform("base", lambda x: x["k"])
     counts = [F.size(F.filter(numbers, equal_to(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
-                        joined(F.concat(base, added)).alias("spans"), F.size(added).cast("long").alias("n_added"))
+                        joined(F.concat(base, added)).alias("spans"), F.size(added).cast("long").alias("n_added"),
+                        (F.size("base") + F.size(added)).cast("long").alias("n_spans"))
 
 
 @query("op4_pii")

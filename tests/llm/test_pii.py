@@ -1,8 +1,11 @@
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 from edge import EDGE, SF_SMALL, folder
+from pyspark.sql import functions as F
 
 from punctua.llm import pii as P
 from punctua.llm.common import read
@@ -79,3 +82,31 @@ def test_expectation_maximisation_finds_the_good_labelers():
     assert abs(tables[0][1][0] - 0.9) < 0.03 and abs(tables[3][1][0] - 0.5) < 0.05
     w = P.classifier(dict(counts), {v: P.posterior(v, prior, tables) for v in counts})
     assert w[1] > w[2] > abs(w[4])
+
+
+def test_scan_and_overlaps(spark):
+    rng = random.Random(6)
+    rows = []
+    for k in range(60):
+        spans = [(rng.randint(0, 90), rng.randint(1, 9)) for _ in range(rng.choice([0, 1, 2, 7, 16, 33]))]
+        cands = sorted((rng.randint(0, 90), rng.randint(1, 9)) for _ in range(rng.choice([0, 1, 12])))
+        rows.append((k, [(s, s + n) for s, n in spans], [(s, s + n) for s, n in cands], [rng.randint(0, 9) for _ in spans]))
+    kind = "array<struct<s:int,e:int>>"
+    df = spark.createDataFrame(rows, f"k int, b {kind}, c {kind}, x array<int>")
+    got = df.select("k", P.apart(F.col("c"), F.col("b")).alias("c"), P.scanned(F.col("x"), lambda a, b: a + b).alias("x")).collect()
+    for r in got:
+        _, b, c, x = rows[r["k"]]
+        assert [tuple(s) for s in r["c"]] == [s for s in c if not any(t[0] < s[1] and s[0] < t[1] for t in b)]
+        assert r["x"] == [sum(x[:i + 1]) for i in range(len(x))]
+
+
+def test_many_matches_in_one_text(spark, tmp):
+    """200,000 addresses of one text, and loose candidates among base spans."""
+    ips = " ".join(f"{i % 256}.{i // 256 % 256}.7.{i % 199}" for i in range(200_000))
+    mixed = " ".join(f"10.0.{i % 200}.1 call 212-555-{i % 10000:04d}" for i in range(20_000))
+    began = time.time()
+    got = {r["doc_id"]: r for r in P.op4_pii(spark, folder(spark, tmp, [(1, ips), (2, mixed)])).collect()}
+    assert time.time() - began < 90
+    assert got[1]["n_ip"] == 200_000 and got[1]["n_spans"] >= 200_000
+    assert got[2]["n_ip"] == 20_000
+    check([(2, mixed)], [got[2]])

@@ -180,13 +180,14 @@ def repeats(rows: DataFrame, width: int = WIDTH, prefix: int = PREFIX) -> DataFr
     """r_id, r_text, spans: runs of removed windows (at: first window's word, cnt: windows) of each document."""
     spark = rows.sparkSession
     found = materialize(segments(rows, width, prefix), "segments")
-    stat = found.groupBy(F.col("key").alias("s_key")).agg(
+    # tables of their own: joined on the spot, a key with a large share of the segments could not be split over tasks
+    stat = materialize(found.groupBy(F.col("key").alias("s_key")).agg(
         F.min("k_id").alias("lo"), F.max("k_id").alias("hi"), F.min("seg").alias("a"), F.max("seg").alias("b")).where(
-        "lo < hi").select("s_key", "lo", (F.col("a") != F.col("b")).alias("multi"))
+        "lo < hi").select("s_key", "lo", (F.col("a") != F.col("b")).alias("multi")), "repeated-keys")
     shared = materialize(found.join(stat, F.col("key") == F.col("s_key")).drop("s_key"), "repeated-segments")
-    several = (shared.where("multi").groupBy("key", "seg")
-               .agg(F.min(F.struct("k_id", "k_text", "at")).alias("f"), F.max("cnt").alias("cnt")))
-    sizes = several.groupBy(F.col("key").alias("n_key")).agg((F.count(F.lit(1)) > GROUP).alias("big"))
+    several = materialize(shared.where("multi").groupBy("key", "seg")
+                          .agg(F.min(F.struct("k_id", "k_text", "at")).alias("f"), F.max("cnt").alias("cnt")), "differing-segments")
+    sizes = materialize(several.groupBy(F.col("key").alias("n_key")).agg((F.count(F.lit(1)) > GROUP).alias("big")), "group-sizes")
     want = (several.join(sizes, F.col("key") == F.col("n_key"))
             .groupBy(F.col("f.k_id").alias("w_id"), F.col("f.k_text").alias("w_text"))
             .agg(F.collect_list(F.struct("key", "seg", F.col("f.at").alias("at"), "cnt", "big")).alias("want")))

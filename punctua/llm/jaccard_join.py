@@ -9,8 +9,10 @@ symmetric difference, and by the pigeonhole principle linked sets agree in a par
 
 Buckets are not paired up: each member is compared with the bucket's smallest id, and after components are formed only
 members that are still in different components are, in blocks of bounded size. A second sketch of one parity bit per
-position rules out pairs whose Hamming distance is too large before they become rows; the others are verified on their
-whole shingle sets (64-bit hashes).
+position rules out pairs whose Hamming distance is too large. The others are verified on their whole shingle sets (64-bit
+hashes): a star as a group of its own, with its centre's set held once, and what is left of a bucket inside its blocks,
+each pair in the smallest of the buckets that both are left in. A block sends back links that span its components, so
+neither candidates nor links of a group become a row per pair.
 
 Parts without shingles say little: with m = D + 1 + slack parts, linked sets agree in slack + 1 parts, so a set
 with at most ``slack`` empty parts need not use them, and one with more uses them too.
@@ -24,11 +26,11 @@ empty table gives no rows; other columns are ignored by the query and kept by :f
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from punctua.llm.catalog import query
@@ -37,10 +39,15 @@ from punctua.llm.components import components
 from punctua.session import materialize
 
 SHINGLE, PERCENT = 4, 85
-#: Positions of the second sketch, one parity bit each.
-BITS = 1024
-#: Most members of a bucket that are compared with each other at once.
-BLOCK = 2048
+#: Positions of the second sketch, one parity bit each: a power of two, BITS at least and BITS_PER_SHINGLE for each shingle, so
+#: that sets of any size that differ in too much differ in many positions. A longer sketch folds to a shorter one.
+BITS, BITS_PER_SHINGLE = 1024, 1.5
+#: Most members of a bucket, and about the most shingles of theirs, that are one side of a comparison of blocks.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+#: Most ids that are broadcast to pick out their texts (16 bytes each, so 8 MB).
+BROADCAST_IDS = 500_000
+#: Members of a star that are verified against its centre in one group.
+STAR = 2048
 #: Sets that a task remembers so that copies in it give their sketch once.
 SEEN = 1 << 19
 #: Buckets that have FREQUENT members among one in ONE_IN rows are met by aggregation, HOT_KEYS of them at most; the rest
@@ -48,6 +55,10 @@ SEEN = 1 << 19
 ONE_IN, FREQUENT, HOT_KEYS = 64, 32, 10_000
 
 
+#: A bucket's key has its band in the lowest bits; all bands from this one on have its number.
+LAST_BAND = 255
+
+
 class Bands:
     """Size bands: a set in band k links with sets of at least its size only in bands k and k + 1."""
 
@@ -69,6 +80,12 @@ class Bands:
             self.parts.append(most + 1 + slack)
             self.slack.append(slack)
 
+    def largest(self) -> list[int]:
+        """By band number, up to LAST_BAND: the largest set in a bucket of that band."""
+        while len(self.first) < LAST_BAND + 3:
+            self.upto(self.first[-1])
+        return [min(self.first[k + 2] - 1, 1 << 40) for k in range(LAST_BAND + 1)]
+
 
 def shingle_sets(w: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of the distinct shingles of each text, sorted by text and hash."""
@@ -96,6 +113,15 @@ def per_text(doc: np.ndarray, values: np.ndarray, n: int, how=np.bitwise_xor) ->
     return out
 
 
+def folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches of ``size`` bytes or more as a matrix of 64-bit numbers, longer ones folded: a position stands for all that are
+    equal to it modulo the shorter length."""
+    out = np.zeros((len(sketches), size // 8), np.uint64)
+    for i, b in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, size // 8), axis=0)
+    return out
+
+
 def sets(rows: DataFrame, shingle: int) -> DataFrame:
     """k_id, k_text, n (size of the shingle set), sa and sb (two hashes of the set), bits (parity sketch)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,14 +129,16 @@ def sets(rows: DataFrame, shingle: int) -> DataFrame:
             ids, texts = batch.column("k_id"), batch.column("k_text")
             for a, b, data, offs in steps(batch.column("text"), lower=True):
                 doc, h = shingle_sets(Words(data, offs, SPACES), shingle)
-                n = b - a
-                sketch = np.zeros((n, BITS), np.uint8)
-                np.add.at(sketch, (doc, (mix(h) % np.uint64(BITS)).astype(np.int64)), 1)  # counts wrap at 256: parity stays
-                bits = np.packbits(sketch & 1, axis=1)
+                n, size = b - a, np.bincount(doc, minlength=b - a)
+                wide = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(1, BITS_PER_SHINGLE * size))).astype(np.int64))
+                ends = np.cumsum(wide)
+                place = (ends - wide)[doc] + (mix(h) & (wide[doc] - 1).astype(np.uint64)).astype(np.int64)
+                bits = np.packbits(np.bincount(place, minlength=ends[-1]) & 1 == 1).tobytes()
+                cuts = [0, *(ends // 8).tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, n), texts.slice(a, n), pa.array(np.bincount(doc, minlength=n)),
+                    [ids.slice(a, n), texts.slice(a, n), pa.array(size),
                      pa.array(per_text(doc, mix(h), n).view(np.int64)), pa.array(per_text(doc, mix(~h), n, np.add).view(np.int64)),
-                     pa.array([x.tobytes() for x in bits], pa.binary())], names=["k_id", "k_text", "n", "sa", "sb", "bits"])
+                     pa.array([bits[x:y] for x, y in zip(cuts, cuts[1:])], pa.binary())], names=["k_id", "k_text", "n", "sa", "sb", "bits"])
 
     return rows.select("text", "k_id", "k_text").mapInArrow(run, "k_id long, k_text long, n long, sa long, sb long, bits binary")
 
@@ -140,7 +168,7 @@ def sketches(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
                 own = np.searchsorted(bands.first, n, "right") - 1
                 parts, slack = np.array(bands.parts), np.array(bands.slack)
                 value = mix(h)
-                keys, who = [], []
+                keys, who, of_band = [], [], []
                 for down in (0, 1):  # as the smaller or equal, and as the larger of a pair
                     ok = own[doc] - down >= 0
                     d, v = doc[ok], value[ok]
@@ -154,6 +182,7 @@ def sketches(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
                     place = (band[begin] * (1 << 32) + part[begin]).astype(np.uint64)
                     keys.append(pair_hash(place, x))
                     who.append(d[begin])
+                    of_band.append(band[begin])
                     full = np.bincount(d[begin], minlength=b - a)
                     band_of = own - down
                     at = np.flatnonzero((full > 0) & (band_of >= 0))
@@ -163,7 +192,9 @@ def sketches(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
                         none = np.setdiff1d(np.arange(parts[band_of[i]]), some)
                         keys.append(pair_hash((band_of[i] * (1 << 32) + none).astype(np.uint64), np.zeros(len(none), np.uint64)))
                         who.append(np.full(len(none), i))
+                        of_band.append(np.full(len(none), band_of[i]))
                 keys, who = np.concatenate(keys), np.concatenate(who)
+                keys = (keys & ~np.uint64(LAST_BAND)) | np.minimum(np.concatenate(of_band), LAST_BAND).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[a + who])], names=["key", "id"])
 
     return rows.select("text", "k_id").mapInArrow(run, "key long, id long")
@@ -175,8 +206,6 @@ def met_members(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     A window sees a whole bucket in one task, so buckets that may hold a large share of all rows are aggregated
     instead (combined on the map side), and their members, written once, meet the few totals by broadcast.
     """
-    from pyspark.sql import Window as W
-
     def totals(of):
         return {"lo": of(F.min("id")), "hi": of(F.max("id"))}
 
@@ -185,7 +214,7 @@ def met_members(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
                       .where(F.col("c") >= FREQUENT).orderBy(F.desc("c"), "h_key").limit(HOT_KEYS).select("h_key"), "hot-buckets")
     every = sketches(rows, shingle, percent)
     at_hot = F.col("key") == F.col("h_key")
-    bucket = W.partitionBy("key")
+    bucket = Window.partitionBy("key")
     met = (every.join(F.broadcast(hot), at_hot, "left_anti").withColumns(totals(lambda c: c.over(bucket)))
            .where("lo != hi").select("key", "id", "lo"))
     if hot.limit(1).count():
@@ -209,98 +238,243 @@ def close_enough(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BITS // 8) for c in ("ba", "bb"))
+            x, y = (batch.column(c).to_pylist() for c in ("ba", "bb"))
+            size = np.minimum([len(b) for b in x], [len(b) for b in y])
+            far = np.zeros(len(x), np.int64)
+            for k in np.unique(size).tolist():
+                at = np.flatnonzero(size == k).tolist()
+                far[at] = np.bitwise_count(folded([x[i] for i in at], k) ^ folded([y[i] for i in at], k)).sum(1, dtype=np.int64)
             total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            ok = np.bitwise_count(x ^ y).sum(1, dtype=np.int64) * (100 + percent) <= (100 - percent) * total
+            ok = far * (100 + percent) <= (100 - percent) * total
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def bucket_pairs(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket, in different components, whose sizes and parity sketches allow a link.
-
-    ``members``: key, id, comp, m (size of the bucket). A bucket of more than BLOCK members is cut into blocks by id, and
-    each pair of blocks is a group of its own; a group's sketches are compared as arrays, so pairs that cannot link
-    never become rows.
-    """
-    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
-    side = known.select(F.col("k_id").alias("s_id"), F.col("n").alias("n"), "bits").distinct()
-    rows = members.join(side, F.col("id") == F.col("s_id")).withColumns(
-        {"own": F.pmod(F.xxhash64("id"), blocks).cast("int"), "blocks": blocks})
-    rows = rows.select("key", "id", "comp", "n", "bits", "own", F.explode(
-        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "comp",
-                       "n", "bits")
-    grouped = rows.repartition(partitions(members.sparkSession), "key", "p", "q").sortWithinPartitions("key", "p", "q")
-
-    def compare(t: pa.Table) -> pa.RecordBatch:
-        ids, comp, n, own = (t.column(c).to_numpy() for c in ("id", "comp", "n", "own"))
-        bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
-        p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
-        left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
-        out_a, out_b = [], []
-        for at in range(0, len(left), 128):
-            x = left[at:at + 128]
-            far = np.bitwise_count(bits[x][:, None, :] ^ bits[right][None]).sum(2, dtype=np.int64)
-            nx, ny = n[x][:, None], n[right][None]
-            ok = (comp[x][:, None] != comp[right][None]) & (far * (100 + percent) <= (100 - percent) * (nx + ny))
-            ok &= np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * percent
-            if p == q:
-                ok &= ids[x][:, None] < ids[right][None]
-            i, j = np.nonzero(ok)
-            out_a.append(ids[x[i]])
-            out_b.append(ids[right[j]])
-        first, second = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (out_a, out_b))
-        return pa.RecordBatch.from_arrays([pa.array(first), pa.array(second)], names=["a", "b"])
+def in_groups(rows: DataFrame, by: list[str], order: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``work`` on the rows of each group, which are held at once; many small groups cost little."""
+    dealt = rows.repartition(partitions(rows.sparkSession), *by).sortWithinPartitions(*by, *order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            place = [batch.column(c).to_numpy() for c in ("key", "p", "q")]
-            new = np.flatnonzero(np.any([np.diff(x) != 0 for x in place], axis=0)) + 1
+            place = np.stack([batch.column(c).to_numpy() for c in by])
+            new = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1
             at = 0
             for end in [*new.tolist(), batch.num_rows]:
                 if end == at:
                     continue
                 part = batch.slice(at, end - at)
-                if held and any(held[-1].column(c)[0] != part.column(c)[0] for c in ("key", "p", "q")):
-                    yield compare(pa.Table.from_batches(held))
+                if held and any(held[-1].column(c)[0] != part.column(c)[0] for c in by):
+                    if (out := work(pa.Table.from_batches(held))) is not None:
+                        yield out
                     held = []
                 held.append(part)
                 at = end
-        if held:
-            yield compare(pa.Table.from_batches(held))
+        if held and (out := work(pa.Table.from_batches(held))) is not None:
+            yield out
+
+    return dealt.mapInArrow(run, schema)
+
 
-    return grouped.mapInArrow(run, "a long, b long").distinct()
+def lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, offsets) of Arrow lists of longs."""
+    column = column.combine_chunks()
+    ends = column.offsets.to_numpy().astype(np.int64)
+    return column.flatten().to_numpy(), ends - ends[0]
+
+
+def counts_in(one: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many of each list values[starts:ends] are in the sorted ``one``."""
+    size = ends - starts
+    if not len(one) or not size.sum():
+        return np.zeros(len(size), np.int64)
+    at = np.repeat(starts - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+    v = values[at]
+    place = np.minimum(np.searchsorted(one, v), len(one) - 1)
+    hit = np.r_[0, np.cumsum(one[place] == v)]
+    return hit[np.cumsum(size)] - hit[np.cumsum(size) - size]
+
+
+class Block:
+    """A pair of blocks of a bucket: which pairs of members in different components their sizes and sketches allow."""
+
+    def __init__(self, t: pa.Table, percent: int):
+        self.ids, self.comp, self.n, own = (t.column(c).to_numpy() for c in ("id", "comp", "n", "own"))
+        bits = t.column("bits").to_pylist()
+        self.bits = folded(bits, min(map(len, bits)))
+        p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
+        self.left, self.right, self.same, self.percent = np.flatnonzero(own == p), np.flatnonzero(own == q), p == q, percent
+
+    def allowed(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(i, j) of members, for some of the left ones at a time."""
+        y, percent = self.right, self.percent
+        step = max(1, (1 << 22) // (max(1, len(y)) * self.bits.shape[1]))
+        for at in range(0, len(self.left), step):
+            x = self.left[at:at + step]
+            far = np.bitwise_count(self.bits[x][:, None, :] ^ self.bits[y][None]).sum(2, dtype=np.int64)
+            nx, ny = self.n[x][:, None], self.n[y][None]
+            ok = (self.comp[x][:, None] != self.comp[y][None]) & (far * (100 + percent) <= (100 - percent) * (nx + ny))
+            ok &= np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * percent
+            if self.same:
+                ok &= self.ids[x][:, None] < self.ids[y][None]
+            i, j = np.nonzero(ok)
+            yield x[i], y[j]
+
+
+MARKED = "key long, p int, q int, own int, id long, comp long, n long, bits binary"
+
+
+def marked_rows(t: pa.Table, hit: np.ndarray) -> pa.RecordBatch | None:
+    if not hit.any():
+        return None
+    return t.select([c.split()[0] for c in MARKED.split(", ")]).filter(pa.array(hit)).combine_chunks().to_batches()[0]
+
+
+def marks(t: pa.Table, percent: int) -> pa.RecordBatch | None:
+    """Members of a pair of blocks that have a pair that is allowed."""
+    block = Block(t, percent)
+    hit = np.zeros(len(block.ids), bool)
+    for i, j in block.allowed():
+        hit[i] = hit[j] = True
+    return marked_rows(t, hit)
+
+
+def own_pairs(block: Block, t: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, ys) of allowed pairs whose smallest bucket, of those (``keys``) that both are marked in, is this one."""
+    key = t.column("key")[0].as_py()
+    keys, at = lists(t.column("keys"))
+    for i, j in block.allowed():
+        cuts = np.flatnonzero(np.diff(i)) + 1  # i ascends
+        for x, y in zip(i[np.r_[0, cuts]].tolist() if len(i) else [], np.split(j, cuts)):
+            own = keys[at[x]:at[x + 1]]
+            y = y[counts_in(own[own < key], keys, at[y], at[y + 1]) == 0]
+            if len(y):
+                yield x, y
+
+
+def own_marks(t: pa.Table, percent: int) -> pa.RecordBatch | None:
+    """Members of a pair of blocks that have a pair to be decided here."""
+    block = Block(t, percent)
+    hit = np.zeros(len(block.ids), bool)
+    for x, y in own_pairs(block, t):
+        hit[x] = hit[y] = True
+    return marked_rows(t, hit)
+
+
+def hashes(texts: pa.ChunkedArray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(values, offsets): the sorted shingle hashes of each text."""
+    values, size = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for a, b, data, offs in steps(texts, lower=True):
+        doc, h = shingle_sets(Words(data, offs, SPACES), shingle)
+        values.append(h)
+        size.append(np.bincount(doc, minlength=b - a))
+    return np.concatenate(values), np.cumsum(np.concatenate(size))
+
+
+def spanning(t: pa.Table, shingle: int, percent: int) -> pa.RecordBatch | None:
+    """Links (a, b) that join the components of a pair of blocks, by the members' whole texts."""
+    block = Block(t, percent)
+    h, at = hashes(t.column("text"), shingle)
+    root = {c: c for c in block.comp.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    out = []
+    for x, y in own_pairs(block, t):
+        mine = find(block.comp[x].item())
+        y = y[[find(c) != mine for c in block.comp[y].tolist()]]
+        if not len(y):
+            continue
+        both = counts_in(h[at[x]:at[x + 1]], h, at[y], at[y + 1])
+        for k in y[100 * both >= percent * (block.n[x] + block.n[y] - both)].tolist():
+            a, b = find(block.comp[x].item()), find(block.comp[k].item())
+            if a != b:
+                root[b] = a
+                out.append((block.ids[x].item(), block.ids[k].item()))
+    if not out:
+        return None
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["a", "b"])
+
+
+def texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """t_id, text: the text of each of the ``ids`` (v), once. Up to BROADCAST_IDS, which are counted, ids go to the texts; more
+    of them meet the texts in a shuffle."""
+    ids = materialize(ids.select("v"), "asked-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    some = rows.join(ids, F.col("k_id") == F.col("v"), "left_semi")
+    return some.dropDuplicates(["k_id"]).select(F.col("k_id").alias("t_id"), "text")
+
+
+def links_in_buckets(members: DataFrame, known: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of ``members`` (key, id, comp, m: size of the bucket) further.
+
+    A bucket with more members or shingles than a block holds is cut into blocks by id, and each pair of blocks is a group of
+    its own. First the sketches are compared, which marks the members of pairs that may link; then each such pair finds its
+    one bucket among those that both are marked in; only members with a pair of that bucket get their texts and meet again.
+    """
+    largest = F.array(*[F.lit(x).cast("long") for x in Bands(percent).largest()])
+    shingles = F.col("m") * F.get(largest, F.col("key").bitwiseAND(F.lit(LAST_BAND)).cast("int"))
+    blocks = F.greatest(F.ceil(F.col("m") / F.lit(BLOCK)), F.least(F.col("m"), F.ceil(shingles / F.lit(BLOCK_SHINGLES)))).cast("int")
+    side = known.select(F.col("k_id").alias("s_id"), F.col("n").alias("n"), "bits").distinct()
+    dealt = members.join(side, F.col("id") == F.col("s_id")).withColumns(
+        {"own": F.pmod(F.xxhash64("id"), blocks).cast("int"), "blocks": blocks})
+    dealt = dealt.select("key", "id", "comp", "n", "bits", "own", F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "comp",
+                         "n", "bits")
+    group = ["key", "p", "q"]
+    marked = materialize(in_groups(dealt, group, [], lambda t: marks(t, percent), MARKED), "marked")
+    if not marked.limit(1).count():
+        return marked.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    keys = marked.groupBy(F.col("id").alias("v")).agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    keys = materialize(keys, "marked-buckets")
+    at_id = F.col("id") == F.col("v")
+    asked = materialize(in_groups(marked.join(keys, at_id).drop("v"), group, [], lambda t: own_marks(t, percent), MARKED), "asked")
+    few = asked.select(F.col("id").alias("v")).distinct()
+    full = asked.join(keys, at_id).drop("v").join(texts_of(rows, few), F.col("id") == F.col("t_id")).drop("t_id")
+    return in_groups(full, group, [], lambda t: spanning(t, shingle, percent), "a long, b long")
 
 
 def verified(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs (a, b) that link, by their whole texts."""
+    """Pairs (a, b) that link, by their whole texts. ``a`` may be in any number of pairs: its partners are dealt by hash
+    to groups of about STAR, and each group holds the text of ``a`` once."""
     ids = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))).distinct()
-    texts = materialize(rows.join(ids, F.col("k_id") == F.col("v")).select("k_id", "text"), "texts-to-verify")
-    left = texts.select(F.col("k_id").alias("la"), F.col("text").alias("ta"))
-    right = texts.select(F.col("k_id").alias("lb"), F.col("text").alias("tb"))
-    both = pairs.join(left, F.col("a") == F.col("la")).join(right, F.col("b") == F.col("lb")).select("a", "b", "ta", "tb")
+    groups = pairs.groupBy(F.col("a").alias("g_a")).agg(F.ceil(F.count(F.lit(1)) / F.lit(STAR)).cast("int").alias("groups"))
+    centres = groups.select(F.col("g_a").alias("a"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("no"), F.col("g_a").alias("b"))
+    # a third of all pairs may have one centre: those with several groups, few, are met apart
+    large = groups.where("groups > 1")
+    dealt = pairs.join(large, F.col("a") == F.col("g_a"), "left").select(
+        "a", F.coalesce(F.pmod(F.xxhash64("b"), F.col("groups")), F.lit(0)).cast("int").alias("no"), "b")
+    work = dealt.unionByName(centres).join(texts_of(rows, ids), F.col("b") == F.col("t_id")).select(
+        "a", "no", (F.col("a") != F.col("b")).cast("int").alias("kind"), "b", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of(batch: pa.RecordBatch, c: str) -> list[np.ndarray]:
+        now, centre = None, None
+        for batch in batches:
+            a, no, kind, b = (batch.column(c).to_numpy() for c in ("a", "no", "kind", "b"))
+            h, at = hashes(batch.column("text"), shingle)
+            cuts = np.flatnonzero((a[1:] != a[:-1]) | (no[1:] != no[:-1])) + 1
             out = []
-            for a, b, data, offs in steps(batch.column(c), lower=True):
-                doc, h = shingle_sets(Words(data, offs, SPACES), shingle)
-                out += np.split(h, np.searchsorted(doc, np.arange(1, b - a)))
-            return out
-
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                ok = []
-                for x, y in zip(of(batch, "ta"), of(batch, "tb")):
-                    same = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(same > 0 and 100 * same >= percent * (len(x) + len(y) - same))
-                yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(a)]):
+                if x == y:
+                    continue
+                if kind[x] == 0:
+                    now, centre, x = (a[x], no[x]), h[at[x]:at[x + 1]], x + 1
+                if x < y and now == (a[x], no[x]):
+                    size = at[x + 1:y + 1] - at[x:y]
+                    both = counts_in(centre, h, at[x:y], at[x + 1:y + 1])
+                    ok = (both > 0) & (100 * both >= percent * (size + len(centre) - both))
+                    out.append(np.arange(x, y)[ok])
+            keep = np.concatenate(out) if out else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    dealt = work.repartition(partitions(pairs.sparkSession), "a", "no").sortWithinPartitions("a", "no", "kind")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def text_numbers(known: DataFrame) -> DataFrame | None:
@@ -367,23 +541,32 @@ def vertex_components(rows: DataFrame, known: DataFrame, shingle: int, percent:
     open_ = member.groupBy(F.col("key").alias("o_key")).agg(
         F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count(F.lit(1)).alias("m")).where("c1 != c2 and m > 2")
     rest = member.join(open_, F.col("key") == F.col("o_key")).select("key", "id", "comp", "m")
-    fresh = represented(bucket_pairs(rest, known, percent)).join(stars, ["a", "b"], "left_anti")
-    near = materialize(close_enough(fresh, known, percent), "near")
-    if near.limit(1).count():
-        links = links.unionByName(verified(near, rows, shingle, percent))
-        comps = components(links.unionByName(equal))
+    more_links = materialize(links_in_buckets(rest, known, rows, shingle, percent), "more-links")
+    if more_links.limit(1).count():
+        comps = components(links.unionByName(more_links).unionByName(equal))
     return comps
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id and text are the first of their component; of rows that repeat both, all.
+    """One row of ``docs`` for each component: of those with the smallest id, the first by a hash of its columns.
 
-    Links are those of texts: other texts of a linked text's id, or without an id, stay.
+    Links are those of texts: other texts of a linked text's id, or without an id, stay, and so do all rows without words.
     """
-    gone = materialize(linked(docs, shingle, percent, join_ids=False).where("not first")
-                       .select(F.col("k_id").alias("g_id"), F.col("k_text").alias("g_text")).distinct(), "linked-copies")
+    found = materialize(linked(docs, shingle, percent, join_ids=False), "linked")
+    gone = materialize(found.where("not first").select(F.col("k_id").alias("g_id"), F.col("k_text").alias("g_text")).distinct(),
+                       "linked-copies")
     key = row_key()
-    return docs.join(gone, (key["k_id"] == F.col("g_id")) & (key["k_text"] == F.col("g_text")), "left_anti")
+    docs = docs.join(gone, (key["k_id"] == F.col("g_id")) & (key["k_text"] == F.col("g_text")), "left_anti")
+    # rows that repeat an id and its text; where there are none, the rows need not be dealt by them
+    twice = materialize(found.where("n > 0").groupBy(F.col("k_id").alias("t_id"), F.col("k_text").alias("t_text")).agg(
+        F.count(F.lit(1)).alias("t_n")).where("t_n > 1").drop("t_n"), "repeated-rows")
+    if not twice.limit(1).count():
+        return docs
+    is_twice = (key["k_id"] == F.col("t_id")) & (key["k_text"] == F.col("t_text"))
+    place = Window.partitionBy("t_id", "t_text").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    names = docs.columns
+    firsts = docs.join(twice, is_twice).withColumn("t_place", F.row_number().over(place)).where("t_place = 1").select(*[f"`{c}`" for c in names])
+    return docs.join(twice, is_twice, "left_anti").unionByName(firsts)
 
 
 @query("op9_jaccard_join")

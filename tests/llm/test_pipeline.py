@@ -3,8 +3,8 @@ from collections import Counter
 from edge import EDGE, docs, folder
 from test_decontaminate_secrets import ITEMS
 from test_decontaminate_secrets import brute as hits
-from test_jaccard_join import brute as linked
 from test_jaccard_join import near_copies
+from test_pipeline_near import kept
 from test_quality_line_dedup import SPACE, counts, removed
 from test_sharding_packing import check_packing
 
@@ -38,8 +38,7 @@ def test_stages_against_brute_force(spark, tmp):
     left = [(i, cut[i, t][2] if cut[i, t][1] else t) for i, t in left if not cut[i, t][1] or cut[i, t][2].strip(SPACE)]
     assert rows_of(df) == Counter(left)
     df = step(2, df)
-    comp = {i: c for i, _, c in linked(left)}
-    left = [(i, t) for i, t in left if comp[i] == i]
+    left = kept(left, C.NEAR_SHINGLE, C.NEAR_PERCENT)
     assert rows_of(df) == Counter(left)
     df = step(3, df)
     bad = {(i, n) for i, n, h, *_ in hits(left, items) if h}

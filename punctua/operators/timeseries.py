@@ -250,8 +250,11 @@ def forward_fill(daily: DataFrame, key: str, day: str, value: str, start=None, e
     The input is already one row per (key, day) — e.g. a daily aggregate — so
     each key's window holds at most one row per calendar day (bounded).
     The calendar runs from ``start`` to ``end``; where one is None, from the first or to the last day of the data
-    (a one-row aggregate, run when called). A leading gap stays NULL; ``is_filled`` marks carried values.
+    (a one-row aggregate, run when called). A leading gap stays NULL; ``is_filled`` marks carried values. With the data's own
+    range and keys no calendar is joined: each row yields the days up to the key's next one, the first also those before it.
     """
+    if start is None and end is None and keys is None:
+        return _filled_from_rows(daily.where(F.col(day).isNotNull()), key, day, value)
     if start is None or end is None:
         lo, hi = daily.agg(F.min(day), F.max(day)).first()
         # without any day there is nothing to fill
@@ -264,6 +267,19 @@ def forward_fill(daily: DataFrame, key: str, day: str, value: str, start=None, e
             .withColumn("is_filled", F.col(value).isNull() & F.col(f"{value}_filled").isNotNull()))
 
 
+def _filled_from_rows(daily: DataFrame, key: str, day: str, value: str) -> DataFrame:
+    lo, hi = daily.agg(F.min(day), F.max(day)).first()
+    w = Window.partitionBy(key).orderBy(day)
+    held = F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    begin = F.when(F.lag(day).over(w).isNull(), F.lit(lo).cast("date")).otherwise(F.col(day))
+    until = F.coalesce(F.date_sub(F.lead(day).over(w), 1), F.lit(hi).cast("date"))
+    rows = daily.select(key, F.col(day).alias("_own"), F.col(value).alias("_v"), held.alias("_held"), begin.alias("_begin"), until.alias("_until"))
+    spread = rows.select(key, F.explode(F.sequence("_begin", "_until")).alias(day), "_own", "_v", "_held")
+    out = spread.select(key, day, F.when(F.col(day) == F.col("_own"), F.col("_v")).alias(value),
+                        F.when(F.col(day) >= F.col("_own"), F.col("_held")).alias(f"{value}_filled"))
+    return out.withColumn("is_filled", F.col(value).isNull() & F.col(f"{value}_filled").isNotNull())
+
+
 def hourly(df: DataFrame, key: str, ts: str, aggs: Sequence[Column], hour_col: str = "hour_ts") -> DataFrame:
     return df.groupBy(key, F.date_trunc("hour", F.col(ts)).alias(hour_col)).agg(*aggs)
 

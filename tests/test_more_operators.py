@@ -19,7 +19,7 @@ from punctua.operators.layout import interleaved, quantile_place, write_interlea
 from punctua.operators.linear import linear_score, newton_logistic, permutation_importance, permuted
 from punctua.operators.quality import Expectation, guarded
 from punctua.operators.scd2 import current_view, scd2_current_state, scd2_from_cdc
-from punctua.operators.timeseries import held_values, trailing_grains
+from punctua.operators.timeseries import forward_fill, held_values, trailing_grains
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -194,3 +194,15 @@ def test_permutation_is_one(spark, n, digits):
     assert once == again and set(once) == set(range(n))
     assert sorted(once.values(), key=str) == sorted((x for _, x in rows), key=str)
     assert n < 100 or sum(once[i] == x for i, x in rows if x is not None) < n / 10
+
+
+def test_forward_fill_with_and_without_given_bounds(spark):
+    """Both ways of filling agree: from the rows themselves, and over a calendar that is given."""
+    rnd = random.Random(12)
+    days = sorted({(rnd.choice("abcd"), rnd.randrange(40)) for _ in range(60)})
+    rows = [(k, dt.date(2024, 2, 1) + dt.timedelta(days=n), None if rnd.random() < 0.2 else rnd.random()) for k, n in days]
+    df = spark.createDataFrame(rows, "k string, day date, v double")
+    lo, hi = min(r[1] for r in rows), max(r[1] for r in rows)
+    one, two = (sorted(map(tuple, forward_fill(df, "k", "day", "v", *bounds).collect()), key=str) for bounds in ((), (lo, hi)))
+    assert one == two and len(one) == 4 * ((hi - lo).days + 1)
+    assert forward_fill(df.limit(0), "k", "day", "v").count() == 0

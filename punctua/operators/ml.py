@@ -21,6 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Tasks that a table of the training session is cut into, per core, unless it is very small.
+TASKS_PER_CORE = 4
+
+
 def ml_session(spark: SparkSession) -> SparkSession:
     """An isolated session of the same application for model training.
 
@@ -28,9 +32,20 @@ def ml_session(spark: SparkSession) -> SparkSession:
     has served a ``DataFrame.observe(Observation, ...)`` those closures fail
     with ``Task not serializable`` (its ObservationManager).  A new session
     shares the cluster and the cached data source files but not that state.
+
+    Its tables are cut into several tasks a core: training passes over them dozens of times, and a table in a few
+    tasks more than there are cores leaves most cores idle in each pass.
     """
     s = spark.newSession()
-    s.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and s.conf.isModifiable(key):
+            s.conf.set(key, value)
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    s.conf.set("spark.sql.shuffle.partitions", str(max(tasks, int(s.conf.get("spark.sql.shuffle.partitions")))))
+    s.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1m")
+    s.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+    s.conf.set("spark.sql.files.minPartitionNum", str(tasks))
+    s.conf.set("spark.sql.files.openCostInBytes", "256k")
     return s
 
 
@@ -52,20 +67,25 @@ def _numeric(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in features})
 
 
+def fit_prep(train: DataFrame, features: Sequence[str]) -> PipelineModel:
+    """Imputation and assembly fitted once, for several models of the same rows and features."""
+    return Pipeline(stages=_prep(features)).fit(_numeric(train, features))
+
+
 def train_logistic(train: DataFrame, features: Sequence[str], label: str = "label",
-                   weight: str | None = "weight") -> PipelineModel:
+                   weight: str | None = "weight", prep: PipelineModel | None = None) -> PipelineModel:
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=50, regParam=0.01)
     if weight:
         lr.setWeightCol(weight)
-    return Pipeline(stages=_prep(features) + [lr]).fit(_numeric(train, features))
+    return Pipeline(stages=[*(prep.stages if prep else _prep(features)), lr]).fit(_numeric(train, features))
 
 
 def train_gbt(train: DataFrame, features: Sequence[str], label: str = "label", weight: str | None = "weight",
-              max_iter: int = 20, max_depth: int = 5) -> PipelineModel:
+              max_iter: int = 20, max_depth: int = 5, prep: PipelineModel | None = None) -> PipelineModel:
     gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, seed=42)
     if weight:
         gbt.setWeightCol(weight)
-    return Pipeline(stages=_prep(features) + [gbt]).fit(_numeric(train, features))
+    return Pipeline(stages=[*(prep.stages if prep else _prep(features)), gbt]).fit(_numeric(train, features))
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str], out: str = "score") -> DataFrame:

@@ -176,33 +176,45 @@ def trailing_sums(targets: DataFrame, facts: DataFrame | None, keys: str | Seque
 
 
 def trailing_grains(targets: DataFrame, facts: DataFrame, grains: dict[str, Sequence[str]], ts: str, fact_ts: str,
-                    values: dict[str, Column], days: float, bucket_days: float | None = None) -> DataFrame:
+                    values: dict[str, Column], days: float, bucket_days: float | None = None,
+                    rates: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """``targets`` with, per grain and name in ``values``, the sum over that grain's ``facts`` in ``[ts - days, ts)``.
 
     ``grains``: name -> key columns, which both sides have; columns are named ``<grain>_<name>``. All grains share one
     pass: facts and the instants that targets ask for are summed per (grain, key, instant), combined on the map side, so what
     is shuffled and sorted is bounded by the instants of each key, however many rows one of them has. Running sums over
     these (see :func:`trailing_sums`) are then looked up by key and instant. NULL keys and times have nothing before them;
-    values are integers.
+    values are integers. ``rates``: name -> (upper, lower) of ``values``, their quotient rounded to six digits and NULL where
+    the lower is 0, worked out once per key and instant.
     """
     width, bw = int(days * MICROS_PER_DAY), int((bucket_days or days) * MICROS_PER_DAY)
     names, zero = list(values), F.lit(0).cast("bigint")
     vn = [f"_v{i}" for i in range(len(names))]
+    kn = {c: f"_k{i}" for i, c in enumerate(dict.fromkeys(c for cols in grains.values() for c in cols))}
+    # grains of the same columns share a grouping set; a set has the columns that its grains lack as NULL
+    sets = list(dict.fromkeys(tuple(n for c, n in kn.items() if c in cols) for cols in grains.values()))
+    at_set = {g: sets.index(tuple(n for c, n in kn.items() if c in cols)) for g, cols in grains.items()}
 
-    def key_of(cols: Sequence[str]) -> Column:
-        """One text per key; NULL where a part is."""
-        return F.concat(*[x for i, c in enumerate(cols) for x in ([F.lit("|")] if i else []) + [F.col(c).cast("string")]])
-
-    def keyed(df: DataFrame, at: str, amounts: Sequence[Column], asked: bool) -> DataFrame:
-        keys = F.explode(F.array(*[F.struct(F.lit(g).alias("g"), key_of(cols).alias("k")) for g, cols in enumerate(grains.values())]))
-        rows = df.where(F.col(at).isNotNull()).select(
-            F.unix_micros(F.col(at)).alias("_us"), *[a.alias(n) for n, a in zip(vn, amounts)], keys.alias("_e"))
-        return rows.where("_e.k IS NOT NULL").select(F.col("_e.g").alias("_g"), F.col("_e.k").alias("_k"), "_us", *vn, F.lit(asked).alias("_asked"))
+    def dated(df: DataFrame, at: str, amounts: Sequence[Column], asked: bool) -> DataFrame:
+        return df.where(F.col(at).isNotNull()).select(F.unix_micros(F.col(at)).alias("_us"), *[F.col(c).alias(n) for c, n in kn.items()],
+                                                      *[a.alias(n) for n, a in zip(vn, amounts)], F.lit(asked).alias("_asked"))
 
     sums = [F.sum(v).alias(v) for v in vn]
-    both = keyed(facts, fact_ts, [F.coalesce(v.cast("bigint"), zero) for v in values.values()], False).unionByName(
-        keyed(targets, ts, [zero] * len(vn), True))
-    instants = materialize(both.groupBy("_g", "_k", "_us").agg(*sums, F.max("_asked").alias("_asked")), "instants")
+    both = dated(facts, fact_ts, [F.coalesce(v.cast("bigint"), zero) for v in values.values()], False).unionByName(
+        dated(targets, ts, [zero] * len(vn), True))
+    groups = [*kn.values(), "_us"]
+    instants = both.groupingSets([[F.col(n) for n in (*s, "_us")] for s in sets], *[F.col(n) for n in groups]).agg(
+        *sums, F.max("_asked").alias("_asked"), F.grouping_id().alias("_gid"))
+    which, whole = F.lit(None).cast("int"), F.lit(False)
+    for i, s in enumerate(sets):
+        # the bits of a grouping id tell, first column first, which columns are not in the set
+        here = F.col("_gid") == int("".join("0" if n in (*s, "_us") else "1" for n in groups), 2)
+        keyed = here
+        for n in s:
+            keyed = keyed & F.col(n).isNotNull()
+        which, whole = F.when(here, i).otherwise(which), whole | keyed
+    instants = materialize(instants.where(whole).select(which.alias("_g"), F.struct(*kn.values()).alias("_k"), "_us", *vn, "_asked"),
+                           "instants")
     moves = instants.select("_g", "_k", F.explode(F.array(
         F.struct("_us", *vn, "_asked"),
         F.struct((F.col("_us") + width).alias("_us"), *[(-F.col(v)).alias(v) for v in vn], F.lit(False).alias("_asked")))).alias("_e"))
@@ -214,14 +226,22 @@ def trailing_grains(targets: DataFrame, facts: DataFrame, grains: dict[str, Sequ
     carry = moves.groupBy(F.col("_g").alias("_cg"), F.col("_k").alias("_ck"), F.col("_b").alias("_cb")).agg(*sums).select(
         "_cg", "_ck", "_cb", *[F.sum(v).over(before).alias(f"_c{i}") for i, v in enumerate(vn)])
     known = rows.join(carry, (F.col("_g") == F.col("_cg")) & (F.col("_k") == F.col("_ck")) & (F.col("_b") == F.col("_cb")))
-    known = materialize_by(known.select("_g", "_k", "_us", *[(F.coalesce(f"_s{i}", zero) + F.coalesce(f"_c{i}", zero)).alias(v)
-                                                             for i, v in enumerate(vn)]), "running-sums", "_g", range(len(grains)))
+    known = known.select("_g", "_k.*", "_us", *[(F.coalesce(f"_s{i}", zero) + F.coalesce(f"_c{i}", zero)).alias(v)
+                                                for i, v in enumerate(vn)])
+    of = dict(zip(names, vn))
+    known = known.withColumns({f"_r{i}": F.round(F.when(F.col(of[low]) > 0, F.col(of[up]) / F.col(of[low])), 6)
+                               for i, (up, low) in enumerate((rates or {}).values())})
+    known = materialize_by(known, "running-sums", "_g", range(len(sets)))
     out = targets
-    for g, (grain, cols) in enumerate(grains.items()):
-        of = known[g].select(F.col("_k").alias("_jk"), F.col("_us").alias("_ju"), *[F.col(v).alias(f"_j{v}") for v in vn])
-        out = out.join(of, (key_of(cols) == F.col("_jk")) & (F.unix_micros(F.col(ts)) == F.col("_ju")), "left")
-        out = out.withColumns({f"{grain}_{n}": F.coalesce(F.col(f"_j{v}"), zero) for n, v in zip(names, vn)})
-        out = out.drop("_jk", "_ju", *[f"_j{v}" for v in vn])
+    for grain, cols in grains.items():
+        here = known[at_set[grain]]
+        got = {**{f"{grain}_{n}": F.coalesce(F.col(f"_j{v}"), zero) for n, v in of.items()},
+               **{f"{grain}_{n}": F.col(f"_j_r{i}") for i, n in enumerate(rates or {})}}
+        here = here.select(*[F.col(c).alias(f"_j{c}") for c in here.columns])
+        on = F.unix_micros(F.col(ts)) == F.col("_j_us")
+        for c in cols:
+            on = on & (F.col(c) == F.col(f"_j{kn[c]}"))
+        out = out.join(here, on, "left").withColumns(got).drop(*here.columns)
     return out
 
 

@@ -79,28 +79,28 @@ def features(t: Tables):
     lab = labelled(t, allf).select("order_key", "line_number", "part_key", "carrier", "origin", "destination", "planned_ts",
                                    "real_ts", "label")
     base = trailing_grains(lab, lab.where("label IS NOT NULL"), GRAINS, "planned_ts", "real_ts",
-                           {"n_30d": F.lit(1), "late_30d": F.col("label")}, HISTORY_DAYS)
+                           {"n_30d": F.lit(1), "late_30d": F.col("label")}, HISTORY_DAYS, rates={"rate_30d": ("late_30d", "n_30d")})
     # what is known just before the planned time: days that ended by then, on the day of the instant before
     eve = F.to_date(F.timestamp_micros(F.unix_micros("planned_ts") - 1))
     last = lab.agg(F.max(eve)).first()[0]
     rain = (allf.groupBy(F.col("destination").alias("airport"), F.date_add(F.to_date("real_ts"), 1).alias("known_day"))
             .agg(F.sum("quantity").alias("rain_mm")))
-    rain = materialize(held_values(rain, "airport", "known_day", "rain_mm", last), "rain-known")  # airports x days
+    rain = held_values(rain, "airport", "known_day", "rain_mm", last).withColumn("rain_mm", F.round("rain_mm", 6))
+    rain = materialize(rain, "rain-known")  # airports x days
     for side in ("origin", "destination"):
         known = rain.select(*[F.col(c).alias(f"{side}_{c}") for c in rain.columns])
         base = base.join(known, (F.col(side) == F.col(f"{side}_airport")) & (eve == F.col(f"{side}_known_day")), "left")
     prices, month = price_at(filled_price(t), F.col("planned_ts"))
-    base = base.join(prices, month == F.col("p_month"), "left")
+    base = base.join(prices.withColumn("price", F.round("price", 6)), month == F.col("p_month"), "left")
     size = t.part.select("p_partkey", "p_size")
     base = base.join(size, F.col("part_key") == F.col("p_partkey"), "left")
     tier = (F.when(F.col("p_size") <= SMALL_UPTO, "small").when(F.col("p_size") <= MEDIUM_UPTO, "medium")
             .when(F.col("p_size").isNotNull(), "large"))
     d = F.col("planned_ts")
-    history = [c for g in GRAINS for c in (F.col(f"{g}_n_30d"), F.round(
-        F.when(F.col(f"{g}_n_30d") > 0, F.col(f"{g}_late_30d") / F.col(f"{g}_n_30d")), 6).alias(f"{g}_rate_30d"))]
+    history = [c for g in GRAINS for c in (f"{g}_n_30d", f"{g}_rate_30d")]
     return base.select("order_key", "line_number", "carrier", "origin", "destination", "planned_ts", "label", *history,
-                       F.round("origin_rain_mm", 6).alias("prev_rain_origin_mm"), F.round("destination_rain_mm", 6).alias("prev_rain_mm"),
-                       F.round("price", 6).alias("price"), tier.alias("aircraft_tier"), F.hour(d).alias("hour"),
+                       F.col("origin_rain_mm").alias("prev_rain_origin_mm"), F.col("destination_rain_mm").alias("prev_rain_mm"),
+                       "price", tier.alias("aircraft_tier"), F.hour(d).alias("hour"),
                        iso_weekday(d).alias("iso_weekday"), F.month(d).alias("month"),
                        is_holiday(d).alias("is_holiday"), is_high_season(d).alias("is_high_season"))
 
@@ -229,15 +229,17 @@ MODEL_FEATURES = ["route_n_30d", "route_rate_30d", "carrier_rate_30d", "origin_r
 def q_delay_model_comparison(spark: SparkSession, sf_dir: str):
     """Baseline logistic regression vs gradient-boosted trees (class-weighted) trained on the
     training period of the feature table and scored on the test period (iterative: no SQL oracle)."""
-    from punctua.operators.ml import compare_models, ml_session, train_gbt, train_logistic, with_class_weights
+    from punctua.operators.ml import compare_models, fit_prep, ml_session, train_gbt, train_logistic, with_class_weights
     # models train in their own session: a DataFrame.observe(Observation) earlier in the caller's
     # session would otherwise break the training jobs (Task not serializable: ObservationManager)
-    f = materialize(features(Tables(spark, sf_dir)).withColumn("split", split_of(F.col("planned_ts"))), "features",
-                    session=ml_session(spark))
+    own = ml_session(spark)
+    f = features(Tables(own, sf_dir)).select("label", split_of(F.col("planned_ts")).alias("split"), *MODEL_FEATURES)
+    f = materialize(f, "features")
     train = with_class_weights(f.filter(F.col("split") == "train"), "label")
     test = f.filter(F.col("split") == "test")
-    models = {"logistic_regression": train_logistic(train, MODEL_FEATURES),
-              "gradient_boosting": train_gbt(train, MODEL_FEATURES, max_iter=10, max_depth=4)}
+    prep = fit_prep(train, MODEL_FEATURES)
+    models = {"logistic_regression": train_logistic(train, MODEL_FEATURES, prep=prep),
+              "gradient_boosting": train_gbt(train, MODEL_FEATURES, max_iter=10, max_depth=4, prep=prep)}
     return compare_models(models, test, MODEL_FEATURES)
 
 

@@ -9,9 +9,11 @@ import shutil
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, write  # noqa: F401
-from punctua.operators.ml import feature_importances, score, train_gbt, train_logistic, with_class_weights, write_scores
+from punctua.operators.ml import (feature_importances, fit_prep, ml_session, score, train_gbt, train_logistic, with_class_weights,
+                                  write_scores)
 from punctua.operators.scd2 import scd2_from_cdc
 from punctua.operators.stats import pr_curve
+from punctua.operators.timeseries import trailing_grains
 from punctua.plans.ml_q import features, split_of
 from punctua.streaming.cdc import apply_batch, read_history, run_cdc_stream
 from punctua.tables import Tables
@@ -139,3 +141,54 @@ def test_cdc_partition_without_versions_goes(spark, tmp):
     cdc_batch(spark, tmp, 1, [(1, 1, "DEL")])  # of events that repeat key and number the smallest state counts, a delete first
     assert versions(spark, tmp) == []
     assert cdc_batch(spark, tmp, 2, []) == []
+
+
+def test_grains_by_their_columns(spark):
+    """Sums and rates per grain against a brute force: keys whose texts joined would be the same, two grains of the same columns,
+    NULL keys and times, rows that come twice."""
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice(["a", "a|b", None]), rnd.choice(["b|c", "c"]), rnd.choice([1, 2, None]),
+             dt.datetime(2024, 1, 1) + dt.timedelta(days=rnd.randrange(20)), rnd.choice([
+                 None, dt.datetime(2024, 1, 1) + dt.timedelta(days=rnd.randrange(20))]), rnd.choice([0, 1])) for i in range(60)]
+    rows += rows[:5]
+    df = spark.createDataFrame(rows, "i int, o string, d string, c int, t timestamp, r timestamp, y int")
+    grains = {"way": ["o", "d"], "back": ["d", "o"], "line": ["c"]}
+    got = trailing_grains(df, df, grains, "t", "r", {"n": F.lit(1), "late": F.col("y")}, 7, rates={"rate": ("late", "n")})
+    at = {"o": 1, "d": 2, "c": 3}
+    want = []
+    for x in rows:
+        out = [x[0]]
+        for cols in grains.values():
+            seen = [y[6] for y in rows if y[5] is not None and x[4] - dt.timedelta(days=7) <= y[5] < x[4]
+                    and all(x[at[k]] is not None and x[at[k]] == y[at[k]] for k in cols)]
+            out += [len(seen), sum(seen), round(sum(seen) / len(seen), 6) if seen else None]
+        want.append(tuple(out))
+    names = [f"{g}_{n}" for g in grains for n in ("n", "late", "rate")]
+    assert got.columns == [*df.columns, *names]
+    assert sorted(map(str, (tuple(x) for x in got.select("i", *names).collect()))) == sorted(map(str, want))
+
+
+def test_training_session_keeps_settings_and_cuts_tables(spark, tmp):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "7654321")
+    try:
+        own = ml_session(spark)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert own.conf.get("spark.sql.autoBroadcastJoinThreshold") == "7654321"
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(4000).repartition(8 * cores).write.parquet(f"{tmp}/t")
+    assert own.read.parquet(f"{tmp}/t").rdd.getNumPartitions() >= 4 * cores
+
+
+def test_models_share_one_preparation(spark):
+    """Medians are found once for all models of the same rows, and the models are those that find their own."""
+    rnd = random.Random(3)
+    rows = [(x, rnd.choice([None, rnd.random()]), int(x + rnd.random() > 1)) for x in (rnd.random() for _ in range(300))]
+    train = with_class_weights(spark.createDataFrame(rows, "a double, b double, label int"), "label").cache()
+    prep = fit_prep(train, ["a", "b"])
+    for fit in (train_logistic, lambda *a, **k: train_gbt(*a, max_iter=2, max_depth=2, **k)):
+        shared, alone = fit(train, ["a", "b"], prep=prep), fit(train, ["a", "b"])
+        assert [s.uid for s in shared.stages[:-1]] == [s.uid for s in prep.stages]
+        a, b = ([r["score"] for r in score(m, train, ["a", "b"]).orderBy("a").select("score").collect()] for m in (shared, alone))
+        assert max(abs(x - y) for x, y in zip(a, b, strict=True)) < 1e-9
+    train.unpersist()

@@ -314,7 +314,7 @@ FROM v GROUP BY ALL
 """)
 def q_local_folds(spark: SparkSession, sf_dir: str):
     """Local times in the nights in which clocks change, with both instants of repeated ones and skipped ones flagged; rows
-    of one zone and time are counted."""
+    of one zone and time are counted, those that repeat order, line and part once."""
     t = Tables(spark, sf_dir)
     zones = spark.createDataFrame(list(enumerate(NATION_ZONES)), "nk int, zone string")
     changes = F.broadcast(zone_changes(zones, "zone", FOLD_FROM, FOLD_UNTIL))  # a row per zone
@@ -323,7 +323,8 @@ def q_local_folds(spark: SparkSession, sf_dir: str):
     j = li.join(bounded_broadcast(zones), F.col("s_nationkey") == F.col("nk"))
     minutes = 7 * 1440 * (F.col("l_partkey") % FOLD_WEEKS) + 15 * ((F.col("l_orderkey") + F.col("l_linenumber")) % FOLD_SLOTS)
     local = F.lit(f"{FOLD_FROM} 22:00:00").cast("timestamp") + F.make_interval(mins=minutes.cast("int"))
-    # few times per zone: counted before they are placed
-    times = j.groupBy("zone", local.alias("local_ts")).agg(F.count(F.lit(1)).alias("n"))
+    # a row that comes twice counts once; few times per zone: counted before they are placed
+    rows = j.select("l_orderkey", "l_linenumber", "l_partkey", "zone", local.alias("local_ts")).distinct()
+    times = rows.groupBy("zone", "local_ts").agg(F.count(F.lit(1)).alias("n"))
     at = times.join(changes, F.col("zone") == F.col("z_zone")).withColumn("at", instants(F.col("local_ts"), F.col("z_first"), F.col("z_changes")))
     return at.select("zone", "local_ts", "at.*", "n")
